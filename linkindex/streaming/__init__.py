@@ -1,0 +1 @@
+"""Every job is a batch over files, so there is no streaming operator to offer."""
