@@ -2,12 +2,14 @@
 
 A customer is a company and a unit, its orders are VAT records, its order lines PAYE records, part
 sizes and types make the industry code lookup. All views cover their whole tables. The SQL is
-written so that Spark and DuckDB both run it. Views only rename and compute, so they stay inline;
-the link tables group and join, so they are staged as the Parquet files the jobs expect.
+written so that Spark and DuckDB both run it. Views that only rename and compute stay inline; the
+links and the lookup group and join, so they are staged as the Parquet files the jobs expect.
 """
 
 from __future__ import annotations
 
+from typing import ClassVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,14 +163,14 @@ VIEWS = {
 }
 
 _BASE = ("customer", "orders", "lineitem", "part")
-_STAGED = ("new_links", "prev_links", "edited_links", "links")
+_STAGED = ("tcn", "new_links", "prev_links", "edited_links", "links")
 _ADMIN = {"company": CH, "vat": VAT, "paye": PAYE, "tcn": TCN}
 
 
 class Tables:
     """The views over one folder of tables, staged ones written once per session."""
 
-    _by_folder: dict[tuple[str, str], Tables] = {}
+    _by_folder: ClassVar[dict[tuple[str, str], Tables]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir

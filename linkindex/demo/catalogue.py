@@ -208,7 +208,7 @@ def _(t: Tables):
     return _units(t).select(
         "UBRN",
         F.col("ch.key").alias("company"),
-        F.col("vat.key").alias("vat"),
+        F.col("vat.ref").cast("string").alias("vat"),
         F.col("vat.deathcode").alias("vat_deathcode"),
         F.col("paye.key").alias("paye"),
         F.col("paye.sic").alias("paye_sic"),

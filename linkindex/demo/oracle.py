@@ -46,7 +46,7 @@ CTES = {
     "c1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY UBRN
         ORDER BY {_REC}) AS rn FROM cj) WHERE rn = 1""",
     "v1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY UBRN
-        ORDER BY {_HMRC_REC}) AS rn FROM vj) WHERE rn = 1""",
+        ORDER BY {_HMRC_REC.replace('key', 'ref')}) AS rn FROM vj) WHERE rn = 1""",
     "p1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY UBRN
         ORDER BY {_HMRC_REC}) AS rn FROM pj) WHERE rn = 1""",
     "vt": """SELECT UBRN, CAST(sum(turnover) AS BIGINT) AS turnover,

@@ -76,17 +76,17 @@ def linked_refs(joined: DataFrame, ref: str = "key") -> DataFrame:
 def union_sources(company: DataFrame, vat: DataFrame, paye: DataFrame) -> DataFrame:
     """Joined edges of the three sources in one frame, with what each adds to its unit.
 
-    ``ch``, ``vat`` and ``paye`` hold the record under its place in the link (``pos``, ``key``,
-    then the record itself, so that their order is total and the first one is well defined).
+    ``ch``, ``vat`` and ``paye`` hold the record under its place in the link (``pos``, its
+    reference, then the record itself, so that their order is total and the first well defined).
     """
-    first = ["pos", "key", "sic"]
-    hmrc = [*first, "name", "style", "status", "deathcode", "postcode", "address"]
+    hmrc = ["sic", "name", "style", "status", "deathcode", "postcode", "address"]
     from_company = company.select(
-        "UBRN", F.struct(*first, "name", "status", "postcode", "address").alias("ch")
+        "UBRN",
+        F.struct("pos", "key", "sic", "name", "status", "postcode", "address").alias("ch"),
     )
     from_vat = vat.select(
         "UBRN",
-        F.struct(*hmrc).alias("vat"),
+        F.struct("pos", "ref", *hmrc).alias("vat"),
         "turnover",
         F.struct("pos", "ref").alias("vat_ref"),
     )
@@ -100,7 +100,7 @@ def union_sources(company: DataFrame, vat: DataFrame, paye: DataFrame) -> DataFr
     )
     from_paye = paye.select(
         "UBRN",
-        F.struct(*hmrc).alias("paye"),
+        F.struct("pos", "key", *hmrc).alias("paye"),
         F.struct(update_order(month, year).alias("updated"), "pos", jobs.alias("jobs")).alias(
             "jobs"
         ),

@@ -94,22 +94,29 @@ def rule_reference(
     """
     old_refs = old.where(F.col("UBRN").isNotNull()).select("UBRN", F.explode(col).alias("_ref"))
     new_refs = new.select("GID", F.explode(col).alias("_ref"))
-    old_first = _lowest_shared(old_refs, new_refs, "UBRN")
-    new_first = _lowest_shared(new_refs, old_refs, "GID")
+    old_shared, new_shared = _shared(old_refs, new_refs), _shared(new_refs, old_refs)
     content = new.select(*_content(new))
     if one_to_one:
-        numbers = old_first.groupBy("_ref").agg(F.min("UBRN").alias("UBRN"))
-        pairs = new_first.join(numbers, "_ref").select("UBRN", "GID")
+        lowest = old_shared.groupBy("UBRN").agg(F.min("_ref").alias("_ref"))
+        numbers = lowest.groupBy("_ref").agg(F.min("UBRN").alias("UBRN"))
+        pairs = new_shared.groupBy("GID").agg(F.min("_ref").alias("_ref")).join(numbers, "_ref")
         return pairs.join(content, "GID").select("UBRN", *_content(new))
-    uses = (F.col("_old") * F.col("_new")).alias("_uses")
-    pairs = (
-        old_first.withColumnRenamed("_times", "_old")
-        .join(new_first.withColumnRenamed("_times", "_new"), "_ref")
-        .select("UBRN", "GID", uses)
-    )
+    pairs = _lowest(old_shared, "UBRN", "_old").join(_lowest(new_shared, "GID", "_new"), "_ref")
+    pairs = pairs.select("UBRN", "GID", (F.col("_old") * F.col("_new")).alias("_uses"))
     return _repeat(pairs.join(content, "GID"), "_uses").select("UBRN", *_content(new))
 
 
+def _shared(refs: DataFrame, other: DataFrame) -> DataFrame:
+    """The references the other side has too."""
+    return refs.join(other.select("_ref").distinct(), "_ref", "left_semi")
+
+
+def _lowest(shared: DataFrame, unit: str, times: str) -> DataFrame:
+    """Per unit its lowest shared reference, and how many times the unit holds that one."""
+    held = shared.groupBy(unit, "_ref").agg(F.count(F.lit(1)).alias(times))
+    return held.groupBy(unit).agg(F.min(F.struct("_ref", times)).alias("m")).select(unit, "m.*")
+
+
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Each row as many times as its ``times`` column says, a chunk of copies at a time."""
     rest = [c for c in df.columns if c != times]
@@ -123,15 +130,6 @@ def _steps(first: Column, last: Column, step: int) -> Column:
     return F.sequence(first.cast("bigint"), last, F.lit(step).cast("bigint"))
 
 
-def _lowest_shared(refs: DataFrame, other: DataFrame, unit: str) -> DataFrame:
-    """Per unit its lowest reference the other side has, and how often the unit holds it."""
-    held = refs.groupBy(unit, "_ref").agg(F.count(F.lit(1)).alias("_times"))
-    shared = held.join(other.select("_ref").distinct(), "_ref", "left_semi")
-    return (
-        shared.groupBy(unit).agg(F.min(F.struct("_ref", "_times")).alias("m")).select(unit, "m.*")
-    )
-
-
 def exclude_matched(old: DataFrame, new: DataFrame, matched: DataFrame) -> Matches:
     """Old links whose number and new links whose row key no match used."""
     used_numbers = matched.select("UBRN").distinct()

@@ -12,6 +12,7 @@ from linkindex.operators.views import company_view, link_view, paye_view, vat_vi
 from linkindex.plans.layout import Layout
 from linkindex.schemas import CH, LINKS, PAYE, TCN, VAT
 from linkindex.sources import readers, writers
+from linkindex.sources.staging import staged_until_done
 
 
 def ingest(spark: SparkSession, layout: Layout) -> dict[str, int]:
@@ -28,10 +29,11 @@ def match_and_number(spark: SparkSession, layout: Layout, run_ts: str, **options
     """New links to numbered links; ``options`` are those of ``assign_ids``."""
     new = readers.read_parquet(spark, layout.new_links)
     prev = readers.read_prev_links(spark, layout.prev_links)
-    links = assign_ids(new, prev, **options)
-    return writers.write_links(
-        links, layout.work_dir, layout.prev_dir, layout.files[LINKS], run_ts
-    )
+    with staged_until_done(spark):
+        links = assign_ids(new, prev, **options)
+        return writers.write_links(
+            links, layout.work_dir, layout.prev_dir, layout.files[LINKS], run_ts
+        )
 
 
 def index_from(

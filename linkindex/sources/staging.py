@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_staged: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,5 +34,19 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` and read it back: the rows are fixed and the plan above starts from files."""
     path = new_path(df.sparkSession, name)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block once it ends."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        for path in _staged[before:]:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        del _staged[before:]
