@@ -57,7 +57,7 @@ def year_of(text: Column, last_year: int = 2045) -> Column:
     more digits, fewer, or a sign are taken as they stand.
     """
     number = _number_text(text)
-    year = number.try_cast("int")
+    year = F.when(number != "", number.cast("int"))  # nine digits always fit
     bare = (F.length(number) == 2) & (number >= "0")  # signs sort before digits
     century = last_year // 100 * 100
     base = F.when(~bare, 0).when(year <= last_year % 100, century).otherwise(century - 100)

@@ -22,6 +22,7 @@ from linkindex.sources.staging import stage
 CONTENT = [CH, VAT, PAYE]
 DEFAULT_RULES = ("key",)
 ALL_RULES = ("key", "content", "vat", "paye")
+Rule = Callable[[DataFrame, DataFrame, bool], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,18 @@ def rule_content(old: DataFrame, new: DataFrame, one_to_one: bool = False) -> Da
 def rule_reference(
     old: DataFrame, new: DataFrame, col: str, one_to_one: bool = False
 ) -> DataFrame:
-    """Links sharing a reference that is the lowest shared one of both.
+    """Links sharing a reference that is the lowest shared one of both."""
+    return _with_content(_reference_pairs(old, new, col, one_to_one), new)
+
+
+def _with_content(pairs: DataFrame, new: DataFrame) -> DataFrame:
+    return pairs.join(new.select(*_content(new)), "GID").select("UBRN", *_content(new))
+
+
+def _reference_pairs(
+    old: DataFrame, new: DataFrame, col: str, one_to_one: bool = False
+) -> DataFrame:
+    """``(UBRN, GID)`` of the reference rule.
 
     The lowest shared reference of a link needs no pairs: it is the lowest of its references that
     the other side has at all. Pairs arise only from links whose lowest ones agree.
@@ -95,15 +107,14 @@ def rule_reference(
     old_refs = old.where(F.col("UBRN").isNotNull()).select("UBRN", F.explode(col).alias("_ref"))
     new_refs = new.select("GID", F.explode(col).alias("_ref"))
     old_shared, new_shared = _shared(old_refs, new_refs), _shared(new_refs, old_refs)
-    content = new.select(*_content(new))
     if one_to_one:
         lowest = old_shared.groupBy("UBRN").agg(F.min("_ref").alias("_ref"))
         numbers = lowest.groupBy("_ref").agg(F.min("UBRN").alias("UBRN"))
         pairs = new_shared.groupBy("GID").agg(F.min("_ref").alias("_ref")).join(numbers, "_ref")
-        return pairs.join(content, "GID").select("UBRN", *_content(new))
+        return pairs.select("UBRN", "GID")
     pairs = _lowest(old_shared, "UBRN", "_old").join(_lowest(new_shared, "GID", "_new"), "_ref")
-    pairs = pairs.select("UBRN", "GID", (F.col("_old") * F.col("_new")).alias("_uses"))
-    return _repeat(pairs.join(content, "GID"), "_uses").select("UBRN", *_content(new))
+    uses = (F.col("_old") * F.col("_new")).alias("_uses")
+    return _repeat(pairs.select("UBRN", "GID", uses), "_uses")
 
 
 def _shared(refs: DataFrame, other: DataFrame) -> DataFrame:
@@ -141,14 +152,17 @@ def exclude_matched(old: DataFrame, new: DataFrame, matched: DataFrame) -> Match
     )
 
 
-def _rule(name: str, new: DataFrame) -> Callable[[DataFrame, DataFrame, bool], DataFrame]:
-    if name == "key":  # a batch that brings numbers is matched on them, any other on companies
-        return rule_id if "UBRN" in new.columns else rule_company
-    if name == "content":
-        return rule_content
+def _key_rule(new: DataFrame) -> Rule:
+    """A batch that brings numbers is matched on them, any other on its companies."""
+    return rule_id if "UBRN" in new.columns else rule_company
+
+
+def _pairs(name: str, old: DataFrame, new: DataFrame, one_to_one: bool) -> DataFrame:
+    """``(UBRN, GID)`` of a rule; the content is pruned from the joins that find them."""
     if name in ("vat", "paye"):
-        return lambda old, rest, one: rule_reference(old, rest, name.upper(), one)
-    raise ValueError(f"unknown rule {name!r}; known: {', '.join(ALL_RULES)}")
+        return _reference_pairs(old, new, name.upper(), one_to_one)
+    rule = rule_content if name == "content" else _key_rule(new)
+    return rule(old, new, one_to_one).select("UBRN", "GID")
 
 
 def _apply_key_rule(new: DataFrame, old: DataFrame, one_to_one: bool):
@@ -156,7 +170,7 @@ def _apply_key_rule(new: DataFrame, old: DataFrame, one_to_one: bool):
 
     Links without a key cannot match, so they go around the join.
     """
-    matched = _rule("key", new)(old, new, one_to_one)
+    matched = _key_rule(new)(old, new, one_to_one)
     if "UBRN" in new.columns:
         key, has_key = "UBRN", F.col("UBRN").isNotNull()
     else:
@@ -175,23 +189,27 @@ def apply_rules(
 ) -> tuple[DataFrame, DataFrame]:
     """Run the rules in order, each on what the ones before left: (matched, need a number).
 
-    What is left between two rules is staged, so no rule recomputes the ones before it.
+    What a rule found, as numbers and row keys, and what it left are staged, so that no rule
+    recomputes the ones before it. The matched content is fetched once, after the last rule.
     """
+    unknown = [name for name in rules if name not in ALL_RULES]
+    if unknown or not rules:
+        raise ValueError(f"unknown rules {unknown}; known: {', '.join(ALL_RULES)}")
     if tuple(rules) == ("key",):
         return _apply_key_rule(new, old, one_to_one)
-    if not rules:
-        raise ValueError("at least one rule is needed")
+    keyed = with_gid(new)
+    rest_new, rest_old = keyed, old
     found = []
-    rest_new = with_gid(new)
-    rest_old = old
-    for i, name in enumerate(rules):
-        matched = stage(_rule(name, rest_new)(rest_old, rest_new, one_to_one), f"matched-{name}")
-        found.append(matched.select("UBRN", *CONTENT))
-        left = exclude_matched(rest_old, rest_new, matched)
-        last = i == len(rules) - 1
-        rest_new = left.unmatched_new if last else stage(left.unmatched_new, f"new-after-{name}")
-        rest_old = left.unmatched_old if last else stage(left.unmatched_old, f"old-after-{name}")
-    return reduce(DataFrame.unionByName, found), rest_new.select(*CONTENT)
+    for i, name in enumerate(rules, 1):
+        pairs = stage(_pairs(name, rest_old, rest_new, one_to_one), f"pairs-{name}")
+        found.append(pairs)
+        left = exclude_matched(rest_old, rest_new, pairs)
+        rest_new, rest_old = left.unmatched_new, left.unmatched_old
+        if i < len(rules):
+            rest_new = stage(rest_new, f"new-after-{name}")
+            rest_old = stage(rest_old, f"old-after-{name}")
+    matched = _with_content(reduce(DataFrame.unionByName, found), keyed)
+    return matched.select("UBRN", *CONTENT), rest_new.select(*CONTENT)
 
 
 def combine_links(carried: DataFrame, numbered: DataFrame) -> DataFrame:
