@@ -1,9 +1,9 @@
 """Views that read the general tables as admin sources and links.
 
-A customer is a company and a unit, its orders are VAT records, its order lines PAYE records, part
-sizes and types make the industry code lookup. All views cover their whole tables. The SQL is
-written so that Spark and DuckDB both run it. Views that only rename and compute stay inline; the
-links and the lookup group and join, so they are staged as the Parquet files the jobs expect.
+A customer is a company and a unit; its orders make VAT records, its order lines PAYE records, and
+part sizes and types the industry code lookup. All views cover their whole tables. The SQL is
+written so that Spark and DuckDB both run it. Companies are a plain projection and stay inline; the
+other views group and join, so they are staged as the Parquet files the jobs expect.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from linkindex.plans.jobs import index_from
 from linkindex.schemas import ADMIN_SCHEMAS, CH, PAYE, TCN, VAT
 from linkindex.sources.staging import stage
 
+_COMPANY_KEY = """CASE WHEN c_mktsegment <> 'HOUSEHOLD'
+                 THEN split(lpad(CAST(c_custkey AS STRING), 8, '0'), ',') END"""
+
 VIEWS = {
     "company": """
         SELECT
@@ -43,59 +46,73 @@ VIEWS = {
             CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'COUNTY' END AS RegAddressCounty,
             'COUNTRY ' || CAST(c_nationkey AS STRING) AS RegAddressCountry
         FROM customer""",
+    # A customer's orders of one month are one VAT record.
     "vat": """
         SELECT
-            o_orderkey AS vatref,
-            CASE o_orderstatus WHEN 'F' THEN substr('0123456789EMSTX',
-                                                    CAST(day(o_orderdate) AS INT), 1)
-                               WHEN 'O' THEN '0' END AS deathcode,
-            CASE WHEN o_orderpriority <> '5-LOW'
-                 THEN CAST(20000 + month(o_orderdate) AS STRING) END AS sic92,
-            CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
-                 THEN CAST(floor(o_totalprice / 100) AS BIGINT) END AS turnover,
-            CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS status,
-            CASE WHEN o_orderpriority <> '1-URGENT' THEN 'vat ' || o_orderpriority END AS name1,
-            CASE WHEN o_orderstatus = 'P' THEN 'pending' END AS name2,
-            'no ' || CAST(o_orderkey AS STRING) AS name3,
-            CASE WHEN o_orderstatus <> 'O' THEN 'style ' || o_orderpriority END AS tradstyle1,
-            CAST(day(o_orderdate) AS STRING) || ' VAT ROAD' AS address1,
-            CASE WHEN o_orderstatus = 'F' THEN 'VAT AREA' END AS address2,
+            CAST(o_custkey AS STRING) AS entref,
+            o_custkey * 10000 + (y - 1990) * 100 + m AS vatref,
+            CASE state WHEN 'F' THEN substr('0123456789EMSTX', last_day, 1)
+                       WHEN 'O' THEN '0' END AS deathcode,
+            CASE WHEN priority <> '5-LOW' THEN CAST(20000 + m AS STRING) END AS sic92,
+            turnover,
+            CAST(y AS STRING) || '-' || lpad(CAST(m AS STRING), 2, '0') AS turnover_date,
+            CASE state WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS status,
+            CASE WHEN priority <> '1-URGENT' THEN 'vat ' || priority END AS name1,
+            CASE WHEN state = 'P' THEN 'pending' END AS name2,
+            'month ' || CAST(m AS STRING) AS name3,
+            CASE WHEN state <> 'O' THEN 'style ' || priority END AS tradstyle1,
+            CAST(last_day AS STRING) || ' VAT ROAD' AS address1,
+            CASE WHEN state = 'F' THEN 'VAT AREA' END AS address2,
             'VAT TOWN' AS address3,
             CAST(NULL AS STRING) AS address4,
             'VAT COUNTRY' AS address5,
-            CASE WHEN o_orderstatus <> 'P'
-                 THEN 'V' || CAST(month(o_orderdate) AS STRING) || ' 2BB' END AS postcode
-        FROM orders""",
+            CASE WHEN state <> 'P' THEN 'V' || CAST(m AS STRING) || ' 2BB' END AS postcode
+        FROM (
+            SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS y,
+                CAST(month(o_orderdate) AS INT) AS m, max(o_orderstatus) AS state,
+                min(o_orderpriority) AS priority, max(CAST(day(o_orderdate) AS INT)) AS last_day,
+                CAST(sum(CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
+                              THEN CAST(floor(o_totalprice / 100) AS BIGINT) END) AS BIGINT)
+                    AS turnover
+            FROM orders GROUP BY o_custkey, year(o_orderdate), month(o_orderdate)) o""",
+    # The lines a customer's orders shipped in one quarter are one PAYE reference, with a record
+    # for each of the up to three return flags.
     "paye": """
         SELECT
-            CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) AS payeref,
-            CASE l_linestatus WHEN 'F' THEN substr('0123456789EMSTX',
-                                                   CAST(day(l_shipdate) AS INT), 1)
+            CAST(o_custkey AS STRING) AS entref,
+            CAST(o_custkey AS STRING) || '/' || CAST(y AS STRING) || CAST(q AS STRING) AS payeref,
+            CASE state WHEN 'F' THEN substr('0123456789EMSTX', CAST(day(shipped) AS INT), 1)
             END AS deathcode,
-            CASE WHEN l_returnflag <> 'A' THEN l_quantity * 12 END AS dec_jobs,
-            l_quantity - 1 AS mar_jobs,
-            CASE WHEN l_returnflag <> 'R' THEN l_quantity * 1.5 END AS june_jobs,
-            l_quantity * 3 AS sept_jobs,
-            CASE WHEN l_tax < 0.01 THEN 'unknown'
-                 WHEN l_tax < 0.07
+            CAST(q AS STRING) AS birthdate,
+            CASE WHEN l_returnflag <> 'A' THEN quantity * 12 END AS dec_jobs,
+            quantity - 1 AS mar_jobs,
+            CASE WHEN l_returnflag <> 'R' THEN quantity * 1.5 END AS june_jobs,
+            quantity * 3 AS sept_jobs,
+            CASE WHEN tax < 0.03 THEN 'unknown'
+                 WHEN tax < 0.08
                  THEN substr('JanFebMarAprMayJunJulAugSepOctNovDec',
-                             CAST(month(l_shipdate) AS INT) * 3 - 2, 3)
-                      || substr(CAST(year(l_shipdate) AS STRING), 3, 2)
+                             CAST(month(shipped) AS INT) * 3 - 2, 3)
+                      || substr(CAST(y AS STRING), 3, 2)
             END AS jobs_lastupd,
             CASE l_returnflag WHEN 'A' THEN 3 WHEN 'N' THEN 4 END AS status,
-            CAST(l_quantity AS INT) + 3 AS stc,
-            CASE WHEN l_discount < 0.05 THEN 'paye ' || l_returnflag END AS name1,
-            'line ' || CAST(l_linenumber AS STRING) AS name2,
+            CAST(quantity AS INT) + 3 AS stc,
+            CASE WHEN discount < 0.05 THEN 'paye ' || l_returnflag END AS name1,
+            'line ' || CAST(line AS STRING) AS name2,
             CAST(NULL AS STRING) AS name3,
-            CASE WHEN l_linestatus = 'O' THEN 'style ' || l_returnflag END AS tradstyle1,
-            CAST(l_linenumber AS STRING) || ' PAYE LANE' AS address1,
+            CASE WHEN state = 'O' THEN 'style ' || l_returnflag END AS tradstyle1,
+            CAST(line AS STRING) || ' PAYE LANE' AS address1,
             CAST(NULL AS STRING) AS address2,
             'PAYE TOWN' AS address3,
             CASE WHEN l_returnflag = 'N' THEN 'PAYE COUNTY' END AS address4,
             'PAYE COUNTRY' AS address5,
-            CASE WHEN l_discount < 0.08
-                 THEN 'P' || CAST(l_linenumber AS STRING) || ' 3CC' END AS postcode
-        FROM lineitem""",
+            CASE WHEN discount < 0.08 THEN 'P' || CAST(line AS STRING) || ' 3CC' END AS postcode
+        FROM (
+            SELECT o_custkey, CAST(year(l_shipdate) AS INT) AS y,
+                CAST(quarter(l_shipdate) AS INT) AS q, l_returnflag, max(l_linestatus) AS state,
+                max(l_quantity) AS quantity, max(l_shipdate) AS shipped, max(l_tax) AS tax,
+                max(l_discount) AS discount, min(l_linenumber) AS line
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            GROUP BY o_custkey, year(l_shipdate), quarter(l_shipdate), l_returnflag) l""",
     # One SIC per code, two for the lowest five codes.
     "tcn": """
         SELECT DISTINCT
@@ -103,67 +120,59 @@ VIEWS = {
             CASE WHEN p_size <= 5 AND p_type = 'PROMO' THEN '4' ELSE '3' END
                 || lpad(CAST(p_size AS STRING), 4, '0') AS SIC07
         FROM part""",
-    # Orders and order lines with their customer. Last month, the urgent orders of a customer with
-    # a low balance were a second unit of their own.
-    "order_units": """
-        SELECT c_custkey, o_orderkey,
-            CASE WHEN c_acctbal < 3000 AND o_orderpriority < '3' THEN 2 ELSE 1 END AS unit
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
-    "line_units": """
-        SELECT DISTINCT c_custkey, unit,
-            CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) AS payeref
-        FROM lineitem JOIN order_units ON l_orderkey = o_orderkey""",
-    "new_links": """
-        SELECT
-            CASE WHEN c_mktsegment <> 'HOUSEHOLD'
-                 THEN split(lpad(CAST(c_custkey AS STRING), 8, '0'), ',') END AS CH,
-            v.refs AS VAT, p.refs AS PAYE
+    # The references of each customer: at most one a month and one a quarter, so that the arrays
+    # stay small however many orders a customer has.
+    "vat_refs": """
+        SELECT entref, array_sort(array_agg(CAST(vatref AS STRING))) AS refs
+        FROM vat GROUP BY entref""",
+    "paye_refs": """
+        SELECT entref, array_sort(array_agg(DISTINCT payeref)) AS refs FROM paye GROUP BY entref""",
+    "new_links": f"""
+        SELECT {_COMPANY_KEY} AS CH, v.refs AS VAT, p.refs AS PAYE
         FROM customer
-        LEFT JOIN (SELECT c_custkey AS vk, array_sort(array_agg(CAST(o_orderkey AS STRING))) AS refs
-                   FROM order_units GROUP BY c_custkey) v ON c_custkey = vk
-        LEFT JOIN (SELECT c_custkey AS pk, array_sort(array_agg(payeref)) AS refs
-                   FROM line_units GROUP BY c_custkey) p ON c_custkey = pk""",
-    # Customers of nation 7 are new this month; VAT references of nation 3 were not known.
-    "prev_links": """
+        LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref
+        LEFT JOIN paye_refs p ON CAST(c_custkey AS STRING) = p.entref""",
+    # Last month, customers of nation 7 were not there, VAT references of nation 3 were not known,
+    # and the second half-years of customers with a low balance were units of their own.
+    "prev_links": f"""
         SELECT
-            1000000000000000 + c.c_custkey * 2 + v.unit AS UBRN,
-            CASE WHEN c_mktsegment <> 'HOUSEHOLD' AND v.unit = 1
-                 THEN split(lpad(CAST(c.c_custkey AS STRING), 8, '0'), ',') END AS CH,
-            CASE WHEN c_nationkey <> 3 THEN v.refs END AS VAT, p.refs AS PAYE
-        FROM customer c
-        JOIN (SELECT c_custkey, unit, array_sort(array_agg(CAST(o_orderkey AS STRING))) AS refs
-              FROM order_units GROUP BY c_custkey, unit) v ON c.c_custkey = v.c_custkey
-        LEFT JOIN (SELECT c_custkey AS pk, unit AS pu, array_sort(array_agg(payeref)) AS refs
-                   FROM line_units GROUP BY c_custkey, unit) p
-            ON v.c_custkey = pk AND v.unit = pu
+            1000000000000000 + c_custkey * 2 + unit AS UBRN,
+            CASE WHEN unit = 1 THEN {_COMPANY_KEY} END AS CH,
+            CASE WHEN c_nationkey <> 3 THEN vats END AS VAT, payes AS PAYE
+        FROM customer
+        JOIN (SELECT coalesce(vc, pc) AS ck, coalesce(vu, pu) AS unit, vats, payes
+              FROM (SELECT c_custkey AS vc, CASE WHEN c_acctbal < 3000
+                            AND substr(turnover_date, 6, 2) > '06' THEN 2 ELSE 1 END AS vu,
+                        array_sort(array_agg(CAST(vatref AS STRING))) AS vats
+                    FROM vat JOIN customer ON entref = CAST(c_custkey AS STRING)
+                    GROUP BY 1, 2) v
+              FULL OUTER JOIN
+                   (SELECT c_custkey AS pc, CASE WHEN c_acctbal < 3000
+                            AND birthdate > '2' THEN 2 ELSE 1 END AS pu,
+                        array_sort(array_agg(DISTINCT payeref)) AS payes
+                    FROM paye JOIN customer ON entref = CAST(c_custkey AS STRING)
+                    GROUP BY 1, 2) p ON vc = pc AND vu = pu) u
+            ON c_custkey = ck
         WHERE c_nationkey <> 7""",
     # New links with the number a person gave them: some wrong, some missing.
-    "edited_links": """
+    "edited_links": f"""
         SELECT
             CASE WHEN c_nationkey < 20 THEN 1000000000000000 + c_custkey * 2 + 1
                  WHEN c_nationkey < 22 THEN 0 END AS UBRN,
-            CASE WHEN c_mktsegment <> 'HOUSEHOLD'
-                 THEN split(lpad(CAST(c_custkey AS STRING), 8, '0'), ',') END AS CH,
-            array_sort(array_agg(CAST(o_orderkey AS STRING))) AS VAT,
-            split('', ',') AS PAYE
-        FROM customer LEFT JOIN orders ON o_custkey = c_custkey
-        GROUP BY c_custkey, c_nationkey, c_mktsegment""",
+            {_COMPANY_KEY} AS CH, v.refs AS VAT, split('', ',') AS PAYE
+        FROM customer LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref""",
     # Numbered links of the link job, a few of them marked bad by a negative number.
-    "links": """
+    "links": f"""
         SELECT
             CASE WHEN c_acctbal < -950 THEN -1 ELSE 1000000000000001 + c_custkey END AS UBRN,
-            CASE WHEN c_mktsegment <> 'HOUSEHOLD'
-                 THEN split(lpad(CAST(c_custkey AS STRING), 8, '0'), ',') END AS CH,
-            v.refs AS VAT, p.refs AS PAYE
+            {_COMPANY_KEY} AS CH, v.refs AS VAT, p.refs AS PAYE
         FROM customer
-        LEFT JOIN (SELECT c_custkey AS vk, array_sort(array_agg(CAST(o_orderkey AS STRING))) AS refs
-                   FROM order_units GROUP BY c_custkey) v ON c_custkey = vk
-        LEFT JOIN (SELECT c_custkey AS pk, array_sort(array_agg(payeref)) AS refs
-                   FROM line_units GROUP BY c_custkey) p ON c_custkey = pk""",
+        LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref
+        LEFT JOIN paye_refs p ON CAST(c_custkey AS STRING) = p.entref""",
 }
 
 _BASE = ("customer", "orders", "lineitem", "part")
-_STAGED = ("tcn", "new_links", "prev_links", "edited_links", "links")
+_STAGED = ("vat", "paye", "tcn", "new_links", "prev_links", "edited_links", "links")
 _ADMIN = {"company": CH, "vat": VAT, "paye": PAYE, "tcn": TCN}
 
 
@@ -212,7 +221,7 @@ class Tables:
 
 def _needs(name: str) -> list[str]:
     words = set(VIEWS[name].split())
-    return [n for n in (*_BASE, "order_units", "line_units") if n in words]
+    return [n for n in (*_BASE, "vat", "paye", "vat_refs", "paye_refs") if n in words and n != name]
 
 
 def in_schema(df: DataFrame, src: str) -> DataFrame:

@@ -230,14 +230,20 @@ def _(t: Tables):
     )
 
 
-@query("vat_refs_long", O.linked("SELECT UBRN AS id, ref FROM vj"))
+@query("legal_entities_direct", O.linked(f"SELECT {O.ENTITY} FROM {O.ALL}"))
 def _(t: Tables):
-    return linking.linked_refs(_vat(t), "ref")
+    """Straight from the links: Spark leaves the arrays out."""
+    return extracts.legal_entities(t.index())
 
 
-@query("paye_refs_long", O.linked("SELECT UBRN AS id, key FROM pj"))
+@query("vat_refs_long", O.linked("SELECT UBRN AS id, ref AS VatRef FROM vj"))
 def _(t: Tables):
-    return linking.linked_refs(_paye(t))
+    return linking.linked_refs(_vat(t), "ref", "VatRef")
+
+
+@query("paye_refs_long", O.linked("SELECT UBRN AS id, key AS PayeRef FROM pj"))
+def _(t: Tables):
+    return linking.linked_refs(_paye(t), "key", "PayeRef")
 
 
 # Derived fields ------------------------------------------------------------------------------
@@ -644,23 +650,23 @@ def _(t: Tables):
 
 
 @query(
-    "odd_refs", f"{with_views('paye')} SELECT payeref, name1 FROM paye WHERE length(payeref) = 4"
+    "odd_refs", f"{with_views('paye')} SELECT payeref, name1 FROM paye WHERE length(payeref) = 7"
 )
 def _(t: Tables):
-    return quality.refs_of_length(t["paye"], 4)
+    return quality.refs_of_length(t["paye"], 7)
 
 
 @query(
     "first_ref_lookup",
-    f"{with_views('links')} SELECT UBRN, {O.text()} FROM links WHERE VAT[1] = '1022'",
+    f"{with_views('links')} SELECT UBRN, {O.text()} FROM links WHERE VAT[1] = '110505'",
 )
 def _(t: Tables):
-    return _as_text(quality.links_by_first_vat(t["links"], 1022))
+    return _as_text(quality.links_by_first_vat(t["links"], 110505))
 
 
-@query("vat_lookup", f"{with_views('vat')} SELECT vatref, name3, turnover FROM vat WHERE vatref = 56")
+@query("vat_lookup", f"{with_views('vat')} SELECT vatref, name3, turnover FROM vat WHERE vatref = 110505")
 def _(t: Tables):
-    return quality.vat_by_ref(t["vat"], 56).select("vatref", "name3", "turnover")
+    return quality.vat_by_ref(t["vat"], 110505).select("vatref", "name3", "turnover")
 
 
 @query(

@@ -68,9 +68,9 @@ def join_paye(links: DataFrame, paye: DataFrame, dedupe: bool = False) -> DataFr
     return join_source(links, paye, PAYE, dedupe)
 
 
-def linked_refs(joined: DataFrame, ref: str = "key") -> DataFrame:
-    """``(id, ref)`` rows of joined edges: the long form of the index's reference arrays."""
-    return joined.select(F.col("UBRN").alias("id"), F.col(ref))
+def linked_refs(joined: DataFrame, ref: str, name: str) -> DataFrame:
+    """``(id, name)`` rows of joined edges: the long form of the index's reference arrays."""
+    return joined.select(F.col("UBRN").alias("id"), F.col(ref).alias(name))
 
 
 def union_sources(company: DataFrame, vat: DataFrame, paye: DataFrame) -> DataFrame:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkindex.operators import extracts
+from linkindex.operators import extracts, linking
 from linkindex.operators.deriving import derive_index
-from linkindex.operators.linking import link_units
 from linkindex.operators.matching import assign_ids
 from linkindex.operators.views import company_view, link_view, paye_view, vat_view
 from linkindex.plans.layout import Layout
@@ -48,7 +47,7 @@ def index_from(
 ) -> DataFrame:
     """Numbered links and source tables to the index."""
     return derive_index(
-        link_units(
+        linking.link_units(
             link_view(links, strict),
             company_view(company),
             vat_view(vat),
@@ -58,14 +57,15 @@ def index_from(
     )
 
 
+def _sources(spark: SparkSession, layout: Layout) -> list[DataFrame]:
+    return [
+        readers.read_parquet(spark, layout.working(src)) for src in (LINKS, CH, VAT, PAYE, TCN)
+    ]
+
+
 def link_and_derive(spark: SparkSession, layout: Layout, **options) -> int:
     """Working files to the index file; ``options`` are those of ``index_from``."""
-    links, company, vat, paye, lookup = (
-        readers.read_parquet(spark, layout.working(src)) for src in (LINKS, CH, VAT, PAYE, TCN)
-    )
-    return writers.write_index(
-        index_from(links, company, vat, paye, lookup, **options), layout.index
-    )
+    return writers.write_index(index_from(*_sources(spark, layout), **options), layout.index)
 
 
 def publish(
@@ -98,6 +98,32 @@ def extract(spark: SparkSession, layout: Layout, single_file: bool = False) -> d
         "vat": extracts.vat_refs(index),
         "paye": extracts.paye_refs(index),
     }
+    return _write_extracts(frames, layout, single_file)
+
+
+def extract_from_links(
+    spark: SparkSession, layout: Layout, strict: bool = False, dedupe_lookup: bool = False
+) -> dict[str, int]:
+    """The flat extracts straight from the working files, without the index.
+
+    No array of references is built on the way, so a unit may have more of them than one row of
+    the index can hold.
+    """
+    links, company, vat, paye, lookup = _sources(spark, layout)
+    view, vats = link_view(links, strict), vat_view(vat)
+    payes = paye_view(paye, lookup, dedupe_lookup)
+    units = linking.link_units(view, company_view(company), vats, payes)
+    frames = {
+        "legal-entities": extracts.legal_entities(derive_index(units)),
+        "vat": linking.linked_refs(linking.join_vat(view, vats), "ref", "VatRef"),
+        "paye": linking.linked_refs(linking.join_paye(view, payes), "key", "PayeRef"),
+    }
+    return _write_extracts(frames, layout, single_file=False)
+
+
+def _write_extracts(
+    frames: dict[str, DataFrame], layout: Layout, single_file: bool
+) -> dict[str, int]:
     return {
         name: writers.write_csv_extract(df, layout.extract(name), single_file)
         for name, df in frames.items()

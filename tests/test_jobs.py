@@ -197,6 +197,22 @@ def test_extract(spark, layout, single_file):
     ]
 
 
+def test_extract_from_links(spark, layout):
+    numbered_in_order(spark, layout)
+    jobs.link_and_derive(spark, layout)
+
+    def read():
+        return {
+            name: bag(spark.read.option("header", True).csv(layout.extract(name)))
+            for name in ("legal-entities", "vat", "paye")
+        }
+
+    jobs.extract(spark, layout)
+    by_index = read()
+    assert jobs.extract_from_links(spark, layout) == {"legal-entities": 5, "vat": 4, "paye": 3}
+    assert read() == by_index
+
+
 def test_extract_is_quoted(spark, layout):
     jobs.extract(spark, layout, single_file=True)
     (part,) = Path(layout.extract("vat")).glob("*.csv")

@@ -9,10 +9,10 @@ import pytest
 from frames import B, bag, company, links, paye, raw_links, tcn, vat
 from pyspark.sql import functions as F
 
-from linkindex.operators import linking, matching, views
+from linkindex.operators import extracts, linking, matching, views
 from linkindex.operators.numbering import allocate_dense_ids
 from linkindex.plans.jobs import index_from
-from linkindex.schemas import ADMIN_SCHEMAS, CH, PAYE, TCN, VAT
+from linkindex.schemas import ADMIN_SCHEMAS, CH, INDEX, PAYE, TCN, VAT
 from linkindex.sources.staging import stage
 
 
@@ -150,6 +150,10 @@ def test_index_plan(spark, sources):
             sources[CH], sources[VAT], sources[PAYE], sources[TCN],
         )
         steps = plan(index)
+        flat = plan(extracts.legal_entities(index))
+    # the flat extract builds no arrays
+    assert "collect_list" in steps
+    assert "collect_list" not in flat
     # filters and column lists reach the files
     assert "PushedFilters: [IsNotNull(CompanyNumber)" in steps
     assert "PushedFilters: [IsNotNull(vatref)" in steps
@@ -164,9 +168,6 @@ def test_index_plan(spark, sources):
 
 
 def test_extract_plans_move_no_rows(spark):
-    from linkindex.operators import extracts
-    from linkindex.schemas import INDEX
-
     index = stage(spark.createDataFrame([], INDEX), "index")
     for build in (extracts.legal_entities, extracts.legal_entities_with_refs, extracts.vat_refs):
         assert "Exchange" not in plan(build(index))
