@@ -26,9 +26,10 @@ DEATH_CODES = {
 }
 
 
-def lookup(table: dict, key: Column) -> Column:
+def lookup(table: dict[str, str | int], key: Column) -> Column:
     """The value ``table`` has for the key, null when it has none."""
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[key]
+    pairs = ", ".join(f"{k!r}, {v!r}" for k, v in table.items())
+    return F.expr(f"map({pairs})")[key]
 
 
 def _case(branches: list[tuple[Column, str]]) -> Column:

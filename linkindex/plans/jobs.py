@@ -1,4 +1,8 @@
-"""The jobs: each reads the files of the one before, builds one plan and writes it."""
+"""The jobs: each reads the files of the one before, builds one plan and writes it.
+
+Row counts are taken from the written files' footers, or from the narrowest columns that give them,
+not from a second run of the plan.
+"""
 
 from __future__ import annotations
 
@@ -16,23 +20,22 @@ from linkindex.sources.staging import staged_until_done
 
 def ingest(spark: SparkSession, layout: Layout) -> dict[str, int]:
     """CSV of every admin source to Parquet; rows written per source."""
-    return {
-        src: writers.write_parquet(
-            readers.read_admin_csv(spark, layout.admin_input(src), src), layout.working(src)
-        )
-        for src in (CH, VAT, PAYE, TCN)
-    }
+    rows = {}
+    for src in (CH, VAT, PAYE, TCN):
+        path = layout.working(src)
+        writers.write_parquet(readers.read_admin_csv(spark, layout.admin_input(src), src), path)
+        rows[src] = writers.rows_in(spark, path)
+    return rows
 
 
 def match_and_number(spark: SparkSession, layout: Layout, run_ts: str, **options) -> int:
-    """New links to numbered links; ``options`` are those of ``assign_ids``."""
+    """New links to numbered links, and how many; ``options`` are those of ``assign_ids``."""
     new = readers.read_parquet(spark, layout.new_links)
     prev = readers.read_prev_links(spark, layout.prev_links)
     with staged_until_done(spark):
         links = assign_ids(new, prev, **options)
-        return writers.write_links(
-            links, layout.work_dir, layout.prev_dir, layout.files[LINKS], run_ts
-        )
+        writers.write_links(links, layout.work_dir, layout.prev_dir, layout.files[LINKS], run_ts)
+    return writers.rows_in(spark, layout.working(LINKS))
 
 
 def index_from(
@@ -64,8 +67,9 @@ def _sources(spark: SparkSession, layout: Layout) -> list[DataFrame]:
 
 
 def link_and_derive(spark: SparkSession, layout: Layout, **options) -> int:
-    """Working files to the index file; ``options`` are those of ``index_from``."""
-    return writers.write_index(index_from(*_sources(spark, layout), **options), layout.index)
+    """Working files to the index file, and its rows; ``options`` are those of ``index_from``."""
+    writers.write_index(index_from(*_sources(spark, layout), **options), layout.index)
+    return writers.rows_in(spark, layout.index)
 
 
 def publish(
@@ -80,13 +84,13 @@ def publish(
     Without a target the documents are left as bulk files beside the published copy.
     """
     index = readers.read_parquet(spark, layout.index)
-    rows = writers.write_parquet(index, layout.publish_dir)
+    writers.write_parquet(index, layout.publish_dir)
     writers.write_snapshot(index, layout.history_path, run_ts)
     if target:
         writers.publish_documents(index, target, options=options)
     else:
         writers.write_bulk_documents(index, f"{layout.publish_dir}-bulk")
-    return rows
+    return writers.rows_in(spark, layout.publish_dir)
 
 
 def extract(spark: SparkSession, layout: Layout, single_file: bool = False) -> dict[str, int]:
@@ -98,12 +102,14 @@ def extract(spark: SparkSession, layout: Layout, single_file: bool = False) -> d
         "vat": extracts.vat_refs(index),
         "paye": extracts.paye_refs(index),
     }
-    return _write_extracts(frames, layout, single_file)
+    for name, df in frames.items():
+        writers.write_csv_extract(df, layout.extract(name), single_file)
+    return {name: df.count() for name, df in frames.items()}
 
 
 def extract_from_links(
     spark: SparkSession, layout: Layout, strict: bool = False, dedupe_lookup: bool = False
-) -> dict[str, int]:
+) -> None:
     """The flat extracts straight from the working files, without the index.
 
     No array of references is built on the way, so a unit may have more of them than one row of
@@ -118,13 +124,5 @@ def extract_from_links(
         "vat": linking.linked_refs(linking.join_vat(view, vats), "ref", "VatRef"),
         "paye": linking.linked_refs(linking.join_paye(view, payes), "key", "PayeRef"),
     }
-    return _write_extracts(frames, layout, single_file=False)
-
-
-def _write_extracts(
-    frames: dict[str, DataFrame], layout: Layout, single_file: bool
-) -> dict[str, int]:
-    return {
-        name: writers.write_csv_extract(df, layout.extract(name), single_file)
-        for name, df in frames.items()
-    }
+    for name, df in frames.items():
+        writers.write_csv_extract(df, layout.extract(name))

@@ -1,8 +1,8 @@
-"""Writing the pipeline's files. Each writer returns the number of rows it wrote."""
+"""Writing the pipeline's files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkindex.schemas import INDEX
@@ -11,66 +11,60 @@ from linkindex.sources.readers import read_parquet
 DOCUMENT_STORE = "org.elasticsearch.spark.sql"
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame with its row count taken while it is written, not by a pass of its own."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def write_parquet(df: DataFrame, path: str) -> None:
+    """Replace the Parquet files at ``path``."""
+    df.write.mode("overwrite").parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> int:
-    """Replace the Parquet files at ``path``."""
-    counted, seen = _counted(df)
-    counted.write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+def rows_in(spark: SparkSession, path: str) -> int:
+    """Number of rows of Parquet files, from their footers."""
+    return read_parquet(spark, path).count()
 
 
-def write_index(index: DataFrame, path: str) -> int:
+def write_index(index: DataFrame, path: str) -> None:
     """Replace the index file, its columns in file order."""
-    return write_parquet(index.select(*INDEX.names), path)
+    write_parquet(index.select(*INDEX.names), path)
 
 
-def write_prev_links(links: DataFrame, prev_dir: str, file: str, run_ts: str | None = None) -> int:
+def write_prev_links(
+    links: DataFrame, prev_dir: str, file: str, run_ts: str | None = None
+) -> None:
     """Links for next month, or with ``run_ts`` (``yyyyMMddHHmm``) a copy that stays."""
     folder = f"{prev_dir}/{run_ts}" if run_ts else prev_dir
-    return write_parquet(links, f"{folder}/{file}")
+    write_parquet(links, f"{folder}/{file}")
 
 
-def write_links(links: DataFrame, work_dir: str, prev_dir: str, file: str, run_ts: str) -> int:
+def write_links(links: DataFrame, work_dir: str, prev_dir: str, file: str, run_ts: str) -> None:
     """Write the working copy, then make next month's copy and the dated one from it.
 
     ``links`` may have been read from next month's copy: that one is replaced only after the
     working copy is complete.
     """
     path = f"{work_dir}/{file}"
-    rows = write_parquet(links, path)
+    write_parquet(links, path)
     written = read_parquet(links.sparkSession, path)
     write_prev_links(written, prev_dir, file, run_ts)
     write_prev_links(written, prev_dir, file)
-    return rows
 
 
-def write_snapshot(df: DataFrame, path: str, run_ts: str) -> int:
+def write_snapshot(df: DataFrame, path: str, run_ts: str) -> None:
     """A dated copy next to ``path``."""
-    return write_parquet(df, f"{path}_{run_ts}")
+    write_parquet(df, f"{path}_{run_ts}")
 
 
-def write_csv_extract(df: DataFrame, path: str, single_file: bool = False) -> int:
+def write_csv_extract(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header, every cell quoted, null as the empty text.
 
     The parts are written in parallel. ``single_file`` puts everything through one task, for
     extracts known to be small.
     """
-    counted, seen = _counted(df)
-    _csv(counted.coalesce(1) if single_file else counted).csv(path)
-    return seen.get["rows"]
-
-
-def _csv(df: DataFrame) -> DataFrameWriter:
-    return (
-        df.write.mode("overwrite")
+    parts = df.coalesce(1) if single_file else df
+    (
+        parts.write.mode("overwrite")
         .option("header", "true")
         .option("quoteAll", "true")
         .option("nullValue", "")
+        .csv(path)
     )
 
 
@@ -81,27 +75,23 @@ def bulk_documents(df: DataFrame, id_col: str = "id") -> DataFrame:
     return df.select(F.concat_ws("\n", action, document).alias("value"))
 
 
-def write_bulk_documents(df: DataFrame, path: str, id_col: str = "id") -> int:
+def write_bulk_documents(df: DataFrame, path: str, id_col: str = "id") -> None:
     """Bulk files for a document store, written in parallel."""
-    counted, seen = _counted(bulk_documents(df, id_col))
-    counted.write.mode("overwrite").text(path)
-    return seen.get["rows"]
+    bulk_documents(df, id_col).write.mode("overwrite").text(path)
 
 
 def publish_documents(
     df: DataFrame, target: str, id_col: str = "id", options: dict[str, str] | None = None
-) -> int:
+) -> None:
     """Insert or replace the rows as documents, through the store's Spark connector.
 
     The connector must be on the session's class path; nodes, port, user and password go into
     ``options`` or the session's settings.
     """
-    counted, seen = _counted(df)
     (
-        counted.write.format(DOCUMENT_STORE)
+        df.write.format(DOCUMENT_STORE)
         .option("es.mapping.id", id_col)
         .options(**(options or {}))
         .mode("append")
         .save(target)
     )
-    return seen.get["rows"]

@@ -209,7 +209,7 @@ def test_extract_from_links(spark, layout):
 
     jobs.extract(spark, layout)
     by_index = read()
-    assert jobs.extract_from_links(spark, layout) == {"legal-entities": 5, "vat": 4, "paye": 3}
+    jobs.extract_from_links(spark, layout)
     assert read() == by_index
 
 
