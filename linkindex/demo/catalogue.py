@@ -1,4 +1,4 @@
-"""The queries: each runs one operator over the whole tables, most with the SQL it must agree with."""
+"""The queries: each runs one operator over the whole tables and has the SQL it must agree with."""
 
 from __future__ import annotations
 
@@ -45,8 +45,6 @@ def _as_text(links: DataFrame) -> DataFrame:
     return links.select("UBRN", *_joined([CH, VAT, PAYE]))
 
 
-_LINE_COLUMNS = ", ".join(f"line{i}" for i in range(1, 6))
-_HMRC_COLUMNS = f"postcode, {_LINE_COLUMNS}"
 
 
 # Views of the sources ------------------------------------------------------------------------
@@ -64,8 +62,9 @@ def _(t: Tables):
 
 @query(
     "paye_view",
-    O.linked(f"""SELECT key, name, style, status, stc, sic, deathcode, updated_month, updated_year,
-        mar_jobs, june_jobs, sept_jobs, dec_jobs, {_HMRC_COLUMNS} FROM pd"""),
+    O.linked("""SELECT key, name, style, status, stc, sic, deathcode, updated_month, updated_year,
+        mar_jobs, june_jobs, sept_jobs, dec_jobs, postcode, line1, line2, line3, line4, line5
+        FROM pd"""),
 )
 def _(t: Tables):
     return _flat(views.paye_view(t["paye"], t["tcn"]))
@@ -303,8 +302,8 @@ _ONE_RECORD = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITIO
 # The kept record of a unit and key is the first by place and then by its columns in file order.
 _PAYE_ORDER = ", ".join(
     f"{c} NULLS FIRST"
-    for c in "pos name style status stc sic deathcode updated_month updated_year mar_jobs june_jobs "
-    "sept_jobs dec_jobs postcode line1 line2 line3 line4 line5".split()
+    for c in "pos name style status stc sic deathcode updated_month updated_year mar_jobs "
+    "june_jobs sept_jobs dec_jobs postcode line1 line2 line3 line4 line5".split()
 )
 
 
@@ -461,8 +460,9 @@ def _(t: Tables):
 @query(
     "dense_ids",
     """SELECT l_returnflag, l_linestatus,
-            1000 + row_number() OVER (ORDER BY substr(md5(l_returnflag || '|' || l_linestatus), 1, 4),
-                l_returnflag, l_linestatus) AS UBRN
+            1000 + row_number() OVER (
+                ORDER BY substr(md5(l_returnflag || '|' || l_linestatus), 1, 4),
+                    l_returnflag, l_linestatus) AS UBRN
         FROM lineitem""",
 )
 def _(t: Tables):
@@ -664,7 +664,10 @@ def _(t: Tables):
     return _as_text(quality.links_by_first_vat(t["links"], 110505))
 
 
-@query("vat_lookup", f"{with_views('vat')} SELECT vatref, name3, turnover FROM vat WHERE vatref = 110505")
+@query(
+    "vat_lookup",
+    f"{with_views('vat')} SELECT vatref, name3, turnover FROM vat WHERE vatref = 110505",
+)
 def _(t: Tables):
     return quality.vat_by_ref(t["vat"], 110505).select("vatref", "name3", "turnover")
 

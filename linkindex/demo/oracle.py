@@ -6,7 +6,7 @@ from linkindex.demo.adapters import with_views
 
 _MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 _REC = "pos, key, sic NULLS FIRST, name NULLS FIRST"
-_HMRC_REC = (
+_FULL_REC = (
     f"{_REC}, style NULLS FIRST, status NULLS FIRST, deathcode NULLS FIRST, postcode NULLS FIRST, "
     + ", ".join(f"line{i} NULLS FIRST" for i in range(1, 6))
 )
@@ -46,9 +46,9 @@ CTES = {
     "c1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY UBRN
         ORDER BY {_REC}) AS rn FROM cj) WHERE rn = 1""",
     "v1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY UBRN
-        ORDER BY {_HMRC_REC.replace('key', 'ref')}) AS rn FROM vj) WHERE rn = 1""",
+        ORDER BY {_FULL_REC.replace('key', 'ref')}) AS rn FROM vj) WHERE rn = 1""",
     "p1": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY UBRN
-        ORDER BY {_HMRC_REC}) AS rn FROM pj) WHERE rn = 1""",
+        ORDER BY {_FULL_REC}) AS rn FROM pj) WHERE rn = 1""",
     "vt": """SELECT UBRN, CAST(sum(turnover) AS BIGINT) AS turnover,
         string_agg(CAST(ref AS VARCHAR), ',' ORDER BY pos, ref) AS refs FROM vj GROUP BY UBRN""",
     "pt": """SELECT UBRN, string_agg(key, ',' ORDER BY pos, key) AS refs FROM pj GROUP BY UBRN""",
@@ -97,7 +97,8 @@ TRADING = (
 )
 ENTITY = f"""UBRN AS id, {NAME} AS BusinessName, {STYLE} AS TradingStyle, {POSTCODE} AS PostCode,
     {ADDRESS}, {INDUSTRY} AS IndustryCode, {LEGAL} AS LegalStatus, {TRADING} AS TradingStatus,
-    {TURNOVER_BAND.replace('turnover', 'vt.turnover')} AS Turnover, {EMPLOYMENT_BAND} AS EmploymentBands, c1.key AS CompanyNo"""
+    {TURNOVER_BAND.replace('turnover', 'vt.turnover')} AS Turnover,
+    {EMPLOYMENT_BAND} AS EmploymentBands, c1.key AS CompanyNo"""
 ALL = f"{_FIRSTS} LEFT JOIN vt USING (UBRN) LEFT JOIN pt USING (UBRN) LEFT JOIN jb USING (UBRN)"
 BRACKETED = "'[' || coalesce({0}, '') || ']'"
 
@@ -133,9 +134,8 @@ def matching(body: str, *steps: str, new: str = "new_links") -> str:
     """``body`` over the links of both months: ``o`` and ``n`` (with a row key)."""
     return (
         with_views(new, "prev_links")
-        + ", o AS (SELECT * FROM prev_links), n AS (SELECT *, row_number() OVER () AS GID FROM "
-        + new
-        + ")"
+        + ", o AS (SELECT * FROM prev_links)"
+        + f", n AS (SELECT *, row_number() OVER () AS GID FROM {new})"
         + "".join(f", {s}" for s in steps)
         + "\n"
         + body

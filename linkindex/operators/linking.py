@@ -40,20 +40,17 @@ def join_source(links: DataFrame, records: DataFrame, src: str, dedupe: bool = F
     """The edges of one source with the records they point to; other edges vanish.
 
     A key may be repeated on either side and every pair counts, unless ``dedupe`` keeps the first
-    record of each unit and key. A key with very many edges makes a large join partition, which
-    Spark splits while it runs (adaptive skew join).
+    place of each unit and key and the first record of each key, before they meet. A key with very
+    many edges makes a large join partition, which Spark splits while it runs (adaptive skew join).
     """
     one = edges(links, src)
     if src == VAT:  # VAT keys are numbers: a blank can match nothing, so it need not be shuffled
         one = one.where(F.col("key") != "")
-    joined = one.join(records, "key")
     if dedupe:
-        rest = [c for c in joined.columns if c not in ("UBRN", "key")]
-        joined = (
-            joined.groupBy("UBRN", "key").agg(F.min(F.struct(*rest)).alias("r"))
-            .select("UBRN", "key", "r.*")
-        )
-    return joined
+        one = one.groupBy("UBRN", "key").agg(F.min("pos").alias("pos"))
+        record = F.struct(*[c for c in records.columns if c != "key"])
+        records = records.groupBy("key").agg(F.min(record).alias("r")).select("key", "r.*")
+    return one.join(records, "key")
 
 
 def join_company(links: DataFrame, company: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -79,14 +76,14 @@ def union_sources(company: DataFrame, vat: DataFrame, paye: DataFrame) -> DataFr
     ``ch``, ``vat`` and ``paye`` hold the record under its place in the link (``pos``, its
     reference, then the record itself, so that their order is total and the first well defined).
     """
-    hmrc = ["sic", "name", "style", "status", "deathcode", "postcode", "address"]
+    record = ["sic", "name", "style", "status", "deathcode", "postcode", "address"]
     from_company = company.select(
         "UBRN",
         F.struct("pos", "key", "sic", "name", "status", "postcode", "address").alias("ch"),
     )
     from_vat = vat.select(
         "UBRN",
-        F.struct("pos", "ref", *hmrc).alias("vat"),
+        F.struct("pos", "ref", *record).alias("vat"),
         "turnover",
         F.struct("pos", "ref").alias("vat_ref"),
     )
@@ -100,7 +97,7 @@ def union_sources(company: DataFrame, vat: DataFrame, paye: DataFrame) -> DataFr
     )
     from_paye = paye.select(
         "UBRN",
-        F.struct("pos", "key", *hmrc).alias("paye"),
+        F.struct("pos", "key", *record).alias("paye"),
         F.struct(update_order(month, year).alias("updated"), "pos", jobs.alias("jobs")).alias(
             "jobs"
         ),

@@ -32,23 +32,28 @@ def header_leaks(company: DataFrame) -> DataFrame:
     )
 
 
-def refs_of_length(paye: DataFrame, length: int = 4) -> DataFrame:
+def refs_of_length(paye: DataFrame, length: int = 4, limit: int | None = None) -> DataFrame:
     """PAYE references of a suspicious length, with the first line of the name."""
-    return paye.where(F.length("payeref") == length).select("payeref", "name1")
+    return _first(paye.where(F.length("payeref") == length).select("payeref", "name1"), limit)
 
 
-def links_by_first_vat(links: DataFrame, ref: int | str) -> DataFrame:
+def links_by_first_vat(links: DataFrame, ref: int | str, limit: int | None = None) -> DataFrame:
     """Links whose first VAT reference is ``ref``."""
-    return links.where(F.get("VAT", F.lit(0)) == F.lit(str(ref)))
+    return _first(links.where(F.get("VAT", F.lit(0)) == F.lit(str(ref))), limit)
 
 
-def vat_by_ref(vat: DataFrame, ref: int) -> DataFrame:
+def vat_by_ref(vat: DataFrame, ref: int, limit: int | None = None) -> DataFrame:
     """VAT records with that reference."""
-    return vat.where(F.col("vatref") == F.lit(ref))
+    return _first(vat.where(F.col("vatref") == F.lit(ref)), limit)
 
 
-def units_by_name(index: DataFrame, name: str) -> DataFrame:
+def units_by_name(index: DataFrame, name: str, limit: int | None = None) -> DataFrame:
     """Index records of that exact name, six columns."""
-    return index.where(F.col("BusinessName") == name).select(
-        "BusinessName", "PostCode", "IndustryCode", "LegalStatus", "EmploymentBands", "PayeRefs"
-    )
+    found = index.where(F.col("BusinessName") == name)
+    columns = ["PostCode", "IndustryCode", "LegalStatus", "EmploymentBands", "PayeRefs"]
+    return _first(found.select("BusinessName", *columns), limit)
+
+
+def _first(found: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, or just a few to look at."""
+    return found if limit is None else found.limit(limit)

@@ -18,7 +18,7 @@ def _address(*lines: str) -> Column:
     return F.struct(*[F.col(c).alias(f"line{i}") for i, c in enumerate(lines, 1)]).alias("address")
 
 
-def _hmrc_address() -> Column:
+def _numbered_address() -> Column:
     return _address("address1", "address2", "address3", "address4", "address5")
 
 
@@ -53,7 +53,7 @@ def vat_view(vat: DataFrame) -> DataFrame:
         F.col("deathcode").cast("string").alias("deathcode"),
         F.col("turnover").try_cast("bigint").alias("turnover"),
         F.col("postcode"),
-        _hmrc_address(),
+        _numbered_address(),
     )
 
 
@@ -98,7 +98,7 @@ def paye_view(
         year_of(updated, last_year).alias("updated_year"),
         *jobs,
         F.col("postcode"),
-        _hmrc_address(),
+        _numbered_address(),
     )
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +21,12 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="linkindex-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    return _temporary_dir(spark.sparkContext.applicationId)
+
+
+@cache
+def _temporary_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"linkindex-{application}-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

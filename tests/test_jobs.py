@@ -279,9 +279,24 @@ def test_staged_tables_go_when_done(spark):
     assert not Path(path).exists()
 
 
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master, applicationId = "yarn", "app-1"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(Session)
+    Session.sparkContext.master = "local[2]"
+    assert staging.shared_dir(Session) == staging.shared_dir(Session)
+
+
 def test_questions(spark):
     company = spark.createDataFrame(
-        [["x", "CompanyNumber"], ["y", "1"], [None, None]], "CompanyName string, CompanyNumber string"
+        [["x", "CompanyNumber"], ["y", "1"], [None, None]],
+        "CompanyName string, CompanyNumber string",
     )
     assert quality.header_leaks(company).first()[0] == 1
     assert bag(quality.profile(company)) == [
@@ -289,6 +304,9 @@ def test_questions(spark):
     ]
     payes = spark.createDataFrame([["1234", "n"], ["12345", "m"]], "payeref string, name1 string")
     assert bag(quality.refs_of_length(payes)) == [("1234", "n")]
+    assert quality.refs_of_length(payes.union(payes), limit=1).count() == 1
+    vats = spark.createDataFrame([[5], [6]], "vatref bigint")
+    assert bag(quality.vat_by_ref(vats, 6, limit=1)) == [(6,)]
     some = links(spark, (1, None, ["5", "6"], None), (2, None, ["6"], None), (3, None, [], None))
     assert bag(quality.links_by_first_vat(some, 5).select("UBRN")) == [(1,)]
     readers.register_views(links=some)

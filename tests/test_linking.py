@@ -199,7 +199,9 @@ def test_latest_jobs(spark):
 
 
 def test_first_record_is_by_place_in_the_link(spark):
-    vats = (without(FULL_VAT, vatref=5, name1="five"), without(FULL_VAT, vatref=70, name1="seventy"))
+    vats = (
+        without(FULL_VAT, vatref=5, name1="five"), without(FULL_VAT, vatref=70, name1="seventy"),
+    )
     row = one(spark, arrays=(None, ["70", "5", "99"], None), ch=None, vats=vats, payes=())
     assert (row["BusinessName"], row["VatRefs"]) == ("SEVENTY ONE NAME", [70, 5])
     # null fields of the first record stay null, the second one does not fill them
