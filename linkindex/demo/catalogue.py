@@ -124,19 +124,19 @@ def _(t: Tables):
     )
 
 
-def _company(t: Tables, dedupe: bool = False) -> DataFrame:
+def _company(t: Tables) -> DataFrame:
     return linking.join_company(
-        views.link_view(t["links"]), views.company_view(t["company"]), dedupe
+        views.link_view(t["links"]), views.company_view(t["company"])
     )
 
 
-def _vat(t: Tables, dedupe: bool = False) -> DataFrame:
-    return linking.join_vat(views.link_view(t["links"]), views.vat_view(t["vat"]), dedupe)
+def _vat(t: Tables) -> DataFrame:
+    return linking.join_vat(views.link_view(t["links"]), views.vat_view(t["vat"]))
 
 
-def _paye(t: Tables, dedupe: bool = False) -> DataFrame:
+def _paye(t: Tables) -> DataFrame:
     return linking.join_paye(
-        views.link_view(t["links"]), views.paye_view(t["paye"], t["tcn"]), dedupe
+        views.link_view(t["links"]), views.paye_view(t["paye"], t["tcn"])
     )
 
 

@@ -9,6 +9,7 @@ one row per map task. The list of references is as long as the unit's index cell
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -36,15 +37,19 @@ def explode_links(links: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
-def join_source(links: DataFrame, records: DataFrame, src: str, dedupe: bool = False) -> DataFrame:
+def join_source(
+    links: DataFrame, records: DataFrame, src: str, dedupe: bool = False, blank_key: bool = True
+) -> DataFrame:
     """The edges of one source with the records they point to; other edges vanish.
 
     A key may be repeated on either side and every pair counts, unless ``dedupe`` keeps the first
     place of each unit and key and the first record of each key, before they meet. A key with very
     many edges makes a large join partition, which Spark splits while it runs (adaptive skew join).
+    Blanks stand in for missing references in very many links. When no record has a ``blank_key``
+    they match nothing, and are dropped before the shuffle.
     """
     one = edges(links, src)
-    if src == VAT:  # VAT keys are numbers: a blank can match nothing, so it need not be shuffled
+    if not blank_key:
         one = one.where(F.col("key") != "")
     if dedupe:
         one = one.groupBy("UBRN", "key").agg(F.min("pos").alias("pos"))
@@ -53,16 +58,25 @@ def join_source(links: DataFrame, records: DataFrame, src: str, dedupe: bool = F
     return one.join(records, "key")
 
 
-def join_company(links: DataFrame, company: DataFrame, dedupe: bool = False) -> DataFrame:
-    return join_source(links, company, CH, dedupe)
+def join_company(links: DataFrame, company: DataFrame, **options: bool) -> DataFrame:
+    return join_source(links, company, CH, **options)
 
 
 def join_vat(links: DataFrame, vat: DataFrame, dedupe: bool = False) -> DataFrame:
-    return join_source(links, vat, VAT, dedupe)
+    """VAT keys are numbers, so none is blank."""
+    return join_source(links, vat, VAT, dedupe, blank_key=False)
+
+
+def join_paye(links: DataFrame, paye: DataFrame, **options: bool) -> DataFrame:
+    return join_source(links, paye, PAYE, **options)
 
 
-def join_paye(links: DataFrame, paye: DataFrame, dedupe: bool = False) -> DataFrame:
-    return join_source(links, paye, PAYE, dedupe)
+def sources_with_blank_key(company: DataFrame, paye: DataFrame) -> list[str]:
+    """Which of the two tables has a record with a blank key: a look for one row in each."""
+    blanks = {
+        CH: company.where(F.col("CompanyNumber") == ""), PAYE: paye.where(F.col("payeref") == "")
+    }
+    return [src for src, df in blanks.items() if not df.isEmpty()]
 
 
 def linked_refs(joined: DataFrame, ref: str, name: str) -> DataFrame:
@@ -135,12 +149,16 @@ def link_units(
     vat: DataFrame,
     paye: DataFrame,
     dedupe_refs: bool = False,
+    blank_keys: Collection[str] = (CH, PAYE),
 ) -> DataFrame:
-    """Link view and admin views to one row per unit that has at least one record."""
+    """Link view and admin views to one row per unit that has at least one record.
+
+    ``blank_keys`` are the sources that may have a record with a blank key.
+    """
     return assemble(
         union_sources(
-            join_company(links, company, dedupe_refs),
-            join_vat(links, vat, dedupe_refs),
-            join_paye(links, paye, dedupe_refs),
+            join_company(links, company, dedupe=dedupe_refs, blank_key=CH in blank_keys),
+            join_vat(links, vat, dedupe=dedupe_refs),
+            join_paye(links, paye, dedupe=dedupe_refs, blank_key=PAYE in blank_keys),
         )
     )

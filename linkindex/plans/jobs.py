@@ -6,6 +6,8 @@ not from a second run of the plan.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 
 from linkindex.operators import extracts, linking
@@ -47,6 +49,7 @@ def index_from(
     strict: bool = False,
     dedupe_lookup: bool = False,
     dedupe_refs: bool = False,
+    blank_keys: Collection[str] = (CH, PAYE),
 ) -> DataFrame:
     """Numbered links and source tables to the index."""
     return derive_index(
@@ -56,6 +59,7 @@ def index_from(
             vat_view(vat),
             paye_view(paye, lookup, dedupe_lookup),
             dedupe_refs,
+            blank_keys,
         )
     )
 
@@ -68,7 +72,10 @@ def _sources(spark: SparkSession, layout: Layout) -> list[DataFrame]:
 
 def link_and_derive(spark: SparkSession, layout: Layout, **options) -> int:
     """Working files to the index file, and its rows; ``options`` are those of ``index_from``."""
-    writers.write_index(index_from(*_sources(spark, layout), **options), layout.index)
+    links, company, vat, paye, lookup = _sources(spark, layout)
+    blank_keys = linking.sources_with_blank_key(company, paye)
+    index = index_from(links, company, vat, paye, lookup, blank_keys=blank_keys, **options)
+    writers.write_index(index, layout.index)
     return writers.rows_in(spark, layout.index)
 
 
@@ -118,11 +125,14 @@ def extract_from_links(
     links, company, vat, paye, lookup = _sources(spark, layout)
     view, vats = link_view(links, strict), vat_view(vat)
     payes = paye_view(paye, lookup, dedupe_lookup)
-    units = linking.link_units(view, company_view(company), vats, payes)
+    blanks = linking.sources_with_blank_key(company, paye)
+    units = linking.link_units(view, company_view(company), vats, payes, blank_keys=blanks)
     frames = {
         "legal-entities": extracts.legal_entities(derive_index(units)),
         "vat": linking.linked_refs(linking.join_vat(view, vats), "ref", "VatRef"),
-        "paye": linking.linked_refs(linking.join_paye(view, payes), "key", "PayeRef"),
+        "paye": linking.linked_refs(
+            linking.join_paye(view, payes, blank_key=PAYE in blanks), "key", "PayeRef"
+        ),
     }
     for name, df in frames.items():
         writers.write_csv_extract(df, layout.extract(name))

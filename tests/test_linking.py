@@ -243,6 +243,17 @@ def test_units_without_records_vanish(spark):
     assert index(spark, arrays=(None, ["010"], None)) == []
 
 
+def test_blank_keys(spark):
+    """A blank is a key like any other; where no record has one, blanks are left out early."""
+    blank = without(FULL_PAYE, payeref="")
+    row = one(spark, arrays=([""], [""], ["", "P1"]), payes=(blank, FULL_PAYE))
+    assert row["PayeRefs"] == ["", "P1"]
+    tables = company(spark, FULL_COMPANY), paye(spark, blank)
+    assert linking.sources_with_blank_key(*tables) == ["PAYE"]
+    changes = {"arrays": (["", "CH1"], ["", "10"], ["", "P1"]), "ch": FULL_COMPANY}
+    assert one(spark, **changes, blank_keys=()) == one(spark, **changes)
+
+
 def test_records_without_key_are_dropped(spark):
     assert index(spark, ch=without(FULL_COMPANY, "CompanyNumber"), vats=(), payes=()) == []
 
