@@ -686,7 +686,8 @@ def _(t: Tables):
 
 @query(
     "registered_views",
-    f"""{with_views('links', 'vat')} SELECT status, count(*) AS records, sum(turnover) AS turnover
+    f"""{with_views('links', 'vat')} SELECT status, count(*) AS records,
+            CAST(sum(turnover) AS BIGINT) AS turnover
         FROM (SELECT unnest(VAT) AS ref FROM links) l JOIN vat ON CAST(vatref AS VARCHAR) = l.ref
         GROUP BY status""",
 )

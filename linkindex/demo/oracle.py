@@ -29,7 +29,8 @@ CTES = {
         FROM pl WHERE payeref IS NOT NULL""",
     "pd": f"""SELECT *,
         CASE WHEN jobs_lastupd <> 'unknown'
-             THEN (strpos('{_MONTHS}', substr(jobs_lastupd, 1, 3)) + 2) // 3 END AS updated_month,
+             THEN CAST((strpos('{_MONTHS}', substr(jobs_lastupd, 1, 3)) + 2) // 3 AS INTEGER)
+        END AS updated_month,
         CASE WHEN jobs_lastupd <> 'unknown'
              THEN CAST(substr(jobs_lastupd, 4, 2) AS INTEGER)
                   + CASE WHEN CAST(substr(jobs_lastupd, 4, 2) AS INTEGER) <= 45

@@ -17,6 +17,9 @@ TABLES = (
 ).split()
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
 def connect(folder: str):
     con = duckdb.connect()
     for name in TABLES:
@@ -30,11 +33,15 @@ def rows(columns: list[str], values) -> Counter:
 
 
 def differences(df, con, sql: str) -> str:
-    """Empty when both give the same columns and the same bag of rows."""
+    """Empty when both give the same columns, types and bag of rows."""
     answer = con.execute(sql)
     names = [c[0] for c in answer.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    kinds = {c[0]: str(c[1]) for c in answer.description}
+    odd = {c: (kind, kinds[c]) for c, kind in df.dtypes if TYPES.get(kind) != kinds[c]}
+    if odd:
+        return f"types {odd}"
     want = rows(names, answer.fetchall())
     got = rows(df.columns, [tuple(r) for r in df.collect()])
     if got == want:
