@@ -76,6 +76,27 @@ def test_hot_key_is_split(spark):
     )
 
 
+def test_hot_records_in_the_index(spark):
+    """A third of the units share a company and a VAT record; all of them get both."""
+    n = 6000
+    with small_cluster(spark):
+        records = [{"vatref": i, "name1": "n", "turnover": 10} for i in (7, *range(100, 100 + n, 2))]
+        index = index_from(
+            hot_links(spark, n),
+            stage(company(spark, {"CompanyNumber": "HOT", "CompanyName": "hot"}), "companies"),
+            stage(vat(spark, *records), "vats"),
+            paye(spark),
+            tcn(spark),
+        ).select("id", "BusinessName", "VatRefs")
+        rows = {r.id - B: (r.BusinessName, r.VatRefs) for r in index.collect()}
+        assert "skew=true" in plan(index)
+    assert rows == {
+        i: ("HOT", [7]) if i % 3 == 0 else ("N  ", [i + 100])
+        for i in range(n)
+        if i % 3 == 0 or i % 2 == 0
+    }
+
+
 def test_hot_company_is_carried_over(spark):
     """A third of the new links share a company: the matching and the anti join are split."""
     n = 6000
