@@ -457,6 +457,12 @@ def _(t: Tables):
     return _as_text(matching.assign_ids(t["new_links"], missing))
 
 
+@query("assign_ids_input_order", O.key_assignment(O.COMPANY_MATCH, columns="UBRN"))
+def _(t: Tables):
+    """The numbers given; which link gets which new one depends on the files."""
+    return matching.assign_ids(t["new_links"], t["prev_links"], input_order=True).select("UBRN")
+
+
 @query(
     "dense_ids",
     """SELECT l_returnflag, l_linestatus,

@@ -173,9 +173,9 @@ def numbered(need: str, base: str) -> str:
 MAX_UBRN = f"(SELECT coalesce(max(UBRN), {BASE}) FROM o)"
 
 
-def key_assignment(match: str, new: str = "new_links") -> str:
+def key_assignment(match: str, new: str = "new_links", columns: str | None = None) -> str:
     return matching(
-        f"SELECT UBRN, {text()} FROM (SELECT UBRN, CH, VAT, PAYE FROM m "
+        f"SELECT {columns or f'UBRN, {text()}'} FROM (SELECT UBRN, CH, VAT, PAYE FROM m "
         f"UNION ALL SELECT * FROM x)",
         f"m AS ({match.format(o='o', n='n')})",
         "rest AS (SELECT * FROM n WHERE GID NOT IN (SELECT GID FROM m))",

@@ -15,7 +15,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkindex.operators.numbering import CHUNK, allocate_dense_ids, max_ubrn
+from linkindex.operators.numbering import (
+    CHUNK,
+    allocate_dense_ids,
+    allocate_ids_in_order,
+    max_ubrn,
+)
 from linkindex.schemas import CH, PAYE, VAT
 from linkindex.sources.staging import stage
 
@@ -177,7 +182,8 @@ def _apply_key_rule(new: DataFrame, old: DataFrame, one_to_one: bool):
         key, has_key = CH, _has_company()
     used = old.where(has_key).select(key).distinct()
     rest = new.where(has_key).join(used, key, "left_anti")
-    rest = rest.select(*CONTENT).unionByName(new.where(~has_key).select(*CONTENT))
+    without_key = new.where(~has_key).select(*_content(new))
+    rest = rest.select(*_content(new)).unionByName(without_key)
     return matched.select("UBRN", *CONTENT), rest
 
 
@@ -197,7 +203,7 @@ def apply_rules(
         raise ValueError(f"unknown rules {unknown}; known: {', '.join(ALL_RULES)}")
     if tuple(rules) == ("key",):
         return _apply_key_rule(new, old, one_to_one)
-    keyed = with_gid(new)
+    keyed = new if "GID" in new.columns else with_gid(new)
     rest_new, rest_old = keyed, old
     found = []
     for i, name in enumerate(rules, 1):
@@ -209,7 +215,7 @@ def apply_rules(
             rest_new = stage(rest_new, f"new-after-{name}")
             rest_old = stage(rest_old, f"old-after-{name}")
     matched = _with_content(reduce(DataFrame.unionByName, found), keyed)
-    return matched.select("UBRN", *CONTENT), rest_new.select(*CONTENT)
+    return matched.select("UBRN", *CONTENT), rest_new.select(*_content(keyed))
 
 
 def combine_links(carried: DataFrame, numbered: DataFrame) -> DataFrame:
@@ -225,18 +231,24 @@ def assign_ids(
     one_to_one: bool = False,
     blank_is_null: bool = False,
     high_water: int | None = None,
+    input_order: bool = False,
 ) -> DataFrame:
     """Match the new links to the previous ones and number the rest after the highest number.
 
-    ``high_water`` is the highest number ever issued, if it may exceed those in ``prev``. With
+    New numbers go by the links' content, or with ``input_order`` by their order in the input,
+    which then depends on how its files are split. ``high_water`` is the highest number ever issued, if it may exceed those in ``prev``. With
     ``blank_is_null`` a blank reference matches nothing and is not written.
     """
     if new.isEmpty():
         raise ValueError("the batch of new links is empty")
     if blank_is_null:
         new, prev = blanks_to_null(new), blanks_to_null(prev)
+    if input_order:
+        new = with_gid(new)
     carried, rest = apply_rules(new, prev, rules, one_to_one)
     base = max_ubrn(prev).scalar()
     if high_water is not None:
         base = F.greatest(base, F.lit(high_water).cast("bigint"))
-    return combine_links(carried, allocate_dense_ids(rest, base))
+    if input_order:
+        return combine_links(carried, allocate_ids_in_order(rest, base))
+    return combine_links(carried, allocate_dense_ids(rest.select(*CONTENT), base))
