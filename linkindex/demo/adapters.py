@@ -161,11 +161,12 @@ VIEWS = {
                  WHEN c_nationkey < 22 THEN 0 END AS UBRN,
             {_COMPANY_KEY} AS CH, v.refs AS VAT, split('', ',') AS PAYE
         FROM customer LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref""",
-    # Numbered links of the link job, a few of them marked bad by a negative number.
+    # Numbered links of the link job, a few of them marked bad by a negative number. A missing
+    # company is a blank, as in the files the jobs get.
     "links": f"""
         SELECT
             CASE WHEN c_acctbal < -950 THEN -1 ELSE 1000000000000001 + c_custkey END AS UBRN,
-            {_COMPANY_KEY} AS CH, v.refs AS VAT, p.refs AS PAYE
+            coalesce({_COMPANY_KEY}, split('', ',')) AS CH, v.refs AS VAT, p.refs AS PAYE
         FROM customer
         LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref
         LEFT JOIN paye_refs p ON CAST(c_custkey AS STRING) = p.entref""",
