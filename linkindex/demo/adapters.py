@@ -132,13 +132,17 @@ VIEWS = {
         FROM customer
         LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref
         LEFT JOIN paye_refs p ON CAST(c_custkey AS STRING) = p.entref""",
-    # Last month, customers of nation 7 were not there, VAT references of nation 3 were not known,
-    # and the second half-years of customers with a low balance were units of their own.
+    # Last month, customers of nation 7 had other numbers and no references, VAT references of
+    # nation 3 were not known, and the second half-years of customers with a low balance were units
+    # of their own.
     "prev_links": f"""
         SELECT
             1000000000000000 + c_custkey * 2 + unit AS UBRN,
-            CASE WHEN unit = 1 THEN {_COMPANY_KEY} END AS CH,
-            CASE WHEN c_nationkey <> 3 THEN vats END AS VAT, payes AS PAYE
+            CASE WHEN unit = 1 AND c_nationkey = 7
+                 THEN split('OLD' || CAST(c_custkey AS STRING), ',')
+                 WHEN unit = 1 THEN {_COMPANY_KEY} END AS CH,
+            CASE WHEN c_nationkey <> 3 AND c_nationkey <> 7 THEN vats END AS VAT,
+            CASE WHEN c_nationkey <> 7 THEN payes END AS PAYE
         FROM customer
         JOIN (SELECT coalesce(vc, pc) AS ck, coalesce(vu, pu) AS unit, vats, payes
               FROM (SELECT c_custkey AS vc, CASE WHEN c_acctbal < 3000
@@ -152,8 +156,7 @@ VIEWS = {
                         array_sort(array_agg(DISTINCT payeref)) AS payes
                     FROM paye JOIN customer ON entref = CAST(c_custkey AS STRING)
                     GROUP BY 1, 2) p ON vc = pc AND vu = pu) u
-            ON c_custkey = ck
-        WHERE c_nationkey <> 7""",
+            ON c_custkey = ck""",
     # New links with the number a person gave them: some wrong, some missing.
     "edited_links": f"""
         SELECT
