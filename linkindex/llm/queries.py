@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from linkindex.llm import id_files, packing, token_counts
+from linkindex.llm import id_files, jaccard, packing, token_counts
 from linkindex.llm.common import ship, table
 
 
@@ -17,6 +17,10 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), path, limit=1024)
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, folder, "documents"), path, end_id=1)
@@ -37,6 +41,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable:
 
 
 QUERIES = {
-    f.__name__: _shipped(f) for f in (op7_token_counts, op9_best_fit_packing, op10_token_files)
+    f.__name__: _shipped(f)
+    for f in (op7_token_counts, op8_jaccard_join, op9_best_fit_packing, op10_token_files)
 }
 ORACLES: dict[str, str] = {}
