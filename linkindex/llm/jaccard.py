@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkindex.llm.common import quoted, staged
+from linkindex.llm.common import fresh, quoted, staged
 from linkindex.llm.components import components
 from linkindex.llm.tokens import Cache
 
@@ -100,6 +100,10 @@ class Scheme:
     segments: int
     deletions: bool
 
+    @property
+    def salt(self) -> np.uint64:
+        return np.uint64(int(_SALTS[0]) * (self.number + 1) % (1 << 64))
+
     def weighted(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """Signatures, their segments, marks of empty content, and the weight of the whole set."""
         places = ((tokens >> _HALF) * np.uint64(self.segments)) >> _HALF
@@ -107,7 +111,7 @@ class Scheme:
         held = places[firsts]
         content = mixed(tokens)
         sums = np.add.reduceat(content, firsts)
-        key = mixed(np.arange(self.segments, dtype=np.uint64) + _SALTS[0] * np.uint64(self.number + 1))
+        key = mixed(np.arange(self.segments, dtype=np.uint64) + self.salt)
         if not self.deletions:
             missing = np.setdiff1d(np.arange(self.segments, dtype=np.uint64), held)
             where = np.r_[held, missing].astype(np.int64)
@@ -182,18 +186,19 @@ def class_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) or 1
 
 
-_INDEXED = ("doc_id long, class long, size long, below int, weight long, need long, bucket int,"
-            " entries binary")
+_INDEXED = ("doc_id long, text_key long, class long, size long, below int, weight long, need long,"
+            " bucket int, entries binary")
 _INDEXED_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("class", pa.int64()), ("size", pa.int64()), ("below", pa.int32()),
-    ("weight", pa.int64()), ("need", pa.int64()), ("bucket", pa.int32()), ("entries", pa.binary()),
+    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("class", pa.int64()), ("size", pa.int64()),
+    ("below", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()), ("bucket", pa.int32()),
+    ("entries", pa.binary()),
 ])
-_REDUCED = ("kind int, doc_id long, class long, size long, below int, weight long, need long,"
-            " segment long, sig long, n long, counts boolean")
+_REDUCED = ("kind int, doc_id long, text_key long, class long, size long, below int, weight long,"
+            " need long, segment long, sig long, n long, counts boolean")
 _REDUCED_ARROW = pa.schema([
-    ("kind", pa.int32()), ("doc_id", pa.int64()), ("class", pa.int64()), ("size", pa.int64()),
-    ("below", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()), ("segment", pa.int64()),
-    ("sig", pa.int64()), ("n", pa.int64()), ("counts", pa.bool_()),
+    ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("class", pa.int64()),
+    ("size", pa.int64()), ("below", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()),
+    ("segment", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("counts", pa.bool_()),
 ])
 _DOCUMENT, _WEIGHT, _SHARED = 0, 1, 2
 
@@ -258,7 +263,8 @@ def indexed(docs: DataFrame, buckets: int) -> DataFrame:
                     if held >= FLUSH_ROWS:
                         yield from flush()
             spread = np.array([(i or 0) % buckets for i in ids], np.int32)
-            yield _batch(_INDEXED_ARROW, doc_id=ids, **{"class": classes}, size=sizes, bucket=spread)
+            yield _batch(_INDEXED_ARROW, doc_id=ids, text_key=batch["text_key"],
+                         **{"class": classes}, size=sizes, bucket=spread)
         yield from flush()
 
     return docs.mapInArrow(index, _INDEXED)
@@ -275,7 +281,7 @@ def reduced(index: DataFrame, buckets: int) -> DataFrame:
             for kind, mask in ((_DOCUMENT, pc.and_not(pc.invert(entry), below)), (_WEIGHT, below)):
                 some = batch.filter(mask)
                 if some.num_rows:
-                    columns = {n: some[n] for n in ("doc_id", "class", "size", "below", "weight", "need")}
+                    columns = {n: some[n] for n in _INDEXED_ARROW.names[:-2]}
                     yield _batch(_REDUCED_ARROW, kind=[kind] * some.num_rows, **columns)
             some = batch.filter(entry)
             for bucket, content in zip(some["bucket"].to_pylist(), some["entries"], strict=True):
@@ -475,51 +481,81 @@ def links(texts: DataFrame) -> DataFrame:
             .mapInArrow(compare, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
-
-    Words are runs of anything but blank and the control characters 9 to 13, with A to Z lower-cased;
-    a set holds the distinct shingles of five words, or the whole sequence where there are fewer. Null
-    and empty texts and texts without words have the empty set, which is linked with nothing: their
-    component is their own id. A null id takes no part and has no component. Repeated rows each give a
-    row; an empty table gives none; other columns are not read. Rows of one id with different texts
-    are sets of their own, and their components meet only by links.
-    """
+def _components(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, size, component, component_id`` of every row of ``doc_id, text``;
+    ``component`` is one of the component's classes."""
     spark = docs.sparkSession
-    docs = docs.select(quoted(id_column).cast("long").alias("doc_id"),
-                       quoted(text_column).alias("text"))
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # about one entry to 12 bytes of text; twice as many buckets as tasks where there are few
     buckets = max(-(-n_bytes // (12 * BUCKET_ROWS)), 2 * partitions)
-    table = staged(reduced(indexed(docs, buckets), buckets))
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    table = staged(reduced(indexed(keyed, buckets), buckets))
 
-    documents = table.filter(F.col("kind") == _DOCUMENT).select("doc_id", "class", "size")
+    documents = table.filter(F.col("kind") == _DOCUMENT).select("doc_id", "text_key", "class", "size")
     weights = (table.filter(F.col("kind") == _WEIGHT)
                .groupBy("class", "below").agg(*(F.max(c).alias(c) for c in ("size", "weight", "need"))))
     shared = table.filter(F.col("kind") == _SHARED).select(
         "class", "below", "weight", "segment", "sig", "n", "counts")
     classes = documents.filter(F.col("class") != 0).groupBy("class").agg(
-        F.min("doc_id").alias("first_doc"), F.max("size").alias("size"))
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("size").alias("size"))
 
     chosen = staged(probes(shared, weights))
     edges = candidate_edges(chosen, shared, classes.select("class", "size"))
     clusters = components(edges).select(F.col("node").alias("class"),
                                         F.col("component").alias("cluster"))
     candidates = clusters.join(classes, "class")
-    tasks = staged(compared(candidates).join(classes, "class")
-                   .select(F.col("first_doc").alias("doc_id"), "class", "tasks"))
+    tasks = staged(compared(candidates).join(classes, "class").select("first.*", "class", "tasks"))
     if tasks.count() <= BROADCAST_ROWS:  # spares the shuffle of the texts
         tasks = F.broadcast(tasks)
-    found = staged(links(docs.join(tasks, "doc_id")))
+    found = staged(links(keyed.join(tasks, ["doc_id", "text_key"])))
 
     joined = components(found).select(F.col("node").alias("class"), "component")
     roots = classes.join(joined, "class", "left").select(
-        "class", "first_doc", F.coalesce("component", "class").alias("component"))
-    firsts = roots.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    return (
-        documents.join(roots.join(firsts, "component").select("class", "component_id"), "class", "left")
-        .select("doc_id", F.col("size").alias("n_shingles"),
-                F.coalesce("component_id", "doc_id").alias("component_id"))
-    )
+        "class", "first", F.coalesce("component", "class").alias("component"))
+    firsts = roots.groupBy("component").agg(F.min("first.doc_id").alias("component_id"))
+    return documents.join(
+        roots.join(firsts, "component").select("class", "component", "component_id"), "class", "left"
+    ).select("doc_id", "text_key", "size", "component",
+             F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id",
+                    text_column: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row.
+
+    Words are runs of anything but blank and the control characters 9 to 13, with A to Z lower-cased;
+    a set holds the distinct shingles of five words, or the whole sequence where there are fewer. Null
+    and empty texts and texts without words have the empty set, which is linked with nothing: their
+    component is their own id. A null id takes no part and has no component. Repeated rows each give a
+    row; an empty table gives none; other columns are not read. Rows of one id with different texts
+    are sets of their own, and their components meet only by links.
+    """
+    narrow = docs.select(quoted(id_column).cast("long").alias("doc_id"),
+                         quoted(text_column).alias("text"))
+    return _components(narrow).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """The row of the smallest ``doc_id`` of each component, with all columns.
+
+    Of rows that repeat it, one stays. Rows without an id or without words all stay.
+    """
+    key = [fresh(docs, "key_id"), fresh(docs, "key_text")]
+    own = docs.select("doc_id", "text").filter("doc_id is not null")
+    rows = staged(_components(own.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+                  .filter("size > 0"))
+    keepers = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
+    keys = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    keepers = keepers.select("k.*").join(keys, ["doc_id", "text_key"])
+    losers = staged(keys.join(keepers, ["doc_id", "text_key"], "left_anti")
+                    .select(F.col("doc_id").alias(key[0]), F.col("text_key").alias(key[1])))
+    repeated = staged(keepers.filter("n > 1")
+                      .select(F.col("doc_id").alias(key[0]), F.col("text_key").alias(key[1])))
+    keyed = docs.withColumns({key[0]: F.col("doc_id").cast("long"), key[1]: F.xxhash64("text")})
+    small = losers.count() <= BROADCAST_ROWS  # spares the shuffle of the texts
+    kept = keyed.join(F.broadcast(losers) if small else losers, key, "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, key, "left_semi").dropDuplicates(key)
+        kept = kept.join(repeated, key, "left_anti").unionByName(once)
+    return kept.drop(*key)

@@ -8,7 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from linkindex.llm import chat, id_files, jaccard, packing, sharding, token_counts, topk, toxicity
+from linkindex.llm import (
+    chat, credentials, decontam, id_files, jaccard, packing, sharding, token_counts, topk, toxicity,
+)
 from linkindex.llm.common import ship, table
 
 
@@ -31,10 +33,18 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(more)))
 
 
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.scan(table(spark, folder, "documents"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents"), SHARDS)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(table(spark, folder, "documents"), path, limit=1024)
@@ -65,8 +75,9 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable:
 
 QUERIES = {
     f.__name__: _shipped(f)
-    for f in (op1_exact_topk, op2_toxicity, op3_chat_formatting, op5_sharding, op7_token_counts,
-              op8_jaccard_join, op9_best_fit_packing, op10_token_files)
+    for f in (op1_exact_topk, op2_toxicity, op3_chat_formatting, op4_secret_scans, op5_sharding,
+              op6_benchmark_decontamination, op7_token_counts, op8_jaccard_join,
+              op9_best_fit_packing, op10_token_files)
 }
 #: DuckDB's forms. What they leave out cannot be said in SQL: learning, regular tokenisers, files.
 ORACLES: dict[str, str] = {

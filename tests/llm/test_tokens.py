@@ -1,0 +1,166 @@
+"""Token counts, packing and token files against the tokenizers library itself."""
+
+from __future__ import annotations
+
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from linkindex.llm import id_files, packing, token_counts
+from linkindex.llm.common import shared_folder
+from linkindex.llm.tokens import IdEncoder, Vocabulary
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, n_tokens string, Piece int"
+
+TEXTS = [
+    (5, "The quick brown fox's 12 jumps.\n\n  Naïve café", "x", 1), (1, None, "x", 1), (2, "", None, None),
+    (3, "<|endoftext|>a<|startoftext|> b", "x", 1), (4, "   \x1cΣΑΣ é \U0001f600 漢字", "x", 1),
+    (7, "same", "x", 1), (7, "same", "x", 1), (None, "no id", "x", 1), (9, "word " * 9000, "x", 1),
+    (10, " " * 500 + "x", "x", 1), (-3, "tail  ", "x", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return {p: Tokenizer.from_file(p) for p in (WORDS, BYTES)}
+
+
+def packed(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+ALPHABET = list("ab Z\n\t'sré09É.,<|>\x1c\x85  ́漢ΣİŉÅ") + [
+    "'ll", " the", "<|endoftext|>", "<|startoftext|>", "\r\n", "  "]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(ALPHABET), max_size=30).map("".join))
+def test_chunks_give_what_the_library_gives(text):
+    for path in (WORDS, BYTES):
+        vocabulary = Vocabulary(path) if path not in _made else _made[path]
+        _made[path] = vocabulary
+        chunks = vocabulary.chunks(text)
+        ids = vocabulary.library_ids(text) if chunks is None else [
+            i for c in chunks for i in vocabulary.chunk_ids(c)]
+        assert ids == vocabulary.library_ids(text)
+
+
+_made: dict[str, Vocabulary] = {}
+
+
+def test_cache_that_overflows_changes_nothing(library):
+    encoder = IdEncoder(WORDS)
+    encoder.cache.size = 3
+    text = "one two three four five one two three four five six"
+    assert encoder.encode(text) == packed(library[WORDS].encode(text, add_special_tokens=False).ids)
+
+
+def test_whole_tokens_are_proved(library):
+    whole = token_counts.proved_whole_tokens(BYTES)
+    assert len(whole) > 40_000 and "Ġthe" in whole
+
+
+def test_counts(spark, library):
+    docs = spark.createDataFrame(TEXTS, SCHEMA)
+    rows = token_counts.count_tokens(docs, BYTES, limit=1024).collect()
+    want = sorted(((i, len((t or "").encode()), len(library[BYTES].encode(t or "", add_special_tokens=False).ids))
+                   for i, t, *_ in TEXTS), key=str)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in rows), key=str) == want
+    assert all(r.over_limit == (r.n_tokens > 1024) for r in rows)
+    assert token_counts.count_tokens(docs.limit(0), BYTES, 1024).count() == 0
+
+
+def test_packing(spark, library):
+    docs = spark.createDataFrame(TEXTS, SCHEMA).repartition(3)
+    rows = packing.pack(docs, WORDS, end_id=1).collect()
+    ids = {i: library[WORDS].encode(t or "", add_special_tokens=False).ids + [1] for i, t, *_ in TEXTS}
+    for r in rows:
+        part = packed(ids[r.doc_id][r.start:r.start + r.length])
+        assert len(part) == 4 * r.length and zlib.crc32(part) == r.ids_crc32 and r.start == 4096 * r.piece
+    assert sum(r.length for r in rows) == sum(len(ids[i]) for i, *_ in TEXTS)
+    check_sequences([(r.sequence_id, r.offset, r.length) for r in rows])
+    assert packing.pack(docs.limit(0), WORDS, end_id=1).count() == 0
+
+
+def check_sequences(places, capacities=packing.Capacities()):
+    by = {}
+    for sequence, offset, length in sorted(places):
+        at, n, cost = by.get(sequence, (0, 0, 0))
+        assert offset == at
+        by[sequence] = (at + length, n + 1, cost + length**2)
+    for tokens, n, cost in by.values():
+        assert tokens <= capacities.tokens and n <= capacities.documents and cost <= capacities.cost
+    return len(by)
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("capacities", [packing.Capacities(), packing.Capacities(4096, 5, 4096**2),
+                                        packing.Capacities(100, 100, 3000), packing.Capacities(100, 1, 10**4)])
+def test_plan_holds_every_constraint(rule, capacities):
+    draw = random.Random(3)
+    longest = min(capacities.tokens, math.isqrt(capacities.cost))
+    histogram = {}
+    for _ in range(700):
+        n = min(longest, 1 + int(draw.expovariate(3 / longest)))
+        histogram[n] = histogram.get(n, 0) + draw.choice([1, 1, 40])
+    plan = packing.plan_bins(histogram, capacities, packing.Choice(rule))
+    places = []
+    for length, rows in plan.items():
+        for rank in range(histogram[length]):
+            first, sequence, each, used = max(r for r in rows if r[0] <= rank)
+            k = rank - first
+            places.append((sequence + k // each, used + k % each * length, length))
+    n = check_sequences(places, capacities)
+    total = sum(k * v for k, v in histogram.items())
+    if capacities == packing.Capacities():
+        assert n <= math.ceil(total / capacities.tokens) * 1.02 + 1
+    assert sum(map(len, plan.values())) <= 48 * capacities.tokens
+
+
+def test_plan_of_nothing():
+    assert packing.plan_bins({}, packing.Capacities(), packing.Choice()) == {}
+
+
+def test_files(spark, library, monkeypatch):
+    monkeypatch.setattr(id_files, "FRAME_BYTES", 64)
+    docs = spark.createDataFrame(TEXTS, SCHEMA).repartition(3)
+    rows = id_files.round_trip(docs, WORDS, end_id=2).collect()
+    at = 0
+    order = sorted(TEXTS, key=lambda t: (t[0] is not None, t[0] or 0, t[1] or ""))
+    assert len(rows) == len(order)
+    for r, (i, t, *_) in zip(sorted(rows, key=lambda r: r.start), order, strict=True):
+        own = packed([*library[WORDS].encode(t or "", add_special_tokens=False).ids, 2])
+        assert (r.doc_id, r.start, 4 * r.n_tokens, r.ids_crc32) == (i, at, len(own), zlib.crc32(own))
+        at += r.n_tokens
+    assert id_files.round_trip(docs.limit(0), WORDS, end_id=2).count() == 0
+
+
+def test_requested_documents_only(spark, library):
+    folder = shared_folder(spark).removeprefix("file:")
+    docs = spark.createDataFrame(TEXTS, SCHEMA)
+    files = id_files.write_ids(docs, WORDS, 2, folder).collect()
+    found = {}
+    for f in files:
+        found |= id_files.requested(f"file://{folder}/{f.name}", [9, 3, 77])
+    assert sorted(found) == [3, 9]
+    assert found[3].tolist() == [*library[WORDS].encode(TEXTS[3][1], add_special_tokens=False).ids, 2]
+
+
+def test_damage_is_seen():
+    writer = id_files.Writer()
+    writer.add(1, packed([1, 2, 3]))
+    data = bytearray(writer.finish())
+    frames, docs = id_files.seek_table(bytes(data))
+    assert docs.tolist() == [(1, 3)] and len(frames) == 1
+    data[-20] ^= 1
+    with pytest.raises(ValueError):
+        id_files.seek_table(bytes(data))
