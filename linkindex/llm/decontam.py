@@ -5,9 +5,10 @@ divided by what the part scores for its own text: a passage that holds all of a
 posting list is in blocks of ``POSTING_BLOCK`` parts, each with its largest impact.
 
 Every document is cut into overlapping passages so wide that any part lies within one of them. Every
-passage is a query, and all parts that score above ``THRESHOLD`` are retrieved. A passage whose terms'
-largest impacts do not sum to the threshold cannot retrieve any; the others go through block-max WAND.
-What is retrieved is verified: of the item's question and of its answer, the last sentence, the share
+passage is a query, and all parts that score above ``THRESHOLD`` are retrieved. A part's lesser terms
+together weigh little of the threshold, so a passage reaches it only with enough of its weightier
+ones; passages that reach no part so are passed over, in arrays, and the others go through block-max
+WAND with all their terms. What is retrieved is verified: of the item's question and of its answer, the last sentence, the share
 of five-word shingles that the document holds.
 
 The index is a fixed multiple of the benchmark's text. It is broadcast in segments of at most
@@ -23,6 +24,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ PART_WORDS = 128
 POSTING_BLOCK = 16
 #: Least score of a passage, as a share of the part's score for its own text.
 THRESHOLD = 0.5
+#: A part's least terms that weigh less than this share of the threshold together are its lesser ones.
+LESSER = 0.1
 #: Words of a shingle, and the least share of them that a contaminated document holds.
 WIDTH, OVERLAP = 5, 0.8
 SEGMENT_WORDS = 2_000_000
@@ -108,8 +112,27 @@ class Index:
                 postings[term][1].append(impact / own)
         self.terms = {t: k for k, t in enumerate(postings)}
         self.postings = [Postings(np.array(p), np.array(x)) for p, x in postings.values()]
-        #: of each term its largest impact; the last stands for all words without postings
-        self.most = np.array([p.most for p in self.postings] + [0.0])
+        self.stride = max((sum(c.values()) for c in counts), default=1)
+        self._weightier(len(counts))
+
+    def _weightier(self, n_parts: int) -> None:
+        """Per term, the parts of which it is one of the weightier terms; per part, what the passage
+        must have of those to score the threshold."""
+        terms = np.repeat(np.arange(len(self.postings)), [len(p.parts) for p in self.postings])
+        parts = np.concatenate([p.parts for p in self.postings])
+        impacts = np.concatenate([p.impacts for p in self.postings])
+        order = np.lexsort((terms, impacts, parts))  # per part, the least impact first
+        terms, parts, impacts = terms[order], parts[order], impacts[order]
+        sums = np.cumsum(impacts)
+        firsts = np.searchsorted(parts, np.arange(n_parts))
+        sums -= (sums[firsts] - impacts[firsts])[parts]
+        lesser = sums < LESSER * THRESHOLD
+        rest = np.bincount(parts[lesser], impacts[lesser], minlength=n_parts)
+        self.needed = THRESHOLD - rest - 1e-9
+        order = np.argsort(terms[~lesser], kind="stable")
+        self.parts, self.impacts = parts[~lesser][order], impacts[~lesser][order]
+        counts = np.bincount(terms[~lesser], minlength=len(self.postings) + 1)
+        self.begins = np.concatenate([[0], np.cumsum(counts)])  # the last term: no postings
 
     def above(self, terms: list[int], threshold: float) -> list[int]:
         """All parts that score above the threshold for these distinct terms, by block-max WAND."""
@@ -156,22 +179,38 @@ class Index:
             cursors = [c for c in cursors if c[1] < len(c[0].parts)]
         return found
 
+    def passages(self, ids: np.ndarray) -> np.ndarray:
+        """The passages of a document that may retrieve a part."""
+        # a passage is two strides wide, so a word is in that of its stride and in the one before
+        held = np.flatnonzero(self.begins[ids + 1] > self.begins[ids])
+        place, width = held // self.stride, len(self.begins)
+        own = np.unique(np.concatenate([place, place[place > 0] - 1]) * width
+                        + np.concatenate([ids[held], ids[held[place > 0]]]))
+        place, ids = own // width, own % width
+        begin, count = self.begins[ids], self.begins[ids + 1] - self.begins[ids]
+        ends = np.cumsum(count)
+        if not len(ends):
+            return ends
+        entry = np.repeat(begin - ends + count, count) + np.arange(ends[-1])
+        n = len(self.needed)
+        key = np.repeat(place, count) * n + self.parts[entry]
+        size = (int(place[-1]) + 1) * n
+        if size <= 1 << 18:
+            sums = np.bincount(key, self.impacts[entry], minlength=size)
+            hits = np.flatnonzero(sums >= np.tile(self.needed, size // n))
+        else:
+            keys, at = np.unique(key, return_inverse=True)
+            hits = keys[np.bincount(at, self.impacts[entry]) >= self.needed[keys % n]]
+        return np.unique(hits // n)
+
     def retrieved(self, words: list[str]) -> set[int]:
         """The items of which a part scores above the threshold for some passage."""
-        stride = PART_WORDS
         none = len(self.postings)
-        get = self.terms.get
-        ids = np.array([get(w, none) for w in words], dtype=np.int64)
-        # of a passage with repeated words the sum is too high, never too low
-        sums = np.concatenate([[0.0], np.cumsum(self.most[ids])])
-        firsts = np.arange(0, max(len(words) - stride, 1), stride)
-        lasts = np.minimum(firsts + 2 * stride, len(words))
+        ids = np.array(list(map(self.terms.get, words, repeat(none))), dtype=np.int64)
         items: set[int] = set()
-        for k in np.flatnonzero(sums[lasts] - sums[firsts] >= THRESHOLD - 1e-9):
-            terms = np.unique(ids[firsts[k]:lasts[k]])
-            terms = terms[terms < none]
-            if self.most[terms].sum() >= THRESHOLD - 1e-9:
-                items |= {self.owner[p] for p in self.above(terms.tolist(), THRESHOLD - 1e-9)}
+        for k in self.passages(ids).tolist():
+            terms = np.unique(ids[k * self.stride:(k + 2) * self.stride])
+            items |= {self.owner[p] for p in self.above(terms[terms < none].tolist(), THRESHOLD - 1e-9)}
         return items
 
     def leaks(self, text: str | None) -> list[dict]:
