@@ -21,7 +21,8 @@ HEADLINES = [
     "index_full", "explode_links", "link_paye", "latest_employees", "legal_entities_refs",
     "paye_refs", "match_by_company", "match_by_vat", "assign_ids_key", "assign_ids_full",
     "assign_ids_first_month", "dense_ids", "ingest_roundtrip", "write_links_roundtrip",
-    "csv_extract", "profile",
+    "csv_extract", "profile", "index_deduped", "match_by_paye", "assign_ids_one_to_one",
+    "legal_entities_direct",
 ]
 
 

@@ -8,6 +8,7 @@ other views group and join, so they are staged as the Parquet files the jobs exp
 
 from __future__ import annotations
 
+import re
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -212,9 +213,12 @@ class Tables:
         return stage(df, name) if name in _STAGED else df
 
     def _sql(self, name: str) -> DataFrame:
-        for needed in _needs(name):
-            self[needed].createOrReplaceTempView(needed)
-        return self.spark.sql(VIEWS[name])
+        frames = {needed: self[needed] for needed in _needs(name)}
+        text = VIEWS[name]
+        for needed in frames:  # Spark takes frames as arguments in braces
+            text = re.sub(rf"(FROM|JOIN) {needed}\b", rf"\1 {{{needed}}} {needed}", text)
+            text = re.sub(rf"\{{{needed}\}} {needed} (?=[a-z]\b(?!\.))", f"{{{needed}}} ", text)
+        return self.spark.sql(text, **frames)
 
     def index(self, **options) -> DataFrame:
         """The index of the numbered links, as a plan."""

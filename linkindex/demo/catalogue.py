@@ -421,20 +421,43 @@ def _(t: Tables):
     return max_ubrn(t["prev_links"])
 
 
-@query("assign_ids_key", O.key_assignment(O.COMPANY_MATCH))
+@query("assign_ids_key", O.key_assignment(O.COMPANY_MATCH, one_to_one=False))
+def _(t: Tables):
+    return _as_text(matching.assign_ids(t["new_links"], t["prev_links"], one_to_one=False))
+
+
+@query("assign_ids_default", O.key_assignment(O.COMPANY_MATCH))
 def _(t: Tables):
     return _as_text(matching.assign_ids(t["new_links"], t["prev_links"]))
 
 
-@query("assign_ids_edited", O.key_assignment(O.ID_MATCH, "edited_links"))
+@query("assign_ids_high_water", O.key_assignment(O.COMPANY_MATCH, highest="2000000000000000"))
+def _(t: Tables):
+    return _as_text(matching.assign_ids(t["new_links"], t["prev_links"], high_water=2 * 10**15))
+
+
+@query("assign_ids_blank_matches_nothing", O.cascade(one_to_one=True, blanks_match=False))
+def _(t: Tables):
+    return _as_text(
+        matching.assign_ids(
+            t["new_links"], t["prev_links"], rules=matching.ALL_RULES, blanks_match=False
+        )
+    )
+
+
+@query("assign_ids_edited", O.key_assignment(O.ID_MATCH, "edited_links", one_to_one=False))
 def _(t: Tables):
-    return _as_text(matching.assign_ids(t["edited_links"], t["prev_links"]))
+    return _as_text(
+        matching.assign_ids(t["edited_links"], t["prev_links"], one_to_one=False)
+    )
 
 
 @query("assign_ids_full", O.cascade())
 def _(t: Tables):
     return _as_text(
-        matching.assign_ids(t["new_links"], t["prev_links"], rules=matching.ALL_RULES)
+        matching.assign_ids(
+            t["new_links"], t["prev_links"], rules=matching.ALL_RULES, one_to_one=False
+        )
     )
 
 
@@ -459,8 +482,11 @@ def _(t: Tables):
 
 @query("assign_ids_input_order", O.key_assignment(O.COMPANY_MATCH, columns="UBRN"))
 def _(t: Tables):
-    """The numbers given; which link gets which new one depends on the files."""
-    return matching.assign_ids(t["new_links"], t["prev_links"], input_order=True).select("UBRN")
+    """The numbers given, by the order of the files."""
+    path = staging.new_path(t.spark, "new-links")
+    t["new_links"].write.parquet(path)
+    new = readers.read_in_order(t.spark, path)
+    return matching.assign_ids(new, t["prev_links"], input_order=True).select("UBRN")
 
 
 @query(
@@ -670,6 +696,15 @@ def _(t: Tables):
     return _as_text(quality.links_by_first_vat(t["links"], 110505))
 
 
+@query(
+    "odd_refs_first",
+    f"""{with_views('paye')} SELECT payeref, name1 FROM paye WHERE length(payeref) = 7
+        ORDER BY payeref NULLS FIRST, name1 NULLS FIRST LIMIT 10""",
+)
+def _(t: Tables):
+    return quality.refs_of_length(t["paye"], 7, limit=10)
+
+
 @query(
     "vat_lookup",
     f"{with_views('vat')} SELECT vatref, name3, turnover FROM vat WHERE vatref = 110505",
@@ -699,8 +734,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """SQL over the views a user registers."""
-    readers.register_views(links_view=t["links"], vat_view=t["vat"])
+    readers.register_views(linkindex_links=t["links"], linkindex_vat=t["vat"])
     return t.spark.sql("""
         SELECT status, count(*) AS records, sum(turnover) AS turnover
-        FROM (SELECT explode(VAT) AS ref FROM links_view) l
-        JOIN vat_view ON CAST(vatref AS STRING) = l.ref GROUP BY status""")
+        FROM (SELECT explode(VAT) AS ref FROM linkindex_links) l
+        JOIN linkindex_vat ON CAST(vatref AS STRING) = l.ref GROUP BY status""")

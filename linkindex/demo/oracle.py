@@ -152,13 +152,21 @@ CONTENT_MATCH = """SELECT o.UBRN, n.GID, n.CH, n.VAT, n.PAYE
 
 
 def reference_match(col: str, o: str = "o", n: str = "n") -> str:
-    return f"""SELECT t.UBRN, n.GID, n.CH, n.VAT, n.PAYE FROM (
-        SELECT a.UBRN, b.GID,
-            dense_rank() OVER (PARTITION BY a.UBRN ORDER BY a.r) AS ru,
-            dense_rank() OVER (PARTITION BY b.GID ORDER BY b.r) AS rg
-        FROM (SELECT UBRN, unnest({col}) AS r FROM {o}) a
-        JOIN (SELECT GID, unnest({col}) AS r FROM {n}) b ON a.r = b.r) t
-        JOIN {n} n ON n.GID = t.GID WHERE ru = 1 AND rg = 1"""
+    """Of the pairs that share a reference, those whose shared one is the lowest that either side
+    shares with anything; once for every time that the two hold it."""
+    return f"""SELECT UBRN, GID, n.CH, n.VAT, n.PAYE FROM (
+        WITH shared AS (
+            SELECT u.UBRN, g.GID, u.ref
+            FROM (SELECT UBRN, unnest({col}) AS ref FROM {o}) u,
+                 (SELECT GID, unnest({col}) AS ref FROM {n}) g
+            WHERE u.ref = g.ref
+        )
+        SELECT shared.UBRN, shared.GID FROM shared
+        JOIN (SELECT UBRN, min(ref) AS ref FROM shared GROUP BY UBRN) low_unit
+            ON low_unit.UBRN = shared.UBRN AND low_unit.ref = shared.ref
+        JOIN (SELECT GID, min(ref) AS ref FROM shared GROUP BY GID) low_link
+            ON low_link.GID = shared.GID AND low_link.ref = shared.ref
+    ) found JOIN {n} n USING (GID)"""
 
 
 def numbered(need: str, base: str) -> str:
@@ -173,18 +181,38 @@ def numbered(need: str, base: str) -> str:
 MAX_UBRN = f"(SELECT coalesce(max(UBRN), {BASE}) FROM o)"
 
 
-def key_assignment(match: str, new: str = "new_links", columns: str | None = None) -> str:
+def lowest_only(found: str) -> str:
+    """Of each new link the match with the lowest number."""
+    return f"""SELECT min(UBRN) AS UBRN, GID, any_value(CH) AS CH, any_value(VAT) AS VAT,
+        any_value(PAYE) AS PAYE FROM ({found}) GROUP BY GID"""
+
+
+def key_assignment(
+    match: str,
+    new: str = "new_links",
+    columns: str | None = None,
+    one_to_one: bool = True,
+    highest: str = MAX_UBRN,
+) -> str:
+    found = match.format(o="o", n="n")
     return matching(
         f"SELECT {columns or f'UBRN, {text()}'} FROM (SELECT UBRN, CH, VAT, PAYE FROM m "
         f"UNION ALL SELECT * FROM x)",
-        f"m AS ({match.format(o='o', n='n')})",
+        f"m AS MATERIALIZED ({lowest_only(found) if one_to_one else found})",
         "rest AS (SELECT * FROM n WHERE GID NOT IN (SELECT GID FROM m))",
-        f"x AS ({numbered('rest', MAX_UBRN)})",
+        f"x AS ({numbered('rest', highest)})",
         new=new,
     )
 
 
-def cascade(one_to_one: bool = False) -> str:
+_FILLED = ", ".join(
+    f"CASE WHEN len(list_filter({c}, lambda r: r <> '')) > 0 "
+    f"THEN list_filter({c}, lambda r: r <> '') END AS {c}"
+    for c in ("CH", "VAT", "PAYE")
+)
+
+
+def cascade(one_to_one: bool = False, blanks_match: bool = True) -> str:
     """All four rules in order, each on what is left."""
     steps = []
     rules = [
@@ -194,20 +222,26 @@ def cascade(one_to_one: bool = False) -> str:
         lambda o, n: reference_match("PAYE", o, n),
     ]
     o, n = "o", "n"
+    if not blanks_match:
+        steps += [f"of AS MATERIALIZED (SELECT UBRN, {_FILLED} FROM o)",
+                  f"nf AS MATERIALIZED (SELECT GID, {_FILLED} FROM n)"]
+        o, n = "of", "nf"
     for i, rule in enumerate(rules):
         found = rule(o, n)
         if one_to_one:
-            found = f"""SELECT min(UBRN) AS UBRN, GID, any_value(CH) AS CH, any_value(VAT) AS VAT,
-                any_value(PAYE) AS PAYE FROM ({found}) GROUP BY GID"""
+            found = lowest_only(found)
         steps += [
             f"m{i} AS MATERIALIZED ({found})",
             f"o{i} AS MATERIALIZED (SELECT * FROM {o} WHERE UBRN NOT IN (SELECT UBRN FROM m{i}))",
             f"n{i} AS MATERIALIZED (SELECT * FROM {n} WHERE GID NOT IN (SELECT GID FROM m{i}))",
         ]
         o, n = f"o{i}", f"n{i}"
-    every = " UNION ALL ".join(f"SELECT UBRN, CH, VAT, PAYE FROM m{i}" for i in range(4))
+    every = " UNION ALL ".join(f"SELECT UBRN, GID FROM m{i}" for i in range(4))
     return matching(
-        f"SELECT UBRN, {text()} FROM ({every} UNION ALL SELECT * FROM x)",
+        f"SELECT UBRN, {text()} FROM (SELECT m.UBRN, n.CH, n.VAT, n.PAYE FROM ({every}) m "
+        f"JOIN n USING (GID) UNION ALL SELECT * FROM x)",
         *steps,
-        f"x AS ({numbered(n, MAX_UBRN)})",
+        f"y AS (SELECT CH, VAT, PAYE FROM n JOIN {n} USING (GID))" if n == "n"
+        else f"y AS (SELECT n.CH, n.VAT, n.PAYE FROM n WHERE GID IN (SELECT GID FROM {n}))",
+        f"x AS ({numbered('y', MAX_UBRN)})",
     )

@@ -1,9 +1,11 @@
 """Carry unit numbers over from last month's links (``old``) to this month's (``new``).
 
 A rule says which old and new links are the same unit. Its matches hold the new link's content
-under the old link's number, once per matching pair; ``one_to_one`` keeps the lowest number of each
-new link instead, and then reduces the old side to one row per key before the join, so that a key
-shared by many links on both sides costs no more than its rows.
+under the old link's number. A rule on its own gives every matching pair; ``one_to_one``, which the
+jobs and ``assign_ids`` set by default, keeps the lowest number of each new link, and then reduces
+the old side to one row per key before the join, so that a key shared by many links on both sides
+costs no more than its rows. The pair form is for keys that few links share: N old and M new links
+of one key are N x M rows.
 """
 
 from __future__ import annotations
@@ -39,8 +41,8 @@ class Matches:
     unmatched_old: DataFrame
 
 
-def blanks_to_null(links: DataFrame) -> DataFrame:
-    """Drop blank references; an array left without any becomes null."""
+def without_blanks(links: DataFrame) -> DataFrame:
+    """Links to match on: blank references dropped, an array left without any becomes null."""
     kept = {c: F.filter(c, lambda r: r != "") for c in CONTENT}
     return links.withColumns({c: F.when(F.size(a) > 0, a) for c, a in kept.items()})
 
@@ -191,31 +193,49 @@ def apply_rules(
     new: DataFrame,
     old: DataFrame,
     rules: Sequence[str] = DEFAULT_RULES,
-    one_to_one: bool = False,
+    one_to_one: bool = True,
+    blanks_match: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the rules in order, each on what the ones before left: (matched, need a number).
 
     What a rule found, as numbers and row keys, and what it left are staged, so that no rule
-    recomputes the ones before it. The matched content is fetched once, after the last rule.
+    recomputes the ones before it; what is left holds only the columns that later rules match on.
+    The content is fetched once, after the last rule, as it came: also where ``blanks_match`` is
+    off and the rules do not see its blanks.
     """
     unknown = [name for name in rules if name not in ALL_RULES]
     if unknown or not rules:
         raise ValueError(f"unknown rules {unknown}; known: {', '.join(ALL_RULES)}")
-    if tuple(rules) == ("key",):
+    if tuple(rules) == ("key",) and blanks_match:
         return _apply_key_rule(new, old, one_to_one)
     keyed = new if "GID" in new.columns else with_gid(new)
     rest_new, rest_old = keyed, old
+    if not blanks_match:
+        rest_new, rest_old = without_blanks(keyed), without_blanks(old)
     found = []
     for i, name in enumerate(rules, 1):
         pairs = stage(_pairs(name, rest_old, rest_new, one_to_one), f"pairs-{name}")
         found.append(pairs)
         left = exclude_matched(rest_old, rest_new, pairs)
-        rest_new, rest_old = left.unmatched_new, left.unmatched_old
+        used = {c for later in rules[i:] for c in _used_by(later, keyed)}
         if i < len(rules):
-            rest_new = stage(rest_new, f"new-after-{name}")
-            rest_old = stage(rest_old, f"old-after-{name}")
-    matched = _with_content(reduce(DataFrame.unionByName, found), keyed)
-    return matched.select("UBRN", *CONTENT), rest_new.select(*_content(keyed))
+            rest_new = stage(_only(left.unmatched_new, used | {"GID"}), f"new-after-{name}")
+            rest_old = stage(_only(left.unmatched_old, used | {"UBRN"}), f"old-after-{name}")
+    pairs = reduce(DataFrame.unionByName, found)
+    matched = _with_content(pairs, keyed)
+    rest = keyed.join(pairs.select("GID").distinct(), "GID", "left_anti")
+    return matched.select("UBRN", *CONTENT), rest.select(*_content(keyed))
+
+
+def _used_by(rule: str, new: DataFrame) -> list[str]:
+    """The columns that a rule looks at."""
+    if rule == "key":
+        return ["UBRN"] if "UBRN" in new.columns else [CH]
+    return CONTENT if rule == "content" else [rule.upper()]
+
+
+def _only(links: DataFrame, columns: set[str]) -> DataFrame:
+    return links.select(*[c for c in links.columns if c in columns])
 
 
 def combine_links(carried: DataFrame, numbered: DataFrame) -> DataFrame:
@@ -228,27 +248,28 @@ def assign_ids(
     new: DataFrame,
     prev: DataFrame,
     rules: Sequence[str] = DEFAULT_RULES,
-    one_to_one: bool = False,
-    blank_is_null: bool = False,
+    one_to_one: bool = True,
+    blanks_match: bool = True,
     high_water: int | None = None,
     input_order: bool = False,
 ) -> DataFrame:
     """Match the new links to the previous ones and number the rest after the highest number.
 
-    New numbers go by the links' content, or with ``input_order`` by their order in the input,
-    which then depends on how its files are split. ``high_water`` is the highest number ever issued, if it may exceed those in ``prev``. With
-    ``blank_is_null`` a blank reference matches nothing and is not written.
+    New numbers go by the links' content, or with ``input_order`` by ``_file`` and ``_row`` of the
+    new links, which ``readers.read_in_order`` takes from their files. ``high_water`` is the highest
+    number ever issued, if it may exceed those in ``prev``. Without ``blanks_match`` a blank
+    reference matches nothing; it is written as it came.
     """
     if new.isEmpty():
         raise ValueError("the batch of new links is empty")
-    if blank_is_null:
-        new, prev = blanks_to_null(new), blanks_to_null(prev)
     if input_order:
         new = with_gid(new)
-    carried, rest = apply_rules(new, prev, rules, one_to_one)
+        places = new.select("GID", "_file", "_row")
+        new = new.drop("_file", "_row")
+    carried, rest = apply_rules(new, prev, rules, one_to_one, blanks_match)
     base = max_ubrn(prev).scalar()
     if high_water is not None:
         base = F.greatest(base, F.lit(high_water).cast("bigint"))
     if input_order:
-        return combine_links(carried, allocate_ids_in_order(rest, base))
+        return combine_links(carried, allocate_ids_in_order(rest.join(places, "GID"), base))
     return combine_links(carried, allocate_dense_ids(rest.select(*CONTENT), base))

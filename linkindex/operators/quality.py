@@ -55,5 +55,5 @@ def units_by_name(index: DataFrame, name: str, limit: int | None = None) -> Data
 
 
 def _first(found: DataFrame, limit: int | None) -> DataFrame:
-    """All rows, or just a few to look at."""
-    return found if limit is None else found.limit(limit)
+    """All rows, or the first few in the order of their columns."""
+    return found if limit is None else found.orderBy(*found.columns).limit(limit)

@@ -70,7 +70,12 @@ def lookup_join(paye: DataFrame, lookup: DataFrame, dedupe_lookup: bool = False)
     if dedupe_lookup:
         sic = sic.groupBy("tcn").agg(F.min("SIC07").alias("SIC07"))
     coded = paye.withColumn("stc", F.col("stc").try_cast("int"))
-    return coded.join(sic, coded["stc"] == sic["tcn"], "left").drop("tcn")
+    # records without a code would all be shuffled to one place to find nothing
+    found = coded.where(F.col("stc").isNotNull()).join(
+        sic.withColumnRenamed("tcn", "stc"), "stc", "left"
+    ).select(*coded.columns, "SIC07")
+    without = coded.where(F.col("stc").isNull()).withColumn("SIC07", F.lit(None).cast("string"))
+    return found.unionByName(without)
 
 
 def paye_view(

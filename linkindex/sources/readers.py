@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -65,3 +66,10 @@ def register_views(**tables: DataFrame) -> None:
     """Make frames available to SQL under the given names."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet with ``_file``, its path, and ``_row``, the place in that file, of each row."""
+    rows = spark.read.parquet(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))

@@ -1,56 +1,75 @@
-"""Tables written on the way, in the shared folder the session names for checkpoints."""
+"""Tables written on the way, in the shared folder the session names for checkpoints.
+
+The folder is ``spark.checkpoint.dir``; where that is unset, the session's warehouse, which all
+executors reach too. Every run has a folder of its own there. ``staged_until_done`` opens a run and
+removes its folder at the end; tables staged outside of one belong to the session's own run, which
+stays until its owner clears it with ``clear_session``.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CHECKPOINT_DIR = "spark.checkpoint.dir"
-_staged: list[str] = []
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+_session_runs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for a local master without it."""
-    folder = spark.conf.get(_CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
-    return _temporary_dir(spark.sparkContext.applicationId)
+    """The folder for staged tables: the same rule on every master."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
+
+
+def _new_run(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/linkindex-{uuid.uuid4().hex}"
+
+
+def _session_key(spark: SparkSession) -> str:
+    return f"{spark.conf.get('spark.app.id')} {shared_dir(spark)}"
 
 
-@cache
-def _temporary_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"linkindex-{application}-")
+def run_dir(spark: SparkSession) -> str:
+    """The folder of the run that is open here, or the session's own."""
+    return _run.get() or _session_runs.setdefault(_session_key(spark), _new_run(spark))
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has used yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/linkindex-{app}/{name}-{uuid.uuid4().hex}"
+    """A path in the run's folder that nothing has used yet."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` and read it back: the rows are fixed and the plan above starts from files."""
     path = new_path(df.sparkSession, name)
-    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def staged_until_done(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables staged inside the block once it ends."""
-    before = len(_staged)
+def staged_until_done(spark: SparkSession) -> Iterator[str]:
+    """A run of its own, removed with all its tables once the block ends."""
+    folder = _new_run(spark)
+    token = _run.set(folder)
     try:
-        yield
+        yield folder
     finally:
-        for path in _staged[before:]:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        del _staged[before:]
+        _run.reset(token)
+        remove(spark, folder)
+
+
+def clear_session(spark: SparkSession) -> None:
+    """Remove what was staged outside of any run. Frames read from it can no longer be used."""
+    folder = _session_runs.pop(_session_key(spark), None)
+    if folder:
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever it is; Spark has no public call for it, so Hadoop's is taken."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
