@@ -43,7 +43,7 @@ PART, WHOLE = 80, 100
 #: Segment signatures per bucket of the index; a bucket is handled by one task in arrays.
 BUCKET_ROWS = 1_000_000
 #: Index entries collected by a task before they are dealt to the buckets.
-FLUSH_ROWS = 2_000_000
+FLUSH_ROWS = 500_000
 #: Tokens of all sets of a cluster, or of a block of a large cluster, compared in one task.
 BLOCK_TOKENS = 500_000
 #: Candidates (an id and a few numbers each) up to which their table is broadcast to the texts.
@@ -65,7 +65,7 @@ class Shingler:
     """Distinct shingle hashes of whole texts, sorted."""
 
     def __init__(self) -> None:
-        self.words = Cache(xxhash.xxh3_64_intdigest)
+        self.words = Cache(xxhash.xxh3_64_intdigest, 200_000)
 
     def shingles(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()  # of bytes: A-Z, and blank, 9 to 13 only
@@ -80,9 +80,13 @@ class Shingler:
         return np.unique(mixed(joined))
 
 
-@cache
+_shingler = cache(Shingler)
+
+
 def shingler() -> Shingler:
-    return Shingler()
+    """One per Python worker."""
+    _shingler().words.alone()
+    return _shingler()
 
 
 def most_errors(sizes: int) -> int:

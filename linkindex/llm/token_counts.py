@@ -63,6 +63,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, *, id_column: str
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary not in _counters:
             _counters[vocabulary] = Counter(vocabulary, whole.value)
+        _counters[vocabulary].cache.alone()
         count = _counters[vocabulary].count
         for batch in batches:
             counts = [count(text) for text in batch["text"].to_pylist()]

@@ -14,6 +14,7 @@ import json
 import re
 from array import array
 from functools import cache
+from typing import ClassVar
 
 from tokenizers import Tokenizer
 
@@ -105,11 +106,23 @@ class Vocabulary:
 
 
 class Cache(dict):
-    """What ``make`` gives for a chunk, kept for the next time."""
+    """What ``make`` gives for a chunk, kept for the next time.
+
+    A Python worker goes from one operator's tasks to another's, so an operator that starts calls
+    ``alone`` to free what the caches of the others hold.
+    """
+
+    _of_worker: ClassVar[list[Cache]] = []
 
     def __init__(self, make, size: int = CACHE_SIZE):
         super().__init__()
         self.make, self.size = make, size
+        self._of_worker.append(self)
+
+    def alone(self) -> None:
+        for other in self._of_worker:
+            if other is not self:
+                other.clear()
 
     def __missing__(self, chunk):
         if len(self) >= self.size:
@@ -138,7 +151,10 @@ class IdEncoder:
         return b"".join(map(self.cache.__getitem__, chunks))
 
 
-@cache
+_id_encoder = cache(IdEncoder)
+
+
 def id_encoder(path: str) -> IdEncoder:
     """One encoder per Python worker and vocabulary."""
-    return IdEncoder(path)
+    _id_encoder(path).cache.alone()
+    return _id_encoder(path)

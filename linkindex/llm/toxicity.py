@@ -78,7 +78,7 @@ class Features:
 
     def __init__(self, words: frozenset[str], beginnings: frozenset[str]):
         self.words, self.beginnings = words, beginnings
-        self.facts = Cache(self.fact, 200_000)
+        self.facts = Cache(self.fact, 100_000)
 
     def fact(self, word: str) -> int:
         """Counts of one word, side by side in one number: sums of numbers are sums of counts."""
@@ -113,9 +113,14 @@ class Features:
                 marks / chars, repeats / n, altered / n, digits / chars]
 
 
-@cache
+_made = cache(Features)
+
+
 def _features(words: frozenset[str], beginnings: frozenset[str]) -> Features:
-    return Features(words, beginnings)
+    """One per Python worker and lexicon."""
+    features = _made(words, beginnings)
+    features.facts.alone()
+    return features
 
 
 @dataclass(frozen=True)
