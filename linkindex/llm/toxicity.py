@@ -189,7 +189,7 @@ def remainder(id_column: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``text, label, part``: at most ``rows`` labelled rows outside the held-out fold, in an order
     of hashes. Rows without a label, and labels without a row, take no part; of an id labelled twice
-    the higher label counts."""
+    the higher label counts, of an id with several rows the lowest text."""
     fold = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("toxic").cast("int").alias("label")).dropna()
     fold = fold.groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -198,7 +198,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return staged(texts.join(F.broadcast(chosen), "doc_id").select("text", "label", "part"))
+    # one row an id, reduced before the shuffle: repeated rows do not widen the sample
+    return staged(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "part")
+                  .agg(F.min("text").alias("text")).select("text", "label", "part"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
