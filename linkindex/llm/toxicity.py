@@ -226,7 +226,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
         fold = data
     raw = trees.transform(assembler.transform(fold)).select(
         vector_to_array("probability")[1].alias("raw"), F.col("label").cast("double").alias("label"))
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw)
+    # one weighted row a score: most clean texts share one, and the fit deals rows by score
+    raw = raw.groupBy("raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight",
+                               predictionCol="score").fit(raw)
     return Model(words, beginnings, PipelineModel([assembler, trees, curve]))
 
 
