@@ -124,9 +124,14 @@ def _(t: Tables):
     )
 
 
+def _blank_keys(t: Tables) -> list[str]:
+    """As the jobs do: blanks go before the shuffle where no record has one."""
+    return linking.sources_with_blank_key(t["company"], t["paye"])
+
+
 def _company(t: Tables) -> DataFrame:
     return linking.join_company(
-        views.link_view(t["links"]), views.company_view(t["company"])
+        views.link_view(t["links"]), views.company_view(t["company"]), blank_key=CH in _blank_keys(t)
     )
 
 
@@ -136,7 +141,8 @@ def _vat(t: Tables) -> DataFrame:
 
 def _paye(t: Tables) -> DataFrame:
     return linking.join_paye(
-        views.link_view(t["links"]), views.paye_view(t["paye"], t["tcn"])
+        views.link_view(t["links"]), views.paye_view(t["paye"], t["tcn"]),
+        blank_key=PAYE in _blank_keys(t),
     )
 
 
@@ -617,17 +623,47 @@ def _blank(column: str) -> str:
     return f"nullif(trim(CAST({column} AS VARCHAR)), '') AS {column}"
 
 
+def _extracted(t: Tables, name: str, frame: DataFrame) -> DataFrame:
+    """The frame written as the extract of that name, and its cells read back."""
+    path = Layout(staging.new_path(t.spark, "home")).extract(name)
+    writers.write_csv_extract(frame, path)
+    schema = ", ".join(f"{c} string" for c in frame.columns)
+    return t.spark.read.option("header", "true").schema(schema).csv(path)
+
+
 @query(
     "csv_extract",
     O.linked(f"""SELECT {', '.join(_blank(c) for c in LEGAL_ENTITY_COLUMNS)}, VatRef, PayeRef
         FROM (SELECT {O.ENTITY}, {_REFS.format('VatRef', 'PayeRef')} FROM {O.ALL})"""),
 )
 def _(t: Tables):
-    path = Layout(staging.new_path(t.spark, "home")).extract("legal-entities-refs")
-    frame = extracts.legal_entities_with_refs(t["index"])
-    writers.write_csv_extract(frame, path)
-    schema = ", ".join(f"{c} string" for c in frame.columns)
-    return t.spark.read.option("header", "true").schema(schema).csv(path)
+    return _extracted(t, "legal-entities-refs", extracts.legal_entities_with_refs(t["index"]))
+
+
+@query(
+    "csv_extract_flat",
+    O.linked(f"""SELECT {', '.join(_blank(c) for c in LEGAL_ENTITY_COLUMNS)}
+        FROM (SELECT {O.ENTITY} FROM {O.ALL})"""),
+)
+def _(t: Tables):
+    return _extracted(t, "legal-entities", extracts.legal_entities(t["index"]))
+
+
+@query(
+    "csv_extract_vat",
+    O.linked("SELECT CAST(UBRN AS VARCHAR) AS id, CAST(ref AS VARCHAR) AS VatRef FROM vj"),
+)
+def _(t: Tables):
+    return _extracted(t, "vat", extracts.vat_refs(t["index"]))
+
+
+@query(
+    "csv_extract_paye",
+    O.linked(f"""SELECT id, {_blank('PayeRef')}
+        FROM (SELECT CAST(UBRN AS VARCHAR) AS id, key AS PayeRef FROM pj)"""),
+)
+def _(t: Tables):
+    return _extracted(t, "paye", extracts.paye_refs(t["index"]))
 
 
 @query(
@@ -649,6 +685,24 @@ def _(t: Tables):
     )
 
 
+@query(
+    "bulk_files",
+    O.linked(f"SELECT CAST(id AS VARCHAR) AS _id, id, BusinessName, Turnover "
+             f"FROM (SELECT {O.ENTITY} FROM {O.ALL})"),
+)
+def _(t: Tables):
+    """The written files: every action has its document, every document its action."""
+    path = staging.new_path(t.spark, "bulk")
+    writers.write_bulk_documents(t["index"], path)
+    lines = t.spark.read.text(path).select(
+        F.from_json("value", "index struct<_id string>")["index"]["_id"].alias("_id"),
+        F.from_json("value", INDEX).alias("d"),
+    )
+    actions = lines.where(F.col("_id").isNotNull()).select("_id")
+    documents = lines.where(F.col("_id").isNull()).select("d.id", "d.BusinessName", "d.Turnover")
+    return actions.join(documents, F.col("_id") == F.col("id").cast("string"), "full")
+
+
 # Questions asked of the files ------------------------------------------------------------------
 
 
