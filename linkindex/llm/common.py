@@ -46,14 +46,24 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Rows and bytes of an Arrow batch, which a Python worker holds several times over: Spark's defaults
+#: and what takes their place. A session's own values stay.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+           "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package's modules to the Python workers of this application, once.
+    """Give the package's modules to the Python workers of this application, once, and make the
+    session's Arrow batches small.
 
-    Only needed where the package is not installed on the executors, and harmless where it is.
+    The modules are only needed where the package is not installed on the executors; sending them is
+    harmless where it is.
     """
+    for key, (default, small) in BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, small)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -226,7 +226,7 @@ def indexed(docs: DataFrame, buckets: int) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler().shingles
-        sigs, rows, needs, held = [], [], [], 0
+        sigs, rows, needs, seen, held = [], [], [], set(), 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal held
@@ -245,19 +245,19 @@ def indexed(docs: DataFrame, buckets: int) -> DataFrame:
                 yield _batch(_INDEXED_ARROW, **{"class": number}, size=size,
                              below=below.astype(np.int32), weight=weight, need=need,
                              bucket=(number % buckets).astype(np.int32))
-            sigs.clear(), rows.clear(), needs.clear()
+            sigs.clear(), rows.clear(), needs.clear(), seen.clear()
             held = 0
 
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
-            classes, sizes, seen = [], [], set()
+            classes, sizes = [], []
             for doc_id, text in zip(ids, batch["text"].to_pylist(), strict=True):
                 tokens = shingles(text)
                 number = class_of(tokens) if len(tokens) and doc_id is not None else 0
                 plain = number - (1 << 64) if number >> 63 else number
                 classes.append(plain)
                 sizes.append(len(tokens))
-                if number and number not in seen:  # copies in one batch are indexed once
+                if number and number not in seen:  # copies between two flushes are indexed once
                     seen.add(number)
                     sig, row, need = entries(tokens, number)
                     sigs.append(sig)

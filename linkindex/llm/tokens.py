@@ -16,6 +16,7 @@ from array import array
 from functools import cache
 from typing import ClassVar
 
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 #: Chunks kept per Python worker; when full, the cache starts anew. It changes no result.
@@ -120,9 +121,11 @@ class Cache(dict):
         self._of_worker.append(self)
 
     def alone(self) -> None:
-        for other in self._of_worker:
-            if other is not self:
-                other.clear()
+        others = [c for c in self._of_worker if c is not self and c]
+        for other in others:
+            other.clear()
+        if others:
+            pa.default_memory_pool().release_unused()
 
     def __missing__(self, chunk):
         if len(self) >= self.size:
