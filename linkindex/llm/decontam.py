@@ -28,7 +28,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkindex.llm.common import fresh, quoted, staged
@@ -87,18 +87,19 @@ class Index:
     """A segment of items."""
 
     def __init__(self, items: list[tuple[int, str]], documents: Counter, n_items: int, mean: float):
-        self.items: dict[int, tuple] = {}
-        self.owner: list[int] = []
+        #: Of each text its item and the shingles of the whole, the question and the answer.
+        self.texts: list[tuple] = []
+        self.owner: list[int] = []  # the text of each part; an id may have several texts
         counts: list[Counter] = []
         for item_id, text in items:
             words = words_of(text)
             if not words:
                 continue
             question, answer = question_and_answer(text)
-            self.items[item_id] = (shingles_of(words), shingles_of(question), shingles_of(answer))
             for at in range(0, len(words), PART_WORDS):
-                self.owner.append(item_id)
+                self.owner.append(len(self.texts))
                 counts.append(Counter(words[at:at + PART_WORDS]))
+            self.texts.append((item_id, shingles_of(words), shingles_of(question), shingles_of(answer)))
         postings: dict[str, tuple[list, list]] = defaultdict(lambda: ([], []))
         for part, terms in enumerate(counts):
             length = sum(terms.values())
@@ -204,29 +205,31 @@ class Index:
         return np.unique(hits // n)
 
     def retrieved(self, words: list[str]) -> set[int]:
-        """The items of which a part scores above the threshold for some passage."""
+        """The texts of which a part scores above the threshold for some passage."""
         none = len(self.postings)
         ids = np.array(list(map(self.terms.get, words, repeat(none))), dtype=np.int64)
-        items: set[int] = set()
+        texts: set[int] = set()
         for k in self.passages(ids).tolist():
             terms = np.unique(ids[k * self.stride:(k + 2) * self.stride])
-            items |= {self.owner[p] for p in self.above(terms[terms < none].tolist(), THRESHOLD - 1e-9)}
-        return items
+            texts |= {self.owner[p] for p in self.above(terms[terms < none].tolist(), THRESHOLD - 1e-9)}
+        return texts
 
     def leaks(self, text: str | None) -> list[dict]:
-        """The items that the text holds, with the shares of question and answer."""
+        """The items that the text holds, with the shares of question and answer; of an item with
+        several texts that are held, the shares of the one that is held most."""
         words = words_of(text)
         if not words:
             return []
-        items = self.retrieved(words)
-        if not items:
+        texts = self.retrieved(words)
+        if not texts:
             return []
         held = shingles_of(words)
         line = None
-        out = []
-        for item_id in sorted(items):
+        most: dict[int, tuple] = {}
+        for number in texts:
+            item_id, *sets = self.texts[number]
             shares = []
-            for wanted in self.items[item_id]:
+            for wanted in sets:
                 if len(next(iter(wanted))) < WIDTH:  # shorter than a shingle: as a run of words
                     line = line or f" {' '.join(words)} "
                     shares.append(float(f" {' '.join(next(iter(wanted)))} " in line))
@@ -234,15 +237,16 @@ class Index:
                     shares.append(len(wanted & held) / len(wanted))
             whole, question, answer = shares
             if whole >= OVERLAP or (question >= OVERLAP and answer >= OVERLAP):
-                out.append({"item_id": item_id, "overlap": whole, "question_overlap": question,
-                            "answer_overlap": answer})
-        return out
+                most[item_id] = max(most.get(item_id, ()), tuple(shares))
+        return [{"item_id": item_id, "overlap": whole, "question_overlap": question, "answer_overlap": answer}
+                for item_id, (whole, question, answer) in sorted(most.items())]
 
 
-_LEAKS = ("array<struct<item_id:bigint,overlap:double,question_overlap:double,answer_overlap:double>>")
+_SHARES = ("overlap", "question_overlap", "answer_overlap")
+_LEAKS = f"array<struct<item_id:bigint,{','.join(f'{c}:double' for c in _SHARES)}>>"
 
 
-def segments(benchmark: DataFrame, segment_words: int = SEGMENT_WORDS) -> Iterator[Index]:
+def segments(benchmark: DataFrame, segment_words: int | None = None) -> Iterator[Index]:
     """Indexes of the items, each of at most ``segment_words`` words beside one item's.
 
     Statistics are those of the whole benchmark: frequencies are counted by Spark, and of a segment's
@@ -255,7 +259,7 @@ def segments(benchmark: DataFrame, segment_words: int = SEGMENT_WORDS) -> Iterat
     total = items.agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("words")).first()
     if not total["items"]:
         return
-    n_segments = -(-total["words"] // segment_words)
+    n_segments = -(-total["words"] // (segment_words or SEGMENT_WORDS))
     dealt = items.withColumn("segment", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_segments)))
     terms = dealt.select("segment", "item_id", F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)))).alias("term"))
@@ -285,18 +289,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_i
     """``doc_id, item_id, overlap, question_overlap, answer_overlap``: the items that documents hold.
 
     Null and empty texts hold nothing; a null id stays null; repeated rows each give their rows; an
-    empty benchmark or table gives none; other columns are not read.
+    empty benchmark or table gives none; other columns are not read. An item of several texts gives one
+    row, that of the text held most, also if its texts are in different segments.
     """
     rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).alias("text"))
     found = [
-        with_leaks(rows, index, "leaks").select("doc_id", F.explode("leaks").alias("leak"))
-        .select("doc_id", "leak.*")
-        for index in segments(benchmark)
+        with_leaks(rows, index, "leaks")
+        .select("doc_id", F.xxhash64("text").alias("text_key"), F.explode("leaks").alias("leak"))
+        .select("doc_id", "text_key", "leak.*", F.lit(k).alias("segment"))
+        for k, index in enumerate(segments(benchmark))
     ]
     if not found:
         return rows.sparkSession.createDataFrame(
             [], "doc_id long, item_id long, overlap double, question_overlap double, answer_overlap double")
-    return reduce(DataFrame.unionAll, found)
+    columns = ["doc_id", "item_id", *_SHARES]
+    if len(found) == 1:
+        return found[0].select(columns)
+    leaks = staged(reduce(DataFrame.unionAll, found))
+    key = ["doc_id", "text_key", "item_id"]
+    best = leaks.groupBy(key).agg(F.max(F.struct(*_SHARES, "segment")).alias("best"))
+    best = best.select(*(F.col(c).alias(f"_{c}") for c in key), F.col("best.segment").alias("_segment"))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*key, "segment"]))
+    return leaks.join(best, same, "left_semi").select(columns)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text") -> DataFrame:

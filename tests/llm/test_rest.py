@@ -233,6 +233,20 @@ def test_leaks(spark):
     assert decontam.find_leaks(frame.limit(0), bench).count() == 0
 
 
+def test_leaks_of_an_id_with_several_texts(spark, monkeypatch):
+    one = "Which river runs through the old town of Bremen and meets the sea? It is the broad grey Weser river."
+    two = "Name the metal that is liquid at room temperature and was used in thermometers. That metal is mercury."
+    rows = [(1, f"some text before {one} and after"), (2, two), (3, "nothing of it " * 20), (4, f"{one} {two}"), (2, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for texts in ([one, two], [two, one]):
+        bench = spark.createDataFrame([(7, t) for t in texts], "item_id long, text string").coalesce(1)
+        for words in (decontam.SEGMENT_WORDS, 20):
+            monkeypatch.setattr(decontam, "SEGMENT_WORDS", words)
+            got = Counter(tuple(r) for r in decontam.find_leaks(docs, bench).collect())
+            assert got == Counter({(1, 7, 1.0, 1.0, 1.0): 1, (2, 7, 1.0, 1.0, 1.0): 2, (4, 7, 1.0, 1.0, 1.0): 1})
+            assert [r.doc_id for r in decontam.without_leaks(docs, bench).collect()] == [3]
+
+
 # ---- near duplicates
 
 def brute_components(rows):
