@@ -11,6 +11,10 @@ ones; passages that reach no part so are passed over, in arrays, and the others
 WAND with all their terms. What is retrieved is verified: of the item's question and of its answer, the last sentence, the share
 of five-word shingles that the document holds.
 
+An altered item whose sentences stand far apart may reach the threshold in no passage. So of every text
+a few shingles are looked up too, one more than verification lets a document lack: a document that
+holds none of them cannot pass. Texts shorter than a shingle lie in one passage, or half of them does.
+
 The index is a fixed multiple of the benchmark's text. It is broadcast in segments of at most
 ``SEGMENT_WORDS`` words of items, each searched by a pass over the documents, so no larger index is
 ever sent, however many items there are.
@@ -44,6 +48,9 @@ LESSER = 0.1
 WIDTH, OVERLAP = 5, 0.8
 SEGMENT_WORDS = 2_000_000
 
+#: Multipliers of a shingle's hash.
+_MIX, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
@@ -66,6 +73,16 @@ def question_and_answer(text: str | None) -> tuple[list[str], list[str]]:
     return words_of(" ".join(sentences[:-1])), words_of(sentences[-1])
 
 
+def hashes_of(ids: np.ndarray) -> np.ndarray:
+    """A hash of every run of ``WIDTH`` word numbers."""
+    ids = ids.astype(np.uint64)
+    n = max(len(ids) - WIDTH + 1, 0)
+    out = ids[:n]
+    for k in range(1, WIDTH):
+        out = out * _MIX + ids[k:k + n]
+    return (out ^ (out >> np.uint64(32))) * _LAST
+
+
 @dataclass
 class Postings:
     """Parts of one term: their numbers, impacts, and the last part and largest impact per block."""
@@ -115,6 +132,7 @@ class Index:
         self.postings = [Postings(np.array(p), np.array(x)) for p, x in postings.values()]
         self.stride = max((sum(c.values()) for c in counts), default=1)
         self._weightier(len(counts))
+        self._probed(documents)
 
     def _weightier(self, n_parts: int) -> None:
         """Per term, the parts of which it is one of the weightier terms; per part, what the passage
@@ -135,6 +153,29 @@ class Index:
         counts = np.bincount(terms[~lesser], minlength=len(self.postings) + 1)
         self.begins = np.concatenate([[0], np.cumsum(counts)])  # the last term: no postings
 
+    def _probed(self, documents: Counter) -> None:
+        """The shingles that are looked up, by hash, with the texts they are of: so many of a set that
+        a document without any of them holds less than ``OVERLAP`` of it, the rarest first."""
+        seen = Counter(s for _, whole, *_ in self.texts for s in whole)
+        rows = []
+        for number, (_, whole, *halves) in enumerate(self.texts):
+            # the whole, or both halves, are held; a set of a text shorter than a shingle has no probe
+            halves = [h for h in halves if len(next(iter(h))) == WIDTH]
+            for wanted in [whole, *sorted(halves, key=len)[:1]]:
+                if len(next(iter(wanted))) == WIDTH:
+                    n = len(wanted) - math.ceil(OVERLAP * len(wanted) - 1e-9) + 1
+                    rarest = sorted(wanted, key=lambda s: (seen[s], min(documents[w] for w in s), s))
+                    rows += [([self.terms[w] for w in s], number) for s in rarest[:n]]
+        ids = np.array([r[0] for r in rows], dtype=np.int64).reshape(-1)
+        probes = np.unique(np.stack([hashes_of(ids)[::WIDTH], np.array([r[1] for r in rows], np.uint64)]),
+                           axis=1)
+        self.probes, firsts = np.unique(probes[0], return_index=True)
+        self.probe_texts = np.split(probes[1].astype(np.int64), firsts[1:])
+        bits = max(16, (8 * len(self.probes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.zeros(1 << bits, dtype=bool)
+        self.slots[self.probes >> self.shift] = True
+
     def above(self, terms: list[int], threshold: float) -> list[int]:
         """All parts that score above the threshold for these distinct terms, by block-max WAND."""
         cursors = [[self.postings[t], 0] for t in terms]
@@ -205,10 +246,16 @@ class Index:
         return np.unique(hits // n)
 
     def retrieved(self, words: list[str]) -> set[int]:
-        """The texts of which a part scores above the threshold for some passage."""
+        """The texts of which a part scores above the threshold for some passage or a probe is held."""
         none = len(self.postings)
         ids = np.array(list(map(self.terms.get, words, repeat(none))), dtype=np.int64)
         texts: set[int] = set()
+        hashes = hashes_of(ids)
+        hashes = hashes[self.slots[hashes >> self.shift]]
+        if len(hashes):
+            at = np.minimum(np.searchsorted(self.probes, hashes), len(self.probes) - 1)
+            at = at[self.probes[at] == hashes]
+            texts.update(*(self.probe_texts[k].tolist() for k in np.unique(at).tolist()))
         for k in self.passages(ids).tolist():
             terms = np.unique(ids[k * self.stride:(k + 2) * self.stride])
             texts |= {self.owner[p] for p in self.above(terms[terms < none].tolist(), THRESHOLD - 1e-9)}

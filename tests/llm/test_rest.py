@@ -216,6 +216,41 @@ def test_wand_retrieves_all_above(monkeypatch):
             assert sorted(index.above(terms, threshold - 1e-9)) == want
 
 
+def accepted(index, text):
+    """The items that verification accepts, of all texts."""
+    words = decontam.words_of(text)
+    held, line, out = decontam.shingles_of(words), f" {' '.join(words)} ", set()
+    for item_id, *sets in index.texts:
+        whole, question, answer = (
+            len(s & held) / len(s) if len(min(s)) == 5 else float(f" {' '.join(min(s))} " in line) for s in sets)
+        if whole >= 0.8 or min(question, answer) >= 0.8:
+            out.add(item_id)
+    return out
+
+
+def test_leaks_far_apart_are_those_of_brute_force():
+    draw = random.Random(3)
+    items = []
+    for k in range(60):
+        words = [f"t{min(int(draw.expovariate(0.02)), 400)}" for _ in range(draw.choice([2, 6, 9, 40, 120, 300]))]
+        at = draw.randint(1, len(words) - 1)
+        items.append((k, f"{' '.join(words[:at])}? {' '.join(words[at:])}."))
+    index = made_index(items)
+    far, n = " ".join(["filler"] * 700), 0
+    for k, text in items:
+        question, answer = text.split("?")
+        words = decontam.words_of(text)
+        for _ in range(4):
+            halves = [edited(draw, h.strip(". ").split(), len(h.split()) > 30) for h in (question, answer)]
+            pieces = [words[i:i + 30] for i in range(0, len(words), 30)]
+            for parts in (halves, halves[::-1], pieces):
+                doc = f" {far} ".join(" ".join(p) for p in parts)
+                want = accepted(index, doc)
+                assert {leak["item_id"] for leak in index.leaks(doc)} == want
+                n += k in want
+    assert n > 200
+
+
 def test_leaks(spark):
     item = "Which river runs through the old town of Bremen and meets the sea? It is the broad grey Weser river."
     short = "Two words."
