@@ -15,14 +15,16 @@ An altered item whose sentences stand far apart may reach the threshold in no pa
 a few shingles are looked up too, one more than verification lets a document lack: a document that
 holds none of them cannot pass. Texts shorter than a shingle lie in one passage, or half of them does.
 
-The index is a fixed multiple of the benchmark's text. It is broadcast in segments of at most
-``SEGMENT_WORDS`` words of items, each searched by a pass over the documents, so no larger index is
-ever sent, however many items there are.
+The index is a fixed multiple of the benchmark's text. It is built in segments of at most
+``SEGMENT_WORDS`` words of items, each in a Spark task, and written to the shared folder. A segment is
+broadcast, searched by a pass over the documents and its result staged before the next one, so the
+driver and the workers never hold more than one segment, however many items there are.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -32,6 +34,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -293,40 +296,73 @@ _SHARES = ("overlap", "question_overlap", "answer_overlap")
 _LEAKS = f"array<struct<item_id:bigint,{','.join(f'{c}:double' for c in _SHARES)}>>"
 
 
-def segments(benchmark: DataFrame, segment_words: int | None = None) -> Iterator[Index]:
-    """Indexes of the items, each of at most ``segment_words`` words beside one item's.
+class Packed:
+    """An index as bytes, opened where it is first used."""
 
-    Statistics are those of the whole benchmark: frequencies are counted by Spark, and of a segment's
-    own terms only they are fetched. Items without an id or a word are left out; of an id that repeats
-    all texts are items.
+    def __init__(self, data: bytes):
+        self._data, self._index = data, None
+
+    def index(self) -> Index:
+        if self._index is None:
+            self._index, self._data = pickle.loads(self._data), None
+        return self._index
+
+
+def built(benchmark: DataFrame, segment_words: int) -> DataFrame | None:
+    """``segment, index``: the pickled indexes of the items, of at most about ``segment_words`` words each.
+
+    Statistics are those of the whole benchmark; a task gets its segment's texts and its own terms'
+    frequencies. Items without an id or a word are left out; of an id that repeats all texts are items.
     """
     items = staged(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text"))
                    .dropna().distinct()
                    .withColumn("n", F.size(F.split(F.trim("text"), r"\s+")).cast("long")))
     total = items.agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("words")).first()
-    if not total["items"]:
-        return
-    n_segments = -(-total["words"] // (segment_words or SEGMENT_WORDS))
-    dealt = items.withColumn("segment", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_segments)))
-    terms = dealt.select("segment", "item_id", F.explode(F.array_distinct(
+    n_items, n_words = total["items"], total["words"]
+    if not n_items:
+        return None
+    mean = min(PART_WORDS, max(1.0, n_words / n_items))
+    segment = F.pmod(F.xxhash64("item_id", "text"), F.lit(-(-n_words // segment_words)))
+    dealt = items.select(segment.alias("segment"), "item_id", "text")
+    terms = dealt.select("segment", F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), F.lit(0)))).alias("term"))
     counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    counted = staged(terms.select("segment", "term").distinct().join(counts, "term"))
-    for k in range(n_segments):
-        rows = dealt.filter(F.col("segment") == k).select("item_id", "text").collect()
-        n = Counter({r["term"]: r["n"] for r in counted.filter(F.col("segment") == k).collect()})
-        if rows:
-            yield Index([(r["item_id"], r["text"]) for r in rows], n, total["items"],
-                        min(PART_WORDS, max(1.0, total["words"] / total["items"])))
+    counted = terms.distinct().join(counts, "term")
+
+    def build(key: tuple, texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        rows = [r for r in zip(texts["item_id"].tolist(), texts["text"], strict=True) if words_of(r[1])]
+        frequencies = Counter(dict(zip(found["term"], found["n"].tolist(), strict=True)))
+        data = [pickle.dumps(Index(rows, frequencies, n_items, mean), 5)] if rows else []
+        return pd.DataFrame({"segment": [key[0]] * len(data), "index": data})
+
+    return staged(dealt.withColumnRenamed("segment", "own").groupBy("own").cogroup(counted.groupBy("segment"))
+                  .applyInPandas(build, "segment long, index binary"))
+
 
+def segments(benchmark: DataFrame, segment_words: int | None = None) -> Iterator[tuple[Broadcast, bool]]:
+    """The broadcast index of each segment, and whether it is the only one.
 
-def with_leaks(docs: DataFrame, index: Index, out: str, *, text_column: str = "text") -> DataFrame:
+    One of several is destroyed when the next one is asked for, so what was found must be staged by then.
+    """
+    indexes = built(benchmark, segment_words or SEGMENT_WORDS)
+    if indexes is None:
+        return
+    numbers = sorted(r["segment"] for r in indexes.select("segment").collect())
+    for k in numbers:
+        packed = Packed(bytes(indexes.filter(F.col("segment") == k).select("index").first()[0]))
+        sent = benchmark.sparkSession.sparkContext.broadcast(packed)
+        del packed
+        yield sent, len(numbers) == 1
+        if len(numbers) > 1:
+            sent.destroy(blocking=True)
+
+
+def with_leaks(docs: DataFrame, sent: Broadcast, out: str, *, text_column: str = "text") -> DataFrame:
     """``docs`` with the leaked items of one segment in the column ``out``; no shuffle."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by SEGMENT_WORDS
 
     @F.pandas_udf(_LEAKS)
     def leaks(texts: pd.Series) -> pd.Series:
-        return texts.map(sent.value.leaks, na_action=None)
+        return texts.map(sent.value.index().leaks, na_action=None)
 
     return docs.withColumn(out, leaks(F.coalesce(quoted(text_column), F.lit(""))))
 
@@ -340,19 +376,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_i
     row, that of the text held most, also if its texts are in different segments.
     """
     rows = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).alias("text"))
-    found = [
-        with_leaks(rows, index, "leaks")
-        .select("doc_id", F.xxhash64("text").alias("text_key"), F.explode("leaks").alias("leak"))
-        .select("doc_id", "text_key", "leak.*", F.lit(k).alias("segment"))
-        for k, index in enumerate(segments(benchmark))
-    ]
+    columns = ["doc_id", "item_id", *_SHARES]
+    found = []
+    for sent, only in segments(benchmark):
+        leaks = (with_leaks(rows, sent, "leaks")
+                 .select("doc_id", F.xxhash64("text").alias("text_key"), F.explode("leaks").alias("leak"))
+                 .select("doc_id", "text_key", "leak.*", F.lit(len(found)).alias("segment")))
+        if only:
+            return leaks.select(columns)
+        found.append(staged(leaks))
     if not found:
         return rows.sparkSession.createDataFrame(
             [], "doc_id long, item_id long, overlap double, question_overlap double, answer_overlap double")
-    columns = ["doc_id", "item_id", *_SHARES]
-    if len(found) == 1:
-        return found[0].select(columns)
-    leaks = staged(reduce(DataFrame.unionAll, found))
+    leaks = reduce(DataFrame.unionAll, found)
     key = ["doc_id", "text_key", "item_id"]
     best = leaks.groupBy(key).agg(F.max(F.struct(*_SHARES, "segment")).alias("best"))
     best = best.select(*(F.col(c).alias(f"_{c}") for c in key), F.col("best.segment").alias("_segment"))
@@ -361,9 +397,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_i
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    for index in segments(benchmark):
-        leaks = fresh(docs, "leaks")
-        docs = (with_leaks(docs, index, leaks, text_column=text_column)
-                .filter(F.size(leaks) == 0).drop(leaks))
-    return docs
+    """The rows of ``docs`` that hold no item, with all their columns. Of several segments each stages
+    the digests of the texts that hold one of its items, not the documents."""
+    leaks, key = fresh(docs, "leaks"), fresh(docs, "text_key")
+    digest = F.sha2(quoted(text_column).cast("binary"), 256)
+    found = []
+    for sent, only in segments(benchmark):
+        if only:
+            return (with_leaks(docs, sent, leaks, text_column=text_column)
+                    .filter(F.size(leaks) == 0).drop(leaks))
+        texts = docs.select(digest.alias(key), quoted(text_column).alias("text"))
+        found.append(staged(with_leaks(texts, sent, "leaks").filter(F.size("leaks") > 0)
+                            .select(key).distinct()))
+    if not found:
+        return docs
+    return docs.withColumn(key, digest).join(reduce(DataFrame.unionAll, found), key, "left_anti").drop(key)

@@ -282,6 +282,33 @@ def test_leaks_of_an_id_with_several_texts(spark, monkeypatch):
             assert [r.doc_id for r in decontam.without_leaks(docs, bench).collect()] == [3]
 
 
+def test_segments_are_sent_one_after_the_other(spark, monkeypatch):
+    draw = random.Random(4)
+    items = [(k, " ".join(f"i{draw.randrange(10**6)}" for _ in range(20))) for k in range(30)]
+    bench = spark.createDataFrame([*items, (30, "..."), (31, "")], "item_id long, text string")
+    texts = [f"{t} {' '.join('filler' for _ in range(9))}" for _, t in items] + ["nothing here", None, ""]
+    docs = spark.createDataFrame([(k, t, "c") for k, t in enumerate([*texts, texts[0]])], "doc_id long, text string, leaks string")
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", 150)
+    held, most, broadcasts = set(), [], []
+    context, made = type(spark.sparkContext), spark.sparkContext.broadcast
+
+    def broadcast(self, value):
+        sent = made(value)
+        held.add(sent)
+        broadcasts.append(sent)
+        most.append(len(held))
+        destroy = sent.destroy
+        sent.destroy = lambda blocking=False: (held.discard(sent), destroy(blocking))
+        return sent
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    got = sorted((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect())
+    assert got == sorted([(k, k) for k in range(30)] + [(33, 0)])
+    kept = decontam.without_leaks(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [30, 31, 32]
+    assert len(broadcasts) > 4 and max(most) == 1
+
+
 # ---- near duplicates
 
 def brute_components(rows):
