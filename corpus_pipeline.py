@@ -23,10 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; one row of it, where rows repeat. Documents
-    without words are linked with nothing and stay, as do rows without an id."""
+    """The document of the smallest id of each group, or one without an id where none has one; one row
+    of it, where rows repeat. Documents without words are linked with nothing and stay."""
     ship(spark)
-    return jaccard.one_per_component(docs)
+    return jaccard.one_per_component(docs, null_ids=True)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -397,8 +397,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_column: str = "doc_i
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns. Of several segments each stages
-    the digests of the texts that hold one of its items, not the documents."""
+    """The rows of ``docs`` that hold no item, with all their columns; items need no id. Of several
+    segments each stages the digests of the texts that hold one of its items, not the documents."""
+    benchmark = benchmark.select(F.lit(0).alias("item_id"), "text")
     leaks, key = fresh(docs, "leaks"), fresh(docs, "text_key")
     digest = F.sha2(quoted(text_column).cast("binary"), 256)
     found = []

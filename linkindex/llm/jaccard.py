@@ -524,6 +524,10 @@ def _components(docs: DataFrame) -> DataFrame:
              F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+#: From here on ids stand in for those that rows lack.
+STAND_INS = 2**63 - 2**60
+
+
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
@@ -540,23 +544,30 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id",
     return _components(narrow).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
 
 
-def one_per_component(docs: DataFrame) -> DataFrame:
+def one_per_component(docs: DataFrame, *, null_ids: bool = False) -> DataFrame:
     """The row of the smallest ``doc_id`` of each component, with all columns.
 
-    Of rows that repeat it, one stays. Rows without an id or without words all stay.
+    Of rows that repeat it, one stays. Rows without words all stay, and so do rows without an id;
+    with ``null_ids`` the latter are in components too, after all rows with an id.
     """
     key = [fresh(docs, "key_id"), fresh(docs, "key_text")]
-    own = docs.select("doc_id", "text").filter("doc_id is not null")
-    rows = staged(_components(own.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-                  .filter("size > 0"))
+    number, text_key = F.col("doc_id").cast("long"), F.xxhash64("text")
+    own = docs.select(number.alias("doc_id"), "text").filter("doc_id is not null")
+    null_ids = null_ids and not docs.filter(number.isNull()).isEmpty()
+    if null_ids:  # equal texts are one row, of an id of its own that is larger than others
+        stand_in = F.lit(STAND_INS) + F.pmod(text_key, F.lit(2**63 - STAND_INS))
+        own = own.unionAll(docs.filter(number.isNull()).select("text").distinct()
+                           .select(stand_in.alias("doc_id"), "text"))
+        number = F.coalesce(number, stand_in)
+    rows = staged(_components(own).filter("size > 0"))
     keepers = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
     keys = rows.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     keepers = keepers.select("k.*").join(keys, ["doc_id", "text_key"])
     losers = staged(keys.join(keepers, ["doc_id", "text_key"], "left_anti")
                     .select(F.col("doc_id").alias(key[0]), F.col("text_key").alias(key[1])))
-    repeated = staged(keepers.filter("n > 1")
+    repeated = staged(keepers.filter((F.col("n") > 1) | (F.lit(null_ids) & (F.col("doc_id") >= STAND_INS)))
                       .select(F.col("doc_id").alias(key[0]), F.col("text_key").alias(key[1])))
-    keyed = docs.withColumns({key[0]: F.col("doc_id").cast("long"), key[1]: F.xxhash64("text")})
+    keyed = docs.withColumns({key[0]: number, key[1]: text_key})
     small = losers.count() <= BROADCAST_ROWS  # spares the shuffle of the texts
     kept = keyed.join(F.broadcast(losers) if small else losers, key, "left_anti")
     if not repeated.isEmpty():

@@ -282,6 +282,14 @@ def test_leaks_of_an_id_with_several_texts(spark, monkeypatch):
             assert [r.doc_id for r in decontam.without_leaks(docs, bench).collect()] == [3]
 
 
+def test_items_without_an_id_leave_no_leaks(spark):
+    item = "Which river runs through the old town of Bremen and meets the sea? It is the broad grey Weser river."
+    docs = spark.createDataFrame([(1, f"text {item} text"), (2, "other text"), (None, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (None, None), (3, "never found here")], "item_id long, text string")
+    assert [r.doc_id for r in decontam.without_leaks(docs, bench).collect()] == [2]
+    assert decontam.find_leaks(docs, bench).count() == 0  # reports are by id
+
+
 def test_segments_are_sent_one_after_the_other(spark, monkeypatch):
     draw = random.Random(4)
     items = [(k, " ".join(f"i{draw.randrange(10**6)}" for _ in range(20))) for k in range(30)]
@@ -375,6 +383,22 @@ def test_near_duplicates_of_odd_tables(spark):
     assert jaccard.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_are_in_groups(spark):
+    words = [f"w{k}" for k in range(40)]
+    text, near, alone = " ".join(words), " ".join([*words, "x"]), " ".join(f"a{k}" for k in range(12))
+    only = " ".join(f"o{k}" for k in range(40))
+    rows = [(5, text, "a"), (None, text, "b"), (None, near, "c"), (None, only, "d"), (None, only, "e"), (None, f"{only} x", "f"),
+            (None, alone, "g"), (8, alone + " more words than one here", "h"), (None, None, "i"), (None, "", "j"), (None, " ", "k")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    kept = jaccard.one_per_component(frame, null_ids=True)
+    assert kept.columns == frame.columns
+    marks = {r.mark for r in kept.collect()}
+    assert kept.count() == len(marks) == 7
+    assert {"a", "g", "h", "i", "j", "k"} <= marks and len(marks & {"d", "e", "f"}) == 1
+    same = frame.filter("doc_id is null").filter(f"text = '{only}'")
+    assert jaccard.one_per_component(same, null_ids=True).count() == 1
+
+
 def test_every_pair_shares_a_probed_segment():
     """The pigeonhole itself, on sets at the very edge of the similarity."""
     draw = np.random.default_rng(4)
