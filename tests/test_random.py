@@ -171,8 +171,10 @@ def test_index(spark, seed):
 
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("with_number", [False, True])
-def test_key_rule(spark, seed, with_number):
-    """Every pair of the rule, and dense numbers for the links without one."""
+@pytest.mark.parametrize("one_to_one", [False, True])
+def test_key_rule(spark, seed, with_number, one_to_one):
+    """Every pair of the rule, or the lowest number of each link, and dense numbers for the links
+    without one."""
     rnd = random.Random(seed)
 
     def arrays():
@@ -186,10 +188,13 @@ def test_key_rule(spark, seed, with_number):
             return n[0] is not None and n[0] == p[0]
         return bool(n[1]) and n[1][0] is not None and n[1] == p[1]
 
-    carried = [(p[0], *n[1:]) for n in new for p in prev if match(n, p)]
+    pairs = [[p[0] for p in prev if match(n, p)] for n in new]
+    if one_to_one:
+        pairs = [[min((i for i in found if i is not None), default=None)] * bool(found) for found in pairs]
+    carried = [(i, *n[1:]) for n, found in zip(new, pairs, strict=True) for i in found]
     rest = [n[1:] for n in new if not any(match(n, p) for p in prev)]
     frame = links(spark, *new) if with_number else raw_links(spark, *[n[1:] for n in new])
-    got = bag(matching.assign_ids(frame, links(spark, *prev)))
+    got = bag(matching.assign_ids(frame, links(spark, *prev), one_to_one=one_to_one))
     top = max([p[0] for p in prev if p[0] is not None], default=B)
     fresh = [r for r in got if r[0] is not None and r[0] > top]
     assert sorted(r[0] for r in fresh) == list(range(top + 1, top + 1 + len(rest)))
