@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from linkindex.llm import (
     chat, credentials, decontam, id_files, jaccard, packing, sharding, token_counts, topk, toxicity,
+    trie,
 )
 from linkindex.llm.common import ship, table
 
@@ -64,6 +65,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return id_files.round_trip(table(spark, folder, "documents"), path, end_id=2)
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +82,7 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (op1_exact_topk, op2_toxicity, op3_chat_formatting, op4_secret_scans, op5_sharding,
               op6_benchmark_decontamination, op7_token_counts, op8_jaccard_join,
-              op9_best_fit_packing, op10_token_files)
+              op9_best_fit_packing, op10_token_files, op13_prefix_trie)
 }
 #: DuckDB's forms. What they leave out cannot be said in SQL: learning, regular tokenisers, files.
 ORACLES: dict[str, str] = {
@@ -115,4 +120,46 @@ ORACLES: dict[str, str] = {
                CAST(sum(n_text + CASE WHEN merged THEN 10 ELSE n_role + 24 END) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op13_prefix_trie": """
+        WITH RECURSIVE bits(i, k, v) AS (
+            SELECT CAST(range AS UBIGINT), 0, CAST(range AS UBIGINT) FROM range(256)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM bits WHERE k < 8
+        ), crc AS (
+            SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8
+        ), o AS (
+            SELECT conv_id, list([r, x] ORDER BY turn NULLS FIRST, r, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')),
+                                 md5(length(r) || ':' || r || x)) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations)
+            WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), h AS (
+            SELECT conv_id, turns, conv_id - conv_id % 20 AS base,
+                   CAST(xor(list_reduce([4294967295::UBIGINT] || [ascii(c)::UBIGINT FOR c IN string_split(conv_id::VARCHAR, '')],
+                        lambda a, b: xor(a >> 8, t[CAST(xor(a, b) & 255 AS INTEGER) + 1])), 4294967295::UBIGINT) % 4 AS INTEGER) AS h
+            FROM o, crc
+        ), r AS (
+            SELECT h.conv_id, coalesce(b.turns, [])[1:h.h] || h.turns[h.h + 1:] AS turns
+            FROM h LEFT JOIN o b ON b.conv_id = h.base
+        ), m AS (
+            SELECT conv_id, d AS depth, turns[1:d] AS path, d = len(turns) AS last
+            FROM r, unnest(range(0, len(turns) + 1)) AS u(d)
+        ), n AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[depth][2], '[^\x20\x09-\x0D]+')) END AS words,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+            FROM m GROUP BY path, depth
+        ), k AS (
+            SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+        ), f AS (
+            SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (path, depth)
+        ), s AS (
+            SELECT f.path[1:a.d] AS path, a.d AS depth, count(*) FILTER (f.n_children = 0) AS n_leaves,
+                   sum((f.n_convs - 1) * f.words) AS saved_tokens
+            FROM f, unnest(range(0, f.depth + 1)) AS a(d) GROUP BY ALL
+        )
+        SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+               s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+        FROM f JOIN s USING (path, depth)
+        LEFT JOIN f p ON p.depth = f.depth - 1 AND p.path = f.path[1:f.depth - 1]
+    """,
 }

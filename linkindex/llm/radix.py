@@ -25,7 +25,7 @@ def common(a: bytes, b: bytes) -> int:
     return low
 
 
-class Node:
+class Node4:
     """Up to 4 children, in arrays sorted by byte."""
 
     __slots__ = ("prefix", "value", "bytes", "children")
@@ -35,14 +35,14 @@ class Node:
         self.prefix, self.value = prefix, value
         self.bytes, self.children = bytearray(), []
 
-    def find(self, byte: int) -> Node | None:
+    def find(self, byte: int) -> Node4 | None:
         at = self.bytes.find(byte)
         return None if at < 0 else self.children[at]
 
-    def replace(self, byte: int, child: Node) -> None:
+    def replace(self, byte: int, child: Node4) -> None:
         self.children[self.bytes.find(byte)] = child
 
-    def add(self, byte: int, child: Node) -> Node:
+    def add(self, byte: int, child: Node4) -> Node4:
         """The node that has the new child: this one, or a larger one that takes its place."""
         if len(self.children) == self.capacity:
             return self.grown().add(byte, child)
@@ -51,30 +51,30 @@ class Node:
         self.children.insert(at, child)
         return self
 
-    def grown(self) -> Node:
+    def grown(self) -> Node4:
         node = Node16(self.prefix, self.value)
         node.bytes, node.children = self.bytes, self.children
         return node
 
-    def items(self) -> Iterator[Node]:
+    def items(self) -> Iterator[Node4]:
         """The children in the order of their bytes."""
         return iter(self.children)
 
 
-class Node16(Node):
+class Node16(Node4):
     """Up to 16 children, in arrays sorted by byte."""
 
     __slots__ = ()
     capacity = 16
 
-    def grown(self) -> Node:
+    def grown(self) -> Node4:
         node = Node48(self.prefix, self.value)
         for byte, child in zip(self.bytes, self.children, strict=True):
             node.add(byte, child)
         return node
 
 
-class Node48(Node):
+class Node48(Node4):
     """Up to 48 children, in the order of arrival; ``bytes`` holds each byte's place, counted from 1."""
 
     __slots__ = ()
@@ -84,32 +84,32 @@ class Node48(Node):
         super().__init__(prefix, value)
         self.bytes = bytearray(256)
 
-    def find(self, byte: int) -> Node | None:
+    def find(self, byte: int) -> Node4 | None:
         at = self.bytes[byte]
         return self.children[at - 1] if at else None
 
-    def replace(self, byte: int, child: Node) -> None:
+    def replace(self, byte: int, child: Node4) -> None:
         self.children[self.bytes[byte] - 1] = child
 
-    def add(self, byte: int, child: Node) -> Node:
+    def add(self, byte: int, child: Node4) -> Node4:
         if len(self.children) == self.capacity:
             return self.grown().add(byte, child)
         self.children.append(child)
         self.bytes[byte] = len(self.children)
         return self
 
-    def grown(self) -> Node:
+    def grown(self) -> Node4:
         node = Node256(self.prefix, self.value)
         for byte, at in enumerate(self.bytes):
             if at:
                 node.children[byte] = self.children[at - 1]
         return node
 
-    def items(self) -> Iterator[Node]:
+    def items(self) -> Iterator[Node4]:
         return (self.children[at - 1] for at in self.bytes if at)
 
 
-class Node256(Node):
+class Node256(Node4):
     """A place for each byte."""
 
     __slots__ = ()
@@ -119,17 +119,17 @@ class Node256(Node):
         super().__init__(prefix, value)
         self.children = [None] * 256
 
-    def find(self, byte: int) -> Node | None:
+    def find(self, byte: int) -> Node4 | None:
         return self.children[byte]
 
-    def replace(self, byte: int, child: Node) -> None:
+    def replace(self, byte: int, child: Node4) -> None:
         self.children[byte] = child
 
-    def add(self, byte: int, child: Node) -> Node:
+    def add(self, byte: int, child: Node4) -> Node4:
         self.children[byte] = child
         return self
 
-    def items(self) -> Iterator[Node]:
+    def items(self) -> Iterator[Node4]:
         return (c for c in self.children if c is not None)
 
 
@@ -137,15 +137,15 @@ class Tree:
     """Keys with values that are not None."""
 
     def __init__(self) -> None:
-        self.root: Node | None = None
+        self.root: Node4 | None = None
 
     def __setitem__(self, key: bytes, value) -> None:
         if self.root is None:
-            self.root = Node(key, value)
+            self.root = Node4(key, value)
             return
         above, edge, node, at = None, 0, self.root, 0
 
-        def put(new: Node) -> None:
+        def put(new: Node4) -> None:
             if above is None:
                 self.root = new
             else:
@@ -155,14 +155,14 @@ class Tree:
             rest = key[at:at + len(node.prefix)]
             same = common(node.prefix, rest)
             if same < len(node.prefix):  # the key leaves within the compressed path, or ends there
-                fork = Node(node.prefix[:same])
+                fork = Node4(node.prefix[:same])
                 put(fork)
                 fork.add(node.prefix[same], node)
                 node.prefix = node.prefix[same + 1:]
                 if at + same == len(key):
                     fork.value = value
                 else:
-                    fork.add(key[at + same], Node(key[at + same + 1:], value))
+                    fork.add(key[at + same], Node4(key[at + same + 1:], value))
                 return
             at += same
             if at == len(key):
@@ -171,7 +171,7 @@ class Tree:
             byte = key[at]
             child = node.find(byte)
             if child is None:
-                larger = node.add(byte, Node(key[at + 1:], value))
+                larger = node.add(byte, Node4(key[at + 1:], value))
                 if larger is not node:
                     put(larger)
                 return

@@ -1,0 +1,141 @@
+"""The prefix trie: radix trees against dictionaries, nodes against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from linkindex.llm import trie
+from linkindex.llm.radix import Node4, Node16, Node48, Node256, Tree, common
+
+COLUMNS = "conv_id long, turn long, role string, text string"
+NAMES = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def remainder(a: int, b: int) -> int:
+    """Like SQL's: of the sign of ``a``."""
+    return a - b * int(a / b)
+
+
+def words(text: str) -> int:
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text))
+
+
+def brute(rows):
+    convs = {}
+    for conv_id, turn, role, text, *_ in rows:
+        role, text = role or "", text or ""
+        tie = (role, words(text), hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest())
+        if conv_id is not None:
+            convs.setdefault(conv_id, []).append((turn is not None, turn or 0, tie, role, text))
+    convs = {c: [t[3:] for t in sorted(ts)] for c, ts in convs.items()}
+    members, ends = {}, {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        path = tuple(convs.get(c - remainder(c, 20), [])[:h] + own[h:])
+        ends.setdefault(path, []).append(c)
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    children = {}
+    for path in members:
+        if path:
+            children.setdefault(path[:-1], []).append(path)
+    out = []
+
+    def below(path):
+        leaves, saved = int(path not in children), 0
+        if path:
+            saved = (len(members[path]) - 1) * words(path[-1][1])
+        for child in children.get(path, []):
+            a, b = below(child)
+            leaves, saved = leaves + a, saved + b
+        out.append((min(members[path]), len(path), min(members[path[:-1]]) if path else None,
+                    len(members[path]), len(children.get(path, [])), leaves, saved,
+                    hashlib.sha256(",".join(map(str, sorted(ends.get(path, [])))).encode()).hexdigest()))
+        return leaves, saved
+
+    if members:
+        below(())
+    return sorted(out, key=repr)
+
+
+def nodes(spark, rows, schema=COLUMNS):
+    found = trie.prefix_trie(spark.createDataFrame(rows, schema))
+    assert tuple(found.columns) == NAMES
+    return sorted(map(tuple, found.collect()), key=repr)
+
+
+def generated(seed: int, n: int, turns: int, texts: int):
+    draw = random.Random(seed)
+    rows = []
+    for c in draw.sample(range(-n, n), n):
+        for t in range(draw.randrange(turns + 1) + draw.randrange(2)):
+            role = draw.choice(["user", "assistant"])
+            text = draw.choice([None, "", " ", "\x1f\xa0 x"] + [f"t{k} words " + "w " * k for k in range(texts)])
+            rows.append((c, draw.choice([t, t, t, None]), role, text))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force(spark, seed):
+    rows = generated(seed, 120, 6, 3)
+    rows += [(c, 0, "user", "the same start") for c in range(1000, 1100)]  # one of three: a hot beginning
+    rows += [(c, 1, "user", f"then {c % 7}") for c in range(1000, 1100)]
+    rows += [(None, 0, "user", "nobody's"), (7, None, None, None), (1001, 0, "user", "the same start")]
+    assert nodes(spark, rows) == brute(rows)
+
+
+def test_ranges_meet(spark):
+    """More ranges than first turns: nodes at several depths come in parts."""
+    draw = random.Random(9)
+    rows = [(c, t, "user", f"x{draw.randrange(2) if t > 3 else 0} a b") for c in range(0, 400) for t in range(9)]
+    rows += [(c, t, "user", "x0 a b") for c in range(500, 700) for t in range(c % 12)]
+    assert nodes(spark, rows) == brute(rows)
+
+
+def test_equal_conversations_and_one_long(spark, monkeypatch):
+    monkeypatch.setattr(trie, "CHUNK", 50)
+    rows = [(c, t, "user", f"same {t}") for c in range(0, 3000, 20) for t in range(3)]
+    rows += [(5000, t, None, f"long {t} " * 3) for t in range(700)]
+    assert nodes(spark, rows) == brute(rows)
+
+
+def test_edges(spark):
+    assert nodes(spark, []) == []
+    assert nodes(spark, [(None, 1, "a", "b")]) == []
+    one = [(21, 0, "user", "a b c")]  # without a base: its first turns are given away
+    assert nodes(spark, one) == brute(one)
+    extra = [(20, 0, "user", "a b", 5), (20, 1, "user", "a b", 5), (22, 0, "user", "c", 6)]
+    assert nodes(spark, extra, f"{COLUMNS}, key long") == brute(extra)
+    odd = [(2, 0, "a", "bc"), (2, 1, "ab", "c"), (40, 0, "ab", "c"), (60, 0, "a", "bc"), (80, 0, "", "abc")]
+    assert nodes(spark, odd) == brute(odd)
+
+
+def test_radix_tree():
+    draw = random.Random(4)
+    tree, held = Tree(), {}
+    for _ in range(4000):
+        key = bytes(draw.randrange(draw.choice([3, 256])) for _ in range(draw.randrange(6)))
+        if held and draw.random() < 0.5:
+            key = draw.choice(list(held)[:50]) + key
+        tree[key] = held[key] = draw.random()
+    assert {k: tree.get(k) for k in held} == held
+    assert tree.get(b"\x01\x02\x03\x04\x05\x06\x07\x08\x09\x0a" * 5) is None
+    kinds, found, stack = set(), [], [(tree.root, b"")]
+    while stack:
+        node, path = stack.pop()
+        kinds.add(type(node).__name__)
+        path += node.prefix
+        if node.value is not None:
+            found.append(path)
+            assert held[path] == node.value
+        edges = [b for b in range(256) if node.find(b) is not None]
+        assert [node.find(b) for b in edges] == list(node.items()) and len(edges) <= node.capacity
+        stack += [(node.find(b), path + bytes([b])) for b in edges]
+    assert sorted(found) == sorted(held)
+    assert kinds == {c.__name__ for c in (Node4, Node16, Node48, Node256)}
+    assert [common(a, b) for a, b in [(b"", b"a"), (b"ab", b"ab"), (b"abc", b"abd"), (b"ab", b"abc")]] == [0, 2, 2, 2]
