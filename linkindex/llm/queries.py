@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from linkindex.llm import (
-    chat, credentials, decontam, id_files, jaccard, packing, sharding, token_counts, topk, toxicity,
-    trie,
+    chat, credentials, decontam, id_files, jaccard, packing, ranking, sharding, token_counts, topk,
+    toxicity, trie,
 )
 from linkindex.llm.common import ship, table
 
@@ -65,6 +65,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return id_files.round_trip(table(spark, folder, "documents"), path, end_id=2)
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(table(spark, folder, "conversations"))
 
@@ -82,7 +86,7 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (op1_exact_topk, op2_toxicity, op3_chat_formatting, op4_secret_scans, op5_sharding,
               op6_benchmark_decontamination, op7_token_counts, op8_jaccard_join,
-              op9_best_fit_packing, op10_token_files, op13_prefix_trie)
+              op9_best_fit_packing, op10_token_files, op12_ranked_search, op13_prefix_trie)
 }
 #: DuckDB's forms. What they leave out cannot be said in SQL: learning, regular tokenisers, files.
 ORACLES: dict[str, str] = {
@@ -120,6 +124,34 @@ ORACLES: dict[str, str] = {
                CAST(sum(n_text + CASE WHEN merged THEN 10 ELSE n_role + 24 END) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op12_ranked_search": """
+        WITH t AS (
+            SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM documents
+        ), p AS (
+            SELECT r, doc_id, term, count(*) AS tf, sum(count(*)) OVER (PARTITION BY r) AS n FROM t GROUP BY r, doc_id, term
+        ), c AS (
+            SELECT count(DISTINCT r) AS docs, count(*) AS words FROM t
+        ), f AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term, docs
+        ), i AS (
+            SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)
+        ), q AS (
+            SELECT item, item_id, term, count(*) AS times FROM i GROUP BY ALL
+        ), s AS (
+            SELECT item, item_id, r, doc_id,
+                   CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+            FROM q JOIN p USING (term) JOIN f USING (term) CROSS JOIN c GROUP BY item, item_id, r, doc_id
+        ), k AS (
+            SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+    """,
     "op13_prefix_trie": """
         WITH RECURSIVE bits(i, k, v) AS (
             SELECT CAST(range AS UBIGINT), 0, CAST(range AS UBIGINT) FROM range(256)
