@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from linkindex.llm import (
-    chat, credentials, decontam, id_files, jaccard, packing, ranking, sharding, token_counts, topk,
+    chat, credentials, decontam, id_files, jaccard, packing, personal, ranking, sharding, token_counts, topk,
     toxicity, trie,
 )
 from linkindex.llm.common import ship, table
@@ -65,6 +65,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return id_files.round_trip(table(spark, folder, "documents"), path, end_id=2)
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.scan(table(spark, folder, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
 
@@ -86,7 +90,7 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (op1_exact_topk, op2_toxicity, op3_chat_formatting, op4_secret_scans, op5_sharding,
               op6_benchmark_decontamination, op7_token_counts, op8_jaccard_join,
-              op9_best_fit_packing, op10_token_files, op12_ranked_search, op13_prefix_trie)
+              op9_best_fit_packing, op10_token_files, op11_personal_data, op12_ranked_search, op13_prefix_trie)
 }
 #: DuckDB's forms. What they leave out cannot be said in SQL: learning, regular tokenisers, files.
 ORACLES: dict[str, str] = {
