@@ -10,17 +10,20 @@ smaller partner there, that of the band below.
 
 Costs come from the data: of each set only the segments that it shares with the fewest sets are
 probed, and only as many as the pigeonhole needs after those that it shares with none. Empty segments
-carry no weight; a set that cannot do without them probes them too.
-
-Sets that a probe brings together form a cluster. Links never leave a cluster, so its sets are
-compared exactly, block against block where it is large, by counting common tokens with an inverted
-index; no pairs are written, only the links that join components. Equal sets are one class from the
-start, and the class's members are never compared.
+carry no weight and have no signature. A set whose other segments weigh too little is *short*: it probes
+them all, and goes on to another cut of the universe, by other hashes. What it has missed so far differs
+from it in all its segments, so little of it lies elsewhere: only sets of few weighty segments (``rank``) are indexed
+in the next cut too. Sets that are short in all ``CUTS`` are, at these odds, none; they probe empty segments.
+
+Only what a set probes is compared with it, exactly, and no pairs of a group are written out. In
+rounds, of the sets that probe a signature one is its pivot: all others are compared with it, and what is linked
+with it is one component, whose sets never meet again. When what is left is little, the sets that probe, or those outside the
+largest component if they are fewer, are compared with the signature's other sets, block against block.
+Equal sets are one class from the start, and the class's members are never compared.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -44,8 +47,14 @@ PART, WHOLE = 80, 100
 BUCKET_ROWS = 1_000_000
 #: Index entries collected by a task before they are dealt to the buckets.
 FLUSH_ROWS = 500_000
-#: Tokens of all sets of a cluster, or of a block of a large cluster, compared in one task.
-BLOCK_TOKENS = 500_000
+#: Tokens, and sets, of a block: what is compared in one task at most, twice.
+BLOCK_TOKENS, BLOCK_SETS = 500_000, 256
+#: Cuts of the universe that a set may need.
+CUTS = 8
+#: Rounds of pivots at most; they also end when what is left to compare is at most so many sets for each one held.
+ROUNDS, WORK = 8, 16
+#: Comparisons of a signature that are dealt by set, so that sets which share several signatures meet once.
+FEW = 4096
 #: Candidates (an id and a few numbers each) up to which their table is broadcast to the texts.
 BROADCAST_ROWS = 300_000
 
@@ -104,32 +113,50 @@ class Scheme:
     segments: int
     deletions: bool
 
-    @property
-    def salt(self) -> np.uint64:
-        return np.uint64(int(_SALTS[0]) * (self.number + 1) % (1 << 64))
-
-    def weighted(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-        """Signatures, their segments, marks of empty content, and the weight of the whole set."""
+    def cut(self, tokens: np.ndarray, number: int) -> Cut:
+        """What a set has in a cut of the universe; the first cut is by the tokens' own order."""
+        if number:
+            tokens = np.sort(mixed(tokens + np.uint64(int(_SALTS[1]) * number % (1 << 64))))
+        salt = np.uint64(int(_SALTS[0]) * (self.number + 1 + 1000 * number) % (1 << 64))
         places = ((tokens >> _HALF) * np.uint64(self.segments)) >> _HALF
         firsts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
         held = places[firsts]
         content = mixed(tokens)
         sums = np.add.reduceat(content, firsts)
-        key = mixed(np.arange(self.segments, dtype=np.uint64) + self.salt)
-        if not self.deletions:
-            missing = np.setdiff1d(np.arange(self.segments, dtype=np.uint64), held)
-            where = np.r_[held, missing].astype(np.int64)
-            inner = np.r_[sums, np.zeros(len(missing), np.uint64)]
-            empty = np.r_[np.zeros(len(held), bool), np.ones(len(missing), bool)]
-            return mixed(inner + key[where]), where, empty, len(held)
-        counts = np.diff(np.r_[firsts, len(tokens)])
-        without = np.repeat(sums, counts) - content
-        missing = np.setdiff1d(np.arange(self.segments, dtype=np.uint64), held)
-        where = np.r_[held, places, missing].astype(np.int64)
-        inner = np.r_[sums, without, np.zeros(len(missing), np.uint64)]
-        empty = np.r_[np.zeros(len(held), bool), np.repeat(counts == 1, counts),
-                      np.ones(len(missing), bool)]
-        return mixed(inner + key[where]), where, empty, int(np.minimum(counts, 2).sum())
+        segments = np.arange(self.segments, dtype=np.uint64)
+        key = mixed(segments + salt)
+        if self.deletions:
+            counts = np.diff(np.r_[firsts, len(tokens)])
+            several = np.repeat(counts, counts) > 1  # without its only token a segment is empty
+            where = np.r_[held, places[several]].astype(np.int64)
+            inner = np.r_[sums, (np.repeat(sums, counts) - content)[several]]
+            bare = np.r_[np.setdiff1d(segments, held), held[counts == 1]].astype(np.int64)
+            weight, rank = int(np.minimum(counts, 2).sum()), len(held) + int((counts > 2).sum())
+        else:
+            where, inner = held.astype(np.int64), sums
+            bare = np.setdiff1d(segments, held).astype(np.int64)
+            weight = rank = len(held)
+        return Cut(mixed(inner + key[where]), where, mixed(key[bare]), bare, weight, rank)
+
+    def most_missed(self, size: int) -> int:
+        """Tokens in which a short set that finds a set of this size here differs from it at most."""
+        largest = size * WHOLE // PART
+        most = most_errors(2 * min(largest, self.high))
+        return max(most, most_errors(largest + self.high)) if largest > self.high else most
+
+
+@dataclass(frozen=True)
+class Cut:
+    """Signatures and their segments; the same of empty content; weight, and rank: the least number of
+    tokens in which any set differs from this one that shares none of the other's signatures here and has no
+    more tokens."""
+
+    sigs: np.ndarray
+    where: np.ndarray
+    bare_sigs: np.ndarray
+    bare_where: np.ndarray
+    weight: int
+    rank: int
 
 
 @cache
@@ -164,24 +191,35 @@ def joined_schemes(size: int) -> list[tuple[Scheme, int]]:
 
 
 _ENTRY = np.dtype([("sig", "<u4"), ("class", "<u8"), ("segment", "u1"), ("mark", "u1")])
-_EMPTY, _BELOW, _TWO, _SHORT = 1, 2, 4, 8
+_EMPTY, _TWO, _SHORT, _PART = 1, 2, 4, 3  # above these bits the part: 2 * cut, 1 more for the band below
 
 
 def entries(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
-    """Index entries of a set with their full signatures, and per scheme its weight and its need."""
+    """Index entries of a set with their full signatures, and per part its weight and its need, which
+    is 0 where it is only found."""
     sigs, rows, needs = [], [], []
     for k, (scheme, need) in enumerate(joined_schemes(len(tokens))):
-        sig, where, empty, weight = scheme.weighted(tokens)
-        short = weight < need
-        row = np.empty(len(sig), _ENTRY)
-        row["class"], row["segment"] = number, where & 255
-        row["mark"] = (empty * _EMPTY | (k and _BELOW) | (scheme.deletions and _TWO)
-                       | (short and _SHORT))
-        sigs.append(sig)
-        rows.append(row)
-        # a set that falls short counts its empty segments too, and then has all the weight there is
-        most = scheme.segments * (2 if scheme.deletions else 1)
-        needs.append((k, most if short else weight, need))
+        missed, probing = scheme.most_missed(len(tokens)), True
+        for c in range(CUTS):
+            cut = scheme.cut(tokens, c)
+            short = probing and cut.weight < need
+            again = short if k else cut.rank <= missed  # in the band below sets only probe
+            last = c == CUTS - 1 and again
+            sig = np.r_[cut.sigs, cut.bare_sigs] if last else cut.sigs
+            where = np.r_[cut.where, cut.bare_where] if last else cut.where
+            row = np.empty(len(sig), _ENTRY)
+            row["class"], row["segment"] = number, where & 255
+            empty = np.arange(len(sig)) >= len(cut.sigs)
+            row["mark"] = (empty * _EMPTY | (scheme.deletions and _TWO) | (last and short and _SHORT)
+                           | (2 * c + k) << _PART)
+            sigs.append(sig)
+            rows.append(row)
+            # with the empty segments a set has all the weight there is
+            most = scheme.segments * (2 if scheme.deletions else 1)
+            needs.append((2 * c + k, most if last and short else cut.weight, need if probing else 0))
+            probing = short
+            if not again:
+                break
     return np.concatenate(sigs), np.concatenate(rows), needs
 
 
@@ -190,18 +228,18 @@ def class_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) or 1
 
 
-_INDEXED = ("doc_id long, text_key long, class long, size long, below int, weight long, need long,"
+_INDEXED = ("doc_id long, text_key long, class long, size long, part int, weight long, need long,"
             " bucket int, entries binary")
 _INDEXED_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("class", pa.int64()), ("size", pa.int64()),
-    ("below", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()), ("bucket", pa.int32()),
+    ("part", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()), ("bucket", pa.int32()),
     ("entries", pa.binary()),
 ])
-_REDUCED = ("kind int, doc_id long, text_key long, class long, size long, below int, weight long,"
+_REDUCED = ("kind int, doc_id long, text_key long, class long, size long, part int, weight long,"
             " need long, segment long, sig long, n long, counts boolean")
 _REDUCED_ARROW = pa.schema([
     ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("class", pa.int64()),
-    ("size", pa.int64()), ("below", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()),
+    ("size", pa.int64()), ("part", pa.int32()), ("weight", pa.int64()), ("need", pa.int64()),
     ("segment", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("counts", pa.bool_()),
 ])
 _DOCUMENT, _WEIGHT, _SHARED = 0, 1, 2
@@ -222,7 +260,7 @@ def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
 
 def indexed(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows of three kinds, each with a bucket: documents (``doc_id, class, size``), weights of
-    classes (``class, size, below, weight, need``) and index entries of many classes (``entries``)."""
+    classes (``class, size, part, weight, need``) and index entries of many classes (``entries``)."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler().shingles
@@ -240,10 +278,10 @@ def indexed(docs: DataFrame, buckets: int) -> DataFrame:
                 parts = np.split(row, firsts[1:])
                 yield _batch(_INDEXED_ARROW, bucket=bucket[firsts],
                              entries=[p.tobytes() for p in parts])
-                number, size, below, weight, need = (
+                number, size, part, weight, need = (
                     np.array(c, np.int64) for c in zip(*needs, strict=True))
                 yield _batch(_INDEXED_ARROW, **{"class": number}, size=size,
-                             below=below.astype(np.int32), weight=weight, need=need,
+                             part=part.astype(np.int32), weight=weight, need=need,
                              bucket=(number % buckets).astype(np.int32))
             sigs.clear(), rows.clear(), needs.clear(), seen.clear()
             held = 0
@@ -276,13 +314,13 @@ def indexed(docs: DataFrame, buckets: int) -> DataFrame:
 
 def reduced(index: DataFrame, buckets: int) -> DataFrame:
     """Documents and weights as they are, and of the index what more than one class shares: ``class,
-    below, weight, segment, sig, n, counts``. One shuffle, of arrays instead of rows."""
+    part, weight, segment, sig, n, counts``. One shuffle, of arrays instead of rows."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            entry, below = batch["entries"].is_valid(), batch["below"].is_valid()
-            for kind, mask in ((_DOCUMENT, pc.and_not(pc.invert(entry), below)), (_WEIGHT, below)):
+            entry, weight = batch["entries"].is_valid(), batch["part"].is_valid()
+            for kind, mask in ((_DOCUMENT, pc.and_not(pc.invert(entry), weight)), (_WEIGHT, weight)):
                 some = batch.filter(mask)
                 if some.num_rows:
                     columns = {n: some[n] for n in _INDEXED_ARROW.names[:-2]}
@@ -314,7 +352,7 @@ def reduced(index: DataFrame, buckets: int) -> DataFrame:
                 yield _batch(
                     _REDUCED_ARROW, kind=np.full(len(rows), _SHARED, np.int32),
                     **{"class": rows["class"].copy().view(np.int64)},
-                    below=(rows["mark"] & _BELOW > 0).astype(np.int32),
+                    part=(rows["mark"] >> _PART).astype(np.int32),
                     weight=np.where(rows["mark"] & _TWO, 2, 1).astype(np.int64),
                     segment=rows["segment"].astype(np.int64),
                     sig=(np.int64(bucket) << np.int64(32)) | rows["sig"].astype(np.int64),
@@ -328,84 +366,144 @@ def probes(shared: DataFrame, weights: DataFrame) -> DataFrame:
     # a segment of weight 1 has one signature, which stands for it
     place = F.when(F.col("weight") == 2, F.col("segment")).otherwise(F.col("sig"))
     rows = shared.filter("counts").withColumn("_place", place)
-    per_segment = rows.groupBy("class", "below", "weight", "_place").agg(F.sum("n").alias("_cost"))
-    per_class = Window.partitionBy("class", "below")
+    per_segment = rows.groupBy("class", "part", "weight", "_place").agg(F.sum("n").alias("_cost"))
+    per_class = Window.partitionBy("class", "part")
     cheaper = per_class.orderBy("_cost", "_place").rowsBetween(Window.unboundedPreceding, -1)
     chosen = (
         per_segment.withColumn("_shared", F.sum("weight").over(per_class))
         .withColumn("_before", F.coalesce(F.sum("weight").over(cheaper), F.lit(0)))
         .withColumnRenamed("weight", "_weight")
-        .join(weights.withColumnRenamed("weight", "_all"), ["class", "below"])
+        .join(weights.withColumnRenamed("weight", "_all"), ["class", "part"])
         .filter("_before < need - (_all - _shared)")
-        .select("class", "below", "size", "_place")
+        .select("class", "part", "size", "_place")
     )
-    return rows.join(chosen, ["class", "below", "_place"]).select("class", "size", "sig")
-
+    return rows.join(chosen, ["class", "part", "_place"]).select("class", "size", "sig")
 
-def candidate_edges(chosen: DataFrame, shared: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``a, b``: the classes that a probe brings together, each tied to the smallest of them.
 
-    Per probed signature the members whose size some probe can be linked with make a star, no pairs.
-    """
+def members(chosen: DataFrame, shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``sig, class, size, probes``: the classes of each probed signature that some probe can be linked with."""
     probed = chosen.groupBy("sig").agg(F.min("size").alias("_low"), F.max("size").alias("_high"))
-    members = (
-        shared.select("sig", "class").join(probed, "sig").join(sizes, "class")
-        .filter((F.col("size") * WHOLE >= F.col("_low") * PART) & (F.col("size") <= F.col("_high")))
-        .select("sig", "class")
-    )
-    hubs = members.groupBy("sig").agg(F.min("class").alias("b"))
-    return (members.join(hubs, "sig").filter("class != b")
-            .select(F.col("class").alias("a"), "b").distinct())
-
-
-def compared(clusters: DataFrame) -> DataFrame:
-    """``class, task, side``: which classes are compared in which tasks.
-
-    ``clusters`` has ``class, size, cluster``. A small cluster is one task. In a large one, sizes fall
-    into bands so wide that links stay in a band or lead to the next, and bands into blocks; a task
-    compares a block with itself, with a later one of its band, or with one of the next band.
-    """
-    band = F.floor(F.log(F.col("size")) / math.log(WHOLE / PART)).cast("long")
-    whole = clusters.groupBy("cluster").agg(F.sum("size").alias("_tokens"))
-    placed = clusters.join(whole, "cluster").withColumn(
-        "band", F.when(F.col("_tokens") > BLOCK_TOKENS, band).otherwise(F.lit(0).cast("long")))
-    blocks = placed.groupBy("cluster", "band").agg(
-        F.ceil(F.sum("size") / BLOCK_TOKENS).cast("long").alias("_blocks"))
-    above = blocks.select("cluster", (F.col("band") - 1).alias("band"),
-                          F.col("_blocks").alias("_above"))
-    below = blocks.select("cluster", (F.col("band") + 1).alias("band"),
-                          F.col("_blocks").alias("_below"))
-    bounds = blocks.join(above, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left")
-
-    def task(band: str, up: int, i: str, j: str, side: str) -> str:
-        return f"named_struct('task', xxhash64(cluster, {band}, {up}, {i}, {j}), 'side', {side})"
-
-    def to(end: str, entry: str) -> str:
-        return f"transform(sequence(0L, {end} - 1), o -> {entry})"
-
-    tasks = (
-        "concat("
-        + to("_blocks", task("band", 0, "least(o, own)", "greatest(o, own)", "int(own > o)")) + ","
-        + "if(_above is null, array(), " + to("_above", task("band", 1, "own", "o", "0")) + "),"
-        + "if(_below is null, array(), " + to("_below", task("band - 1", 1, "o", "own", "1")) + "))"
-    )
+    rows = (shared.select("sig", "class", F.lit(False).alias("probes"))
+            .unionAll(chosen.select("sig", "class", F.lit(True)))
+            .groupBy("sig", "class").agg(F.max("probes").alias("probes")))
     return (
-        placed.join(bounds, ["cluster", "band"])
-        .withColumn("own", F.pmod(F.xxhash64("class"), F.col("_blocks")))
-        .select("class", F.expr(tasks).alias("tasks"))
+        rows.join(probed, "sig").join(sizes, "class")
+        .filter((F.col("size") * WHOLE >= F.col("_low") * PART) & (F.col("size") <= F.col("_high")))
+        .select("sig", "class", "size", "probes")
     )
 
 
-def linked(tokens: list[np.ndarray], others: list[np.ndarray] | None) -> list[tuple[int, int]]:
-    """Pairs of positions, enough to join all components: every link within ``tokens``, or between
-    ``tokens`` and ``others``, connects two that the returned pairs connect."""
-    right = tokens if others is None else others
+def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of their class so far."""
+    if labels is None:
+        return rows.withColumn("component", F.col("class"))
+    return rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def unsettled(rows: DataFrame) -> DataFrame:
+    """``sig, n, largest, others, probing`` of the signatures with sets of several components, of which
+    some probe: their number, the largest component, and the sets outside it."""
+    each = rows.groupBy("sig", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("probes"), 1)).alias("probing"))
+    return each.groupBy("sig").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("_most"),
+        F.sum("probing").alias("probing"), F.count(F.lit(1)).alias("_components"),
+    ).filter("_components > 1 and probing > 0").select(
+        "sig", "n", F.col("_most.component").alias("largest"), (F.col("n") - F.col("_most.n")).alias("others"),
+        "probing")
+
+
+def can_link(size: str, other: str):
+    return (F.greatest(size, other) * PART <= F.least(size, other) * WHOLE)
+
+
+def starred(pairs: DataFrame) -> DataFrame:
+    """``task, side, class``: every ``pivot`` with its ``class``es, in blocks."""
+    pairs = staged(pairs.select("pivot", "class", "size").distinct())
+    blocks = pairs.groupBy("pivot").agg(_blocks().alias("blocks"))
+    dealt = pairs.join(blocks, "pivot").withColumn(
+        "task", F.xxhash64(F.lit("star"), "pivot", F.pmod(F.xxhash64("class"), F.col("blocks"))))
+    centres = dealt.select("task", F.lit(0).alias("side"), F.col("pivot").alias("class")).distinct()
+    return centres.unionAll(dealt.select("task", F.lit(1).alias("side"), "class"))
+
+
+def _blocks():
+    return F.greatest(F.ceil(F.sum("size") / BLOCK_TOKENS), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long")
+
+
+def crossed(rows: DataFrame) -> DataFrame:
+    """``task, side, class``: per signature the ``left`` rows meet all rows, block against block; where
+    that is little, set by set."""
+    few = F.col("lefts") * F.col("n") <= FEW
+    left = rows.filter("left").select("sig", F.col("class").alias("pivot"), F.col("size").alias("_size"),
+                                      F.col("component").alias("_component"))
+    pairs = rows.filter(few).join(left, "sig").filter(
+        (F.col("class") != F.col("pivot")) & (F.col("component") != F.col("_component")) & can_link("size", "_size"))
+    large = rows.filter(~few)
+    counts = large.groupBy("sig").agg(
+        _blocks().alias("rights"),
+        F.greatest(F.ceil(F.sum(F.when(F.col("left"), F.col("size"))) / BLOCK_TOKENS),
+                   F.ceil(F.count(F.when(F.col("left"), 1)) / BLOCK_SETS)).cast("long").alias("lefts_"))
+    dealt = large.join(counts, "sig").withColumn("own", F.xxhash64("class"))
+
+    def side(number: int, own: str, others: str) -> DataFrame:
+        i, j = F.pmod("own", F.col(own)), F.col("other")
+        place = (i, j) if number == 0 else (j, i)
+        chosen_rows = dealt.filter("left") if number == 0 else dealt
+        return (chosen_rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
+                .select(F.xxhash64(F.lit("cross"), "sig", *place).alias("task"), F.lit(number).alias("side"), "class"))
+
+    return starred(pairs).unionAll(side(0, "lefts_", "rights")).unionAll(side(1, "rights", "lefts_"))
+
+
+def linked_components(rows: DataFrame, tokens: DataFrame) -> DataFrame | None:
+    """``class, component`` of the linked classes, by rounds of pivots; ``rows`` are ``members``."""
+    found, labels = None, None
+    for round_ in range(ROUNDS + 1):
+        now = labelled(rows, labels)
+        open_ = staged(unsettled(now))
+        least = F.least("probing", "others")
+        work = open_.agg(F.sum(least * F.col("n")).alias("work"), F.sum("n").alias("held")).first()
+        if not work["held"]:
+            break
+        now = now.join(open_, "sig")
+        done = round_ == ROUNDS or (round_ and work["work"] <= WORK * work["held"])
+        if done:
+            by_probes = F.col("probing") <= F.col("others")
+            now = now.withColumns({
+                "left": F.when(by_probes, F.col("probes")).otherwise(F.col("component") != F.col("largest")),
+                "lefts": least})
+            tasks = crossed(staged(now.select("sig", "class", "size", "component", "n", "left", "lefts")))
+        else:
+            # outside the largest component, if any probes there; then the largest, then the smallest class
+            rank = F.struct((F.col("component") != F.col("largest")).alias("a"), F.col("size").alias("b"),
+                            (-F.col("class")).alias("c"), F.col("component").alias("d"))
+            pivots = staged(now.filter("probes").groupBy("sig").agg(F.max(rank).alias("p")).select(
+                "sig", (-F.col("p.c")).alias("pivot"), F.col("p.b").alias("_size"), F.col("p.d").alias("_component")))
+            tasks = starred(now.join(pivots, "sig").filter(
+                (F.col("class") != F.col("pivot")) & (F.col("component") != F.col("_component"))
+                & can_link("size", "_size")))
+            used = pivots.select("sig", F.col("pivot").alias("class"), F.lit(True).alias("used"))
+            rows = staged(now.join(used, ["sig", "class"], "left").select(
+                "sig", "class", "size", (F.col("probes") & F.col("used").isNull()).alias("probes")))
+        more = staged(links(tasks, tokens))
+        if not more.isEmpty():
+            found = more if found is None else found.unionAll(more)
+            labels = components(found).select(F.col("node").alias("class"), "component")
+        if done:
+            break
+    return labels
+
+
+def linked(tokens: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of positions, enough to join all components: every link between ``tokens`` and ``right``
+    connects two that the returned pairs connect."""
     sizes = np.array([len(t) for t in right], dtype=np.int64)
     universe, codes = np.unique(np.concatenate(right), return_inverse=True)
     owners = np.repeat(np.arange(len(right)), sizes)[np.argsort(codes, kind="stable")]
     starts = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(universe)))])
     parent = list(range(len(tokens) + len(right)))
-    shift = 0 if others is None else len(tokens)
+    shift = len(tokens)
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -426,7 +524,7 @@ def linked(tokens: list[np.ndarray], others: list[np.ndarray] | None) -> list[tu
         union = sizes + len(own) - common
         hits = np.flatnonzero(common * WHOLE >= union * PART)
         for j in hits.tolist():
-            if (others is not None or j > i) and common[j]:
+            if common[j]:
                 a, b = root(i), root(j + shift)
                 if a != b:
                     parent[a] = b
@@ -434,12 +532,9 @@ def linked(tokens: list[np.ndarray], others: list[np.ndarray] | None) -> list[tu
     return found
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """``a, b``: links that join all components, of the classes that meet in a task.
-
-    ``texts`` has ``class, tasks, text``. A row whose text is not of its class, because its id is not
-    its own, is passed over.
-    """
+def token_sets(texts: DataFrame) -> DataFrame:
+    """``class, tokens`` of ``class, text``. A row whose text is not of its class, because its id is not
+    its own, is passed over."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler().shingles
@@ -448,24 +543,28 @@ def links(texts: DataFrame) -> DataFrame:
             numbers = np.array([class_of(t) if len(t) else 0 for t in tokens], np.uint64)
             own = numbers.view(np.int64) == batch["class"].to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [batch["class"], batch["tasks"], pa.array([t.tobytes() for t in tokens], pa.binary())],
-                names=["class", "tasks", "tokens"]).filter(pa.array(own))
+                [batch["class"], pa.array([t.tobytes() for t in tokens], pa.binary())],
+                names=["class", "tokens"]).filter(pa.array(own))
+
+    return texts.select("class", "text").mapInArrow(sets, "class long, tokens binary").dropDuplicates(["class"])
+
+
+def links(tasks: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``a, b``: links that join all components, of the classes of side 0 with those of side 1 in a task."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(group: list[tuple]) -> pa.RecordBatch:
-            unique = {(side, number): tokens for number, side, tokens in group}
-            left = [(n, t) for (side, n), t in unique.items() if side == 0]
-            right = [(n, t) for (side, n), t in unique.items() if side == 1]
+            left = [(n, t) for side, n, t in group if side == 0]
+            right = [(n, t) for side, n, t in group if side == 1]
             pairs = linked([np.frombuffer(t, np.uint64) for _, t in left],
-                           [np.frombuffer(t, np.uint64) for _, t in right] or None) if left else []
-            other = right or left
+                           [np.frombuffer(t, np.uint64) for _, t in right]) if left and right else []
             return pa.RecordBatch.from_arrays(
                 [pa.array([left[i][0] for i, _ in pairs], pa.int64()),
-                 pa.array([other[j][0] for _, j in pairs], pa.int64())], names=["a", "b"])
+                 pa.array([right[j][0] for _, j in pairs], pa.int64())], names=["a", "b"])
 
         now, group = None, []
         for batch in batches:
-            columns = (batch[n].to_pylist() for n in ("task", "class", "side", "tokens"))
+            columns = (batch[n].to_pylist() for n in ("task", "side", "class", "tokens"))
             for task, *row in zip(*columns, strict=True):
                 if task != now and group:
                     yield found(group)
@@ -475,14 +574,8 @@ def links(texts: DataFrame) -> DataFrame:
         if group:
             yield found(group)
 
-    dealt = (
-        texts.select("class", "tasks", "text")
-        .mapInArrow(sets, "class long, tasks array<struct<task:long,side:int>>, tokens binary")
-        .select("class", F.explode("tasks").alias("_t"), "tokens")
-        .select(F.col("_t.task").alias("task"), "class", F.col("_t.side").alias("side"), "tokens")
-    )
-    return (dealt.repartition("task").sortWithinPartitions("task")
-            .mapInArrow(compare, "a long, b long"))
+    return (tasks.join(tokens, "class").select("task", "side", "class", "tokens")
+            .repartition("task").sortWithinPartitions("task").mapInArrow(compare, "a long, b long"))
 
 
 def _components(docs: DataFrame) -> DataFrame:
@@ -498,23 +591,22 @@ def _components(docs: DataFrame) -> DataFrame:
 
     documents = table.filter(F.col("kind") == _DOCUMENT).select("doc_id", "text_key", "class", "size")
     weights = (table.filter(F.col("kind") == _WEIGHT)
-               .groupBy("class", "below").agg(*(F.max(c).alias(c) for c in ("size", "weight", "need"))))
+               .groupBy("class", "part").agg(*(F.max(c).alias(c) for c in ("size", "weight", "need"))))
     shared = table.filter(F.col("kind") == _SHARED).select(
-        "class", "below", "weight", "segment", "sig", "n", "counts")
+        "class", "part", "weight", "segment", "sig", "n", "counts")
     classes = documents.filter(F.col("class") != 0).groupBy("class").agg(
         F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("size").alias("size"))
 
     chosen = staged(probes(shared, weights))
-    edges = candidate_edges(chosen, shared, classes.select("class", "size"))
-    clusters = components(edges).select(F.col("node").alias("class"),
-                                        F.col("component").alias("cluster"))
-    candidates = clusters.join(classes, "class")
-    tasks = staged(compared(candidates).join(classes, "class").select("first.*", "class", "tasks"))
-    if tasks.count() <= BROADCAST_ROWS:  # spares the shuffle of the texts
-        tasks = F.broadcast(tasks)
-    found = staged(links(keyed.join(tasks, ["doc_id", "text_key"])))
-
-    joined = components(found).select(F.col("node").alias("class"), "component")
+    rows = staged(members(chosen, shared, classes.select("class", "size")))
+    wanted = staged(rows.select("class").distinct().join(classes, "class").select("class", "first.*"))
+    if wanted.count() <= BROADCAST_ROWS:  # spares the shuffle of the texts
+        wanted = F.broadcast(wanted)
+    tokens = staged(token_sets(keyed.join(wanted, ["doc_id", "text_key"])))
+    joined = linked_components(rows, tokens)
+    if joined is None:
+        joined = classes.select("class", F.col("class").alias("component")).limit(0)
+
     roots = classes.join(joined, "class", "left").select(
         "class", "first", F.coalesce("component", "class").alias("component"))
     firsts = roots.groupBy("component").agg(F.min("first.doc_id").alias("component_id"))

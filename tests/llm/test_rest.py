@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkindex.llm import chat, credentials, decontam, jaccard, sharding, topk, toxicity
 from linkindex.llm.components import components
@@ -399,25 +400,89 @@ def test_rows_without_an_id_are_in_groups(spark):
     assert jaccard.one_per_component(same, null_ids=True).count() == 1
 
 
-def test_every_pair_shares_a_probed_segment():
-    """The pigeonhole itself, on sets at the very edge of the similarity."""
+def signatures(tokens):
+    """By part: probed rows as ``(place, weight, sig)``, all rows' sigs, weight and need."""
+    sigs, rows, needs = jaccard.entries(tokens, 1)
+    out = {}
+    for part, weight, need in needs:
+        own = np.flatnonzero(rows["mark"] >> jaccard._PART == part)
+        marks = rows["mark"][own]
+        counted = own[(marks & (jaccard._EMPTY | jaccard._SHORT)) != jaccard._EMPTY]
+        two = bool(marks[0] & jaccard._TWO)
+        held = {}
+        for i in counted.tolist():
+            held.setdefault(int(rows["segment"][i]) if two else int(sigs[i]), []).append(int(sigs[i]))
+        out[part] = held, {int(x) for x in sigs[own]}, weight, need, two
+    return out
+
+
+@pytest.mark.parametrize("cuts", [8, 2, 1])
+def test_every_pair_shares_a_probed_segment(monkeypatch, cuts):
+    """The pigeonhole itself, on sets at the very edge of the similarity, spread evenly or in few
+    segments, whichever segments are chosen to be probed."""
+    monkeypatch.setattr(jaccard, "CUTS", cuts)
     draw = np.random.default_rng(4)
-    for size in [1, 2, 3, 4, 5, 7, 8, 9, 12, 16, 20, 27, 40, 64, 100, 250]:
-        for _ in range(25):
-            large = np.unique(draw.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2))
-            drop = draw.integers(0, jaccard.most_errors(2 * size) + 1)
-            small = np.sort(draw.permutation(large)[:max(1, len(large) - drop)])
-            if len(small) * 100 < 80 * len(large):
+    met = set()
+    for size in [1, 2, 3, 4, 5, 7, 8, 9, 12, 16, 20, 25, 27, 40, 64, 100, 250]:
+        for trial in range(60):
+            high = 2**64 - 1 if trial % 3 == 0 else 2 ** int(draw.integers(60, 64))
+            large = np.unique(draw.integers(0, high, size, dtype=np.uint64))
+            drop = int(draw.integers(0, jaccard.most_errors(2 * size) + 1))
+            kept = draw.permutation(large)[:max(1, len(large) - drop)]
+            new = draw.integers(0, high, int(draw.integers(0, 2)) * int(draw.integers(0, drop + 1)), dtype=np.uint64)
+            small = np.unique(np.r_[kept, new[:len(large) - len(kept)]])
+            common = len(np.intersect1d(large, small))
+            if 100 * common < 80 * (len(large) + len(small) - common):
                 continue
-            common = False
-            for k, (scheme, need) in enumerate(jaccard.joined_schemes(len(large))):
-                sigs, where, empty, weight = scheme.weighted(large)
-                for other, _ in jaccard.joined_schemes(len(small)):
-                    if other == scheme:
-                        theirs = set(scheme.weighted(small)[0].tolist())
-                        used = [s for s, e in zip(sigs.tolist(), empty) if not e or weight < need]
-                        common |= bool(theirs & set(used))
-            assert common, (size, len(small))
+            theirs = signatures(small)
+            scheme = {k: s.number for k, (s, _) in enumerate(jaccard.joined_schemes(len(large)))}
+            other = {s.number: k for k, (s, _) in enumerate(jaccard.joined_schemes(len(small)))}
+            found = False
+            for part, (held, _, weight, need, two) in signatures(large).items():
+                there = theirs.get((part & ~1) | other[scheme[part & 1]] if scheme[part & 1] in other else -1)
+                met.add((part >> 1, weight < need))
+                if there is None or not need:
+                    continue
+                covered = 0
+                for place in draw.permutation(np.array(list(held), dtype=np.uint64)).tolist():
+                    if covered < need:
+                        segment = 2 if two and len(held[place]) > 1 else 1
+                        covered += segment
+                        found |= bool(there[1] & set(held[place]))
+            assert found, (size, len(small), common)
+    assert (0, True) in met or cuts == 1
+
+
+def test_short_texts_meet_little(spark):
+    """Unrelated texts of nine shingles share no signature, so none is compared; their copies are found."""
+    draw = random.Random(12)
+    texts = [" ".join(f"w{draw.randrange(10**7)}" for _ in range(13)) for _ in range(5000)]
+    copies = [f"{texts[k]} x" for k in range(0, 5000, 50)]
+    docs = spark.createDataFrame(list(enumerate(texts + copies)), "doc_id long, text string")
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    table = jaccard.staged(jaccard.reduced(jaccard.indexed(keyed, 8), 8))
+    shared = table.filter("kind = 2")
+    assert shared.select("class").distinct().count() < 300
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {k: k for k in range(5000)} | {5000 + k: 50 * k for k in range(100)}
+
+
+def test_groups_of_near_copies(spark, monkeypatch):
+    """A large group in several blocks, a family without links that shares signatures, and sets on the
+    edge of the group."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 16)
+    monkeypatch.setattr(jaccard, "FEW", 40)
+    monkeypatch.setattr(jaccard, "ROUNDS", 2)
+    draw = random.Random(13)
+    base = [f"h{k}" for k in range(90)]
+    texts = [" ".join(edited(draw, base, draw.randrange(3))) for _ in range(150)]
+    texts += [" ".join(edited(draw, base, draw.choice([2, 3, 4]))) for _ in range(60)]
+    family = [f"f{k}" for k in range(60)]
+    texts += [" ".join(family + [f"x{draw.randrange(10**6)}" for _ in range(22)]) for _ in range(120)]
+    rows = list(enumerate(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(frame).collect())
+    assert got == sorted(brute_components(rows))
 
 
 def test_components(spark):
