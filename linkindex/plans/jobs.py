@@ -18,7 +18,8 @@ from linkindex.operators.views import company_view, link_view, paye_view, vat_vi
 from linkindex.plans.layout import Layout
 from linkindex.schemas import CH, LINKS, PAYE, TCN, VAT
 from linkindex.sources import readers, writers
-from linkindex.sources.staging import remove, staged_until_done
+from linkindex.sources.files import remove
+from linkindex.sources.staging import staged_until_done
 
 
 def ingest(spark: SparkSession, layout: Layout) -> dict[str, int]:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from linkindex.schemas import ADMIN_SCHEMAS, MATCHED_LINKS, NUMBERED_LINKS, RAW_LINKS, TCN
+from linkindex.sources import files
+from linkindex.sources.versions import LostTable, announced, read_version
 
 
 def read_admin_csv(spark: SparkSession, path: str | list[str], src: str) -> DataFrame:
@@ -53,13 +57,23 @@ def empty_matches(spark: SparkSession) -> DataFrame:
 
 
 def read_prev_links(spark: SparkSession, path: str) -> DataFrame:
-    """Last month's links; no rows when the path does not exist. Any other error is raised."""
+    """Last month's links, as ``write_prev_links`` left them or as a plain folder of Parquet files; no
+    rows when there are none because nothing was ever written. Any other error is raised, also where
+    the links are gone but versions or dated copies of them show that there were some."""
+    found = read_version(spark, path)
+    if found is not None:
+        return found
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return empty_links(spark)
+    folder, file = path.rsplit("/", 1)
+    dated = [name for name in files.children(spark, folder)
+             if re.fullmatch("[0-9]{12}", name) and files.exists(spark, f"{folder}/{name}/{file}")]
+    if dated and not announced(spark, path):
+        raise LostTable(f"{path} is missing, but there are copies of {', '.join(dated)}")
+    return empty_links(spark)
 
 
 def register_views(**tables: DataFrame) -> None:

@@ -15,6 +15,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linkindex.sources.files import remove
+
 _run: ContextVar[str | None] = ContextVar("run", default=None)
 _session_runs: dict[str, str] = {}
 
@@ -67,9 +69,3 @@ def clear_session(spark: SparkSession) -> None:
     folder = _session_runs.pop(_session_key(spark), None)
     if folder:
         remove(spark, folder)
-
-
-def remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder wherever it is; Spark has no public call for it, so Hadoop's is taken."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

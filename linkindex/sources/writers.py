@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkindex.schemas import INDEX
+from linkindex.sources import files
 from linkindex.sources.readers import read_parquet
+from linkindex.sources.versions import announce, write_version
 
 DOCUMENT_STORE = "org.elasticsearch.spark.sql"
 
@@ -29,18 +33,34 @@ def write_index(index: DataFrame, path: str) -> None:
 def write_prev_links(
     links: DataFrame, prev_dir: str, file: str, run_ts: str | None = None
 ) -> None:
-    """Links for next month, or with ``run_ts`` (``yyyyMMddHHmm``) a copy that stays."""
-    folder = f"{prev_dir}/{run_ts}" if run_ts else prev_dir
-    write_parquet(links, f"{folder}/{file}")
+    """Links for next month, or with ``run_ts`` (``yyyyMMddHHmm``) a copy that stays.
+
+    Next month's links are a new version of the table, so the former ones are in force until all of the
+    new ones are there. The copy is a plain folder, written aside and then renamed.
+    """
+    if run_ts:
+        replace_parquet(links, f"{prev_dir}/{run_ts}/{file}")
+    else:
+        write_version(links, f"{prev_dir}/{file}")
+
+
+def replace_parquet(df: DataFrame, path: str) -> None:
+    """Replace the Parquet files at ``path`` by rows that are complete beside it before the old ones go."""
+    spark, aside = df.sparkSession, f"{path}.new-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    files.remove(spark, path)
+    files.move(spark, aside, path)
 
 
 def write_links(links: DataFrame, work_dir: str, prev_dir: str, file: str, run_ts: str) -> None:
-    """Write the working copy, then make next month's copy and the dated one from it.
+    """Write the working copy, then make the dated copy and next month's from it.
 
-    ``links`` may have been read from next month's copy: that one is replaced only after the
-    working copy is complete.
+    ``links`` may have been read from next month's copy. That one is replaced last, and only when all
+    rows of the new one can be read: whatever fails before, last month's links are still there.
     """
     path = f"{work_dir}/{file}"
+    if not files.exists(links.sparkSession, f"{prev_dir}/{file}"):
+        announce(links.sparkSession, f"{prev_dir}/{file}")
     write_parquet(links, path)
     written = read_parquet(links.sparkSession, path)
     write_prev_links(written, prev_dir, file, run_ts)

@@ -8,12 +8,13 @@ from pathlib import Path
 import pytest
 from frames import B, bag, links
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from linkindex.operators import quality
 from linkindex.plans import jobs
 from linkindex.plans.layout import Layout
 from linkindex.schemas import ADMIN_SCHEMAS, CH, INDEX, LEGAL_ENTITY_COLUMNS, LINKS, PAYE, TCN, VAT
-from linkindex.sources import readers, staging, writers
+from linkindex.sources import files, readers, staging, versions, writers
 
 # A register made up for these tests: a mill with a company record, a shop with a PAYE scheme only,
 # a ferry with a VAT record only, a farm with both, and an inn whose VAT name has one line.
@@ -263,6 +264,74 @@ def test_broken_previous_links_are_an_error(spark, tmp_path):
                 and e.value.getCondition() == "PATH_NOT_FOUND")
 
 
+def test_a_failed_write_leaves_last_months_links(spark, tmp_path):
+    work, prev = f"{tmp_path}/work", f"{tmp_path}/prev"
+
+    def numbered(first, n):
+        return spark.range(first, first + n, 1, 4).select(
+            F.col("id").alias("UBRN"), *(F.array(F.lit(c)).alias(c) for c in ("CH", "VAT", "PAYE")))
+
+    def kept():
+        return sorted(r.UBRN for r in readers.read_prev_links(spark, f"{prev}/links").collect())
+
+    broken = numbered(100, 40).withColumn(
+        "UBRN", F.when(F.col("UBRN") % 10 == 7, F.raise_error(F.lit("half-way"))).otherwise(F.col("UBRN")))
+    with pytest.raises(Exception, match="half-way"):  # a first month that fails leaves none
+        writers.write_links(broken, work, prev, "links", "201801011200")
+    assert kept() == []
+    with pytest.raises(Exception, match="half-way"):
+        writers.write_prev_links(broken, prev, "links")
+    assert kept() == []
+    writers.write_links(numbered(0, 20), work, prev, "links", "201802011200")
+    for write in (lambda: writers.write_links(broken, work, prev, "links", "201803011200"),
+                  lambda: writers.write_prev_links(broken, prev, "links"),
+                  lambda: writers.write_prev_links(broken, prev, "links", "201802011200")):
+        with pytest.raises(Exception, match="half-way"):
+            write()
+        assert kept() == list(range(20))
+        dated = readers.read_parquet(spark, f"{prev}/201802011200/links")
+        assert sorted(r.UBRN for r in dated.collect()) == list(range(20))
+    same = readers.read_prev_links(spark, f"{prev}/links")  # read and replaced
+    writers.write_links(same.unionAll(numbered(50, 2)), work, prev, "links", "201803011200")
+    writers.write_prev_links(numbered(60, 3), prev, "links")
+    assert kept() == [60, 61, 62]
+    assert len(files.children(spark, f"{prev}/links.versions")) == 2
+
+
+def test_lost_links_are_an_error(spark, tmp_path):
+    links = spark.range(0, 5, 1, 1).select(F.col("id").alias("UBRN"))
+    prev = f"{tmp_path}/prev"
+    writers.write_prev_links(links, prev, "links", "201802011200")
+    with pytest.raises(versions.LostTable, match="copies of 201802011200"):
+        readers.read_prev_links(spark, f"{prev}/links")
+    writers.write_prev_links(links, prev, "links")
+    assert readers.read_prev_links(spark, f"{prev}/links").count() == 5
+    folder = tmp_path / "prev" / "links.versions"
+    version = next(folder.iterdir())
+    part = next(p for p in version.iterdir() if p.suffix == ".parquet")
+    part.rename(tmp_path / "part")
+    with pytest.raises(versions.LostTable, match="of 5 rows"):
+        readers.read_prev_links(spark, f"{prev}/links")
+    version.rename(tmp_path / "version")
+    with pytest.raises(versions.LostTable, match="cannot be read"):
+        readers.read_prev_links(spark, f"{prev}/links")
+    (tmp_path / "version").rename(version)
+    (tmp_path / "prev" / "links.current").write_text('{"vers')
+    with pytest.raises(versions.LostTable, match="names no version"):
+        readers.read_prev_links(spark, f"{prev}/links")
+    (tmp_path / "prev" / "links.current").rename(tmp_path / "current")
+    with pytest.raises(versions.LostTable, match="is missing"):
+        readers.read_prev_links(spark, f"{prev}/links")
+
+
+def test_a_plain_folder_of_previous_links(spark, tmp_path):
+    links = spark.range(5).select(F.col("id").alias("UBRN"))
+    links.write.parquet(f"{tmp_path}/prev/links")
+    assert readers.read_prev_links(spark, f"{tmp_path}/prev/links").count() == 5
+    writers.write_links(links.limit(2), f"{tmp_path}/work", f"{tmp_path}/prev", "links", "201802011200")
+    assert readers.read_prev_links(spark, f"{tmp_path}/prev/links").count() == 2
+
+
 def test_bad_cells_are_null(spark, tmp_path):
     write_csv(tmp_path / "v.csv", VAT, csv_line(VAT, {"vatref": "x", "turnover": "1.5",
                                                      "name1": "n", "status": "7"}))
