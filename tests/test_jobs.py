@@ -316,7 +316,7 @@ def test_lost_links_are_an_error(spark, tmp_path):
     with pytest.raises(versions.LostTable, match="cannot be read"):
         readers.read_prev_links(spark, f"{prev}/links")
     (tmp_path / "version").rename(version)
-    (tmp_path / "prev" / "links.current").write_text('{"vers')
+    files.write_text(spark, f"{prev}/links.current", '{"vers')
     with pytest.raises(versions.LostTable, match="names no version"):
         readers.read_prev_links(spark, f"{prev}/links")
     (tmp_path / "prev" / "links.current").rename(tmp_path / "current")
