@@ -14,9 +14,11 @@ What is accepted when no round finds more is reported wherever it stands, as kin
 run of letters, digits and ``@ . + # / _ -`` that has three digits or more, or an ``@`` between others;
 groups of digits separated by one blank are one instance.
 
-Texts are read twice: once for identifiers and their patterns, once to count the plain words in the place of the
-patterns that several instances share. A bit set of those patterns, of a bounded size, tells the second
-pass which places to report; what it reports by chance finds no pattern to join.
+Texts are read for identifiers and their patterns, and then to count the plain words in the place of the
+patterns that several instances share. A bit set of those patterns, of a bounded size, tells a pass
+which places to report; what it reports by chance finds no pattern to join. Most patterns are everyday
+words: those that a share of the texts already shows to have too many plain words to be trusted, as more texts only add
+to them, are left out before all texts are counted.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ DEVIATIONS = 1.0
 ROUNDS = 8
 #: Bits of the set of patterns, least and most: at most 32 MB are broadcast.
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+#: The passes that count plain words: one text of so many, and in the end all.
+PASSES = (64, 1)
 #: Places that a task gathers before it reports them.
 FLUSH_PLACES = 500_000
 
@@ -306,13 +310,18 @@ def accepted(found: DataFrame, docs: DataFrame) -> DataFrame | None:
     shared = staged(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") >= SUPPORT))
     if shared.isEmpty():
         return None
-    sent = docs.sparkSession.sparkContext.broadcast(bit_set(shared))
-    words = staged(plain_words(docs, sent))
-    sent.destroy()
-    patterns = (shared.join(words, "pattern", "left")
-                .select("pattern", "held", (F.col("held") + F.coalesce("n", F.lit(0))).alias("all")))
-    # a pattern that would not be trusted if all its instances were known can be left out now
-    patterns = patterns.filter(confidence(F.col("held"), F.col("all")) >= TRUST).select("pattern", "all")
+    patterns = shared
+    for one_of in PASSES:
+        sent = docs.sparkSession.sparkContext.broadcast(bit_set(patterns))
+        own = docs.filter(F.pmod(F.xxhash64("text"), F.lit(one_of)) == 0)
+        words = staged(plain_words(own, sent))
+        sent.destroy()
+        # a pattern that would not be trusted if all its instances were known is left out
+        patterns = staged(
+            patterns.select("pattern", "held").join(words, "pattern", "left")
+            .select("pattern", "held", (F.col("held") + F.coalesce("n", F.lit(0))).alias("all"))
+            .filter(confidence(F.col("held"), F.col("all")) >= TRUST))
+    patterns = patterns.select("pattern", "all")
     seeds = units.filter("seed").select("instance").distinct().withColumn("known", F.lit(True))
     graph = staged(edges.drop("seed").join(patterns, "pattern").join(seeds, "instance", "left")
                    .withColumn("seed", F.coalesce("known", F.lit(False))).drop("known"))
