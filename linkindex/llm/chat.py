@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkindex.llm.arrays import let, pieces, running_sums
 from linkindex.llm.common import quoted
 
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
@@ -80,24 +81,17 @@ def format_chats(turns: DataFrame, *, loss_role: str = "assistant") -> DataFrame
         "conv_id", "blocks", F.array_join(parts, "").alias("formatted"),
         F.transform(parts, lambda p: F.length(p).cast("long")).alias("lengths"))
     # where each block begins: a running sum over the blocks, and over the texts within a block
-    sums = F.aggregate(
-        "lengths", F.array(F.lit(0).cast("long")),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    located = placed.withColumn("starts", sums)
+    ends = running_sums(F.col("lengths"))
+    located = placed.withColumn("starts", let(ends, lambda e: F.transform(
+        "lengths", lambda n, k: F.get(e, k) - n)))
 
     def spans(x: Column) -> Column:
         block, start = x["b"], x["start"]
         first = start + len(START) + F.length(block.role) + 1
-        counted = F.aggregate(
-            block.texts,
-            F.struct(F.lit(0).cast("long").alias("at"),
-                     F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
-            lambda acc, t: F.struct(
-                (acc["at"] + F.length(t) + len(SEPARATOR)).cast("long").alias("at"),
-                F.concat(acc["spans"], F.array(F.struct(
-                    (first + acc["at"]).cast("long").alias("start"),
-                    F.length(t).cast("long").alias("length")))).alias("spans")))
-        return counted["spans"]
+        ends = running_sums(F.transform(block.texts, lambda t: F.length(t) + len(SEPARATOR)))
+        return let(ends, lambda ends: F.transform(block.texts, lambda t, k: F.struct(
+            (first + F.get(ends, k) - len(SEPARATOR) - F.length(t)).cast("long").alias("start"),
+            F.length(t).cast("long").alias("length"))))
 
     masked = F.filter(F.arrays_zip(F.col("blocks").alias("b"), F.col("starts").alias("start")),
                       lambda x: x["b"].role == escaped_role(F.lit(loss_role)))
@@ -121,8 +115,9 @@ def read_chats(formatted: DataFrame) -> DataFrame:
             lambda t: F.struct(unescaped_role(role).alias("role"), unescaped(t).alias("text")))
 
     # a block of no turns does not exist, so a text of no blocks is an empty conversation
-    loss = F.transform("loss_spans", lambda s: unescaped(
-        F.substring(F.col("formatted"), (s.start + 1).cast("int"), s.length.cast("int"))))
+    points = F.concat(F.array(F.lit(0).cast("long")), F.transform("loss_spans", lambda s: s.start))
+    loss = let(pieces(F.col("formatted"), points), lambda cut: F.transform("loss_spans", lambda s, k: unescaped(
+        F.substring(F.get(cut, k + 1), F.lit(1), s.length.cast("int")))))
     return formatted.select(
         "conv_id", F.flatten(F.transform(blocks, turns)).alias("turns"),
         F.array_join(loss, "").alias("loss_text"),
