@@ -17,8 +17,9 @@ in the next cut too. Sets that are short in all ``CUTS`` are, at these odds, non
 
 Only what a set probes is compared with it, exactly, and no pairs of a group are written out. In
 rounds, of the sets that probe a signature one is its pivot: all others are compared with it, and what is linked
-with it is one component, whose sets never meet again. When what is left is little, the sets that probe, or those outside the
-largest component if they are fewer, are compared with the signature's other sets, block against block.
+with it is one component, whose sets never meet again. When rounds link little, the sets that probe, or those outside the
+largest component if they are fewer, are compared with the signature's other sets, block against block; a block
+is of sets that share a signature, and two blocks meet once, however many signatures bring them together.
 Equal sets are one class from the start, and the class's members are never compared.
 """
 
@@ -51,10 +52,8 @@ FLUSH_ROWS = 500_000
 BLOCK_TOKENS, BLOCK_SETS = 500_000, 256
 #: Cuts of the universe that a set may need.
 CUTS = 8
-#: Rounds of pivots at most; they also end when what is left to compare is at most so many sets for each one held.
-ROUNDS, WORK = 8, 16
-#: Comparisons of a signature that are dealt by set, so that sets which share several signatures meet once.
-FEW = 4096
+#: Rounds of pivots at most; they also end when one links less than one in so many sets that it compared.
+ROUNDS, GAIN = 8, 5
 #: Candidates (an id and a few numbers each) up to which their table is broadcast to the texts.
 BROADCAST_ROWS = 300_000
 
@@ -419,7 +418,6 @@ def can_link(size: str, other: str):
 
 def starred(pairs: DataFrame) -> DataFrame:
     """``task, side, class``: every ``pivot`` with its ``class``es, in blocks."""
-    pairs = staged(pairs.select("pivot", "class", "size").distinct())
     blocks = pairs.groupBy("pivot").agg(_blocks().alias("blocks"))
     dealt = pairs.join(blocks, "pivot").withColumn(
         "task", F.xxhash64(F.lit("star"), "pivot", F.pmod(F.xxhash64("class"), F.col("blocks"))))
@@ -432,66 +430,69 @@ def _blocks():
 
 
 def crossed(rows: DataFrame) -> DataFrame:
-    """``task, side, class``: per signature the ``left`` rows meet all rows, block against block; where
-    that is little, set by set."""
-    few = F.col("lefts") * F.col("n") <= FEW
-    left = rows.filter("left").select("sig", F.col("class").alias("pivot"), F.col("size").alias("_size"),
-                                      F.col("component").alias("_component"))
-    pairs = rows.filter(few).join(left, "sig").filter(
-        (F.col("class") != F.col("pivot")) & (F.col("component") != F.col("_component")) & can_link("size", "_size"))
-    large = rows.filter(~few)
-    counts = large.groupBy("sig").agg(
-        _blocks().alias("rights"),
-        F.greatest(F.ceil(F.sum(F.when(F.col("left"), F.col("size"))) / BLOCK_TOKENS),
-                   F.ceil(F.count(F.when(F.col("left"), 1)) / BLOCK_SETS)).cast("long").alias("lefts_"))
-    dealt = large.join(counts, "sig").withColumn("own", F.xxhash64("class"))
-
-    def side(number: int, own: str, others: str) -> DataFrame:
-        i, j = F.pmod("own", F.col(own)), F.col("other")
-        place = (i, j) if number == 0 else (j, i)
-        chosen_rows = dealt.filter("left") if number == 0 else dealt
-        return (chosen_rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
-                .select(F.xxhash64(F.lit("cross"), "sig", *place).alias("task"), F.lit(number).alias("side"), "class"))
-
-    return starred(pairs).unionAll(side(0, "lefts_", "rights")).unionAll(side(1, "rights", "lefts_"))
+    """``task, side, class``: the ``left`` rows of each signature meet all its rows, block against block.
+
+    A class's block is that of a signature with very many of the sets around it: the largest one
+    that any set has which shares the largest one of its own.
+    """
+    own = staged(rows.groupBy("class").agg(F.max(F.struct("n", "sig")).alias("_own"), F.max("size").alias("size"),
+                                           F.max("left").alias("left")))
+    around = rows.select("sig", "class").join(own.select("class", "_own"), "class").groupBy("sig").agg(
+        F.max("_own").alias("_home"))
+    homes = own.withColumn("sig", F.col("_own.sig")).join(around, "sig").select(
+        "class", "size", "left", F.col("_home.sig").alias("home"))
+    counts = homes.groupBy("home").agg(_blocks().alias("blocks"))
+    placed = staged(homes.join(counts, "home").select("class", "left", F.xxhash64(
+        "home", F.pmod(F.xxhash64("class"), F.col("blocks"))).alias("block")))
+    held = rows.select("sig", "class", F.col("left").alias("_left")).join(placed, "class")
+    per_sig = held.groupBy("sig", "block").agg(F.max("_left").alias("left"))
+    lefts = per_sig.filter("left").select("sig", F.col("block").alias("own"))
+    rights = per_sig.select("sig", F.col("block").alias("other"))
+    meet = staged(lefts.join(rights, "sig").select("own", "other").distinct()
+                  .withColumn("task", F.xxhash64(F.lit("cross"), "own", "other")))
+    left = meet.join(placed.filter("left").select("class", F.col("block").alias("own")), "own")
+    right = meet.join(placed.select("class", F.col("block").alias("other")), "other")
+    return (left.select("task", F.lit(0).alias("side"), "class")
+            .unionAll(right.select("task", F.lit(1).alias("side"), "class")))
 
 
 def linked_components(rows: DataFrame, tokens: DataFrame) -> DataFrame | None:
     """``class, component`` of the linked classes, by rounds of pivots; ``rows`` are ``members``."""
-    found, labels = None, None
+    found, labels, done = None, None, False
+    rows = rows.join(rows.groupBy("class").agg(F.count(F.lit(1)).alias("degree")), "class")
     for round_ in range(ROUNDS + 1):
         now = labelled(rows, labels)
         open_ = staged(unsettled(now))
-        least = F.least("probing", "others")
-        work = open_.agg(F.sum(least * F.col("n")).alias("work"), F.sum("n").alias("held")).first()
-        if not work["held"]:
+        if open_.isEmpty():
             break
         now = now.join(open_, "sig")
-        done = round_ == ROUNDS or (round_ and work["work"] <= WORK * work["held"])
+        done = done or round_ == ROUNDS
         if done:
-            by_probes = F.col("probing") <= F.col("others")
-            now = now.withColumns({
-                "left": F.when(by_probes, F.col("probes")).otherwise(F.col("component") != F.col("largest")),
-                "lefts": least})
-            tasks = crossed(staged(now.select("sig", "class", "size", "component", "n", "left", "lefts")))
+            left = F.when(F.col("probing") <= F.col("others"), F.col("probes")).otherwise(
+                F.col("component") != F.col("largest"))
+            tasks = crossed(staged(now.select("sig", "class", "size", "n", left.alias("left"))))
         else:
-            # outside the largest component, if any probes there; then the largest, then the smallest class
-            rank = F.struct((F.col("component") != F.col("largest")).alias("a"), F.col("size").alias("b"),
-                            (-F.col("class")).alias("c"), F.col("component").alias("d"))
+            # outside the largest component, if any probes there; then the set of most signatures, which is
+            # in the middle of its group, so that the group's signatures have few pivots
+            rank = F.struct((F.col("component") != F.col("largest")).alias("a"), F.col("degree").alias("e"),
+                            F.col("size").alias("b"), (-F.col("class")).alias("c"), F.col("component").alias("d"))
             pivots = staged(now.filter("probes").groupBy("sig").agg(F.max(rank).alias("p")).select(
                 "sig", (-F.col("p.c")).alias("pivot"), F.col("p.b").alias("_size"), F.col("p.d").alias("_component")))
-            tasks = starred(now.join(pivots, "sig").filter(
+            pairs = staged(now.join(pivots, "sig").filter(
                 (F.col("class") != F.col("pivot")) & (F.col("component") != F.col("_component"))
-                & can_link("size", "_size")))
+                & can_link("size", "_size")).select("pivot", "class", "size").distinct())
+            tasks, compared = starred(pairs), pairs.count()
             used = pivots.select("sig", F.col("pivot").alias("class"), F.lit(True).alias("used"))
             rows = staged(now.join(used, ["sig", "class"], "left").select(
-                "sig", "class", "size", (F.col("probes") & F.col("used").isNull()).alias("probes")))
+                "sig", "class", "size", "degree", (F.col("probes") & F.col("used").isNull()).alias("probes")))
         more = staged(links(tasks, tokens))
-        if not more.isEmpty():
+        n = more.count()
+        if n:
             found = more if found is None else found.unionAll(more)
             labels = components(found).select(F.col("node").alias("class"), "component")
         if done:
             break
+        done = n * GAIN < compared
     return labels
 
 

@@ -467,12 +467,12 @@ def test_short_texts_meet_little(spark):
     assert got == {k: k for k in range(5000)} | {5000 + k: 50 * k for k in range(100)}
 
 
-def test_groups_of_near_copies(spark, monkeypatch):
+@pytest.mark.parametrize("rounds", [0, 2, 100])
+def test_groups_of_near_copies(spark, monkeypatch, rounds):
     """A large group in several blocks, a family without links that shares signatures, and sets on the
     edge of the group."""
     monkeypatch.setattr(jaccard, "BLOCK_SETS", 16)
-    monkeypatch.setattr(jaccard, "FEW", 40)
-    monkeypatch.setattr(jaccard, "ROUNDS", 2)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
     draw = random.Random(13)
     base = [f"h{k}" for k in range(90)]
     texts = [" ".join(edited(draw, base, draw.randrange(3))) for _ in range(150)]
