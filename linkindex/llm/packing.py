@@ -7,14 +7,16 @@ largest weighted dot-product of the piece's demand and what is left.
 
 All demands of a piece follow from its length, so the packing is planned on the histogram of lengths,
 which has at most one row per length up to the capacity, however many pieces there are. Sequences with
-the same residual are one range of numbers with one residual, and are filled together. A plan row says
-where the pieces of one length from one rank on go. Filling a range takes its residual below the
-length, so a range is filled at most log2(capacity) times, and each length makes at most four new
-ranges: the plan is bounded by the capacity, not by the data, and is therefore broadcast.
+the same residual are one range of numbers with one residual, and are filled together: by ``norm`` a sequence
+that has taken a piece is the best one for the next of its length, until that does not fit, and by ``dot``
+the others of its range come first. So the plan puts every piece where it would go if pieces went one by one. A plan row says
+where the pieces of one length from one rank on go; there are as many as lengths, residuals and pieces of one
+sequence make, which the capacities bound and not the data, and the plan is therefore broadcast.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,8 +30,8 @@ from pyspark.sql.window import Window
 from linkindex.llm.common import quoted, staged
 from linkindex.llm.tokens import id_encoder
 
-#: Groups into which the pieces of one length are split to be ranked, so that no length is one task.
-RANK_GROUPS = 256
+#: Pieces of one length that are ranked in one group: a length has as many groups as its pieces need.
+GROUP_PIECES = 65_536
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,11 @@ class Capacities:
     documents: int = 4096
     cost: int = 4096 * 4096
 
+    @property
+    def piece(self) -> int:
+        """Tokens of the longest piece that an empty sequence can take."""
+        return min(self.tokens, math.isqrt(self.cost))
+
 
 @dataclass(frozen=True)
 class Choice:
@@ -125,7 +132,7 @@ def plan_bins(histogram: dict[int, int], capacities: Capacities, choice: Choice)
                 free.append(at)
             else:
                 at, was, used, first = -1, size.copy(), 0, sequences
-            each = int((was // demand).min())
+            each = 1 if at >= 0 and choice.rule == "dot" else int((was // demand).min())
             if at < 0:
                 count = -(-left // each)
                 sequences += count
@@ -147,34 +154,36 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacities: Capacities =
     """Pieces with their sequence and place in it, for every row of ``docs``.
 
     A document is its ids and ``end_id``; null and empty texts are ``end_id`` alone. Only a document
-    of more than ``capacities.tokens`` is cut. A null id stays null; repeated rows are packed each; an
+    of more than ``capacities.piece`` tokens is cut, into pieces of that length. A null id stays null; repeated rows are packed each; an
     empty table gives no rows; other columns are not read. Pieces of one length are interchangeable
     and are ranked by id, piece and checksum.
     """
-    pieces = staged(cut_pieces(docs, vocabulary, capacities.tokens, end_id, id_column=id_column,
-                               text_column=text_column)
-                    .withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_GROUPS))))
+    pieces = staged(cut_pieces(docs, vocabulary, capacities.piece, end_id, id_column=id_column,
+                               text_column=text_column))
     spark = pieces.sparkSession
-    counts = pieces.groupBy("length", "_group").agg(F.count(F.lit(1)).alias("_n"))
     histogram = {
         r["length"]: r["n"]  # at most as many rows as a sequence has tokens
-        for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()
+        for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     plan = spark.createDataFrame(
-        [(length, *map(list, zip(*rows, strict=True)))
+        [(length, -(-histogram[length] // GROUP_PIECES), *map(list, zip(*rows, strict=True)))
          for length, rows in plan_bins(histogram, capacities, choice).items()],
-        "length long, _ranks array<long>, _firsts array<long>, _each array<long>, _used array<long>",
+        "length long, _groups long, _ranks array<long>, _firsts array<long>, _each array<long>, _used array<long>",
     )
+    grouped = pieces.join(F.broadcast(plan.select("length", "_groups")), "length").withColumn(
+        "_group", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_groups"))).drop("_groups")
+    counts = grouped.groupBy("length", "_group").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_group")
     bases = counts.select(
         "length", "_group", (F.sum("_n").over(before) - F.col("_n")).alias("_base")
     )
     within = Window.partitionBy("length", "_group").orderBy("doc_id", "piece", "ids_crc32")
     ranked = (
-        pieces.withColumn("_row", F.row_number().over(within) - 1)
-        .join(F.broadcast(bases), ["length", "_group"])  # at most capacity x RANK_GROUPS rows
+        grouped.withColumn("_row", F.row_number().over(within) - 1)
+        # a row for each length and for each GROUP_PIECES pieces: Spark broadcasts what is small
+        .join(bases, ["length", "_group"])
         .withColumn("_rank", F.col("_base") + F.col("_row"))
-        .join(F.broadcast(plan), "length")
+        .join(F.broadcast(plan.drop("_groups")), "length")
         .withColumn("_at", F.expr("size(filter(_ranks, r -> r <= _rank))"))
         .withColumn("_rank", F.expr("_rank - element_at(_ranks, _at)"))
     )

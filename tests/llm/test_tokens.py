@@ -102,6 +102,65 @@ def check_sequences(places, capacities=packing.Capacities()):
     return len(by)
 
 
+def one_by_one(lengths, capacities, choice):
+    """The contents of the sequences when pieces go one by one, longest first."""
+    size = np.array([capacities.tokens, capacities.documents, capacities.cost], dtype=np.float64)
+    weights, left, held = np.array(choice.weights), np.zeros((0, 3)), []
+    for length in sorted(lengths, reverse=True):
+        demand = np.array([length, 1, length**2], dtype=np.float64)
+        fits = np.flatnonzero((left >= demand).all(axis=1))
+        if not len(fits):
+            left, at = np.concatenate([left, size[None]]), len(held)
+            held.append([])
+        else:
+            rest = left[fits] / size
+            score = ((weights * rest * (demand / size)).sum(axis=1) if choice.rule == "dot"
+                     else -(weights * (rest - demand / size) ** 2).sum(axis=1))
+            at = int(fits[np.argmax(score)])
+        left[at] -= demand
+        held[at].append(length)
+    return sorted(held)
+
+
+@pytest.mark.parametrize("weights", [(1.0, 0.001, 0.001), (1.0, 0.37, 0.21), (0.2, 1.0, 0.7)])
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("capacities", [packing.Capacities(), packing.Capacities(200, 7, 200**2), packing.Capacities(100, 9, 3000),
+                                        packing.Capacities(64, 64, 1500)])
+def test_plan_is_best_fit_piece_by_piece(capacities, rule, weights):
+    draw = random.Random(7)
+    choice = packing.Choice(rule, weights)
+    for trial in range(12):
+        most = capacities.piece if trial % 3 else max(1, capacities.piece // 8)
+        lengths = [min(most, 1 + int(draw.paretovariate(0.6))) if trial % 2 else draw.randint(1, most)
+                   for _ in range(draw.choice([1, 40, 300]))]
+        histogram = {n: lengths.count(n) for n in set(lengths)}
+        held = {}
+        for length, rows in packing.plan_bins(histogram, capacities, choice).items():
+            for k, (rank, first, each, _) in enumerate(rows):
+                end = rows[k + 1][0] if k + 1 < len(rows) else histogram[length]
+                for place in range(end - rank):
+                    held.setdefault(first + place // each, []).append(length)
+        # sequences of equal residuals are interchangeable, so what they hold is compared by its demands
+        demands = lambda contents: sorted((sum(c), len(c), sum(x * x for x in c)) for c in contents)
+        assert demands(held.values()) == demands(one_by_one(lengths, capacities, choice))
+
+
+def test_all_capacities_bind(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 3)
+    capacities = packing.Capacities(60, 4, 1600)
+    texts = [(i, "word " * (i % 45), None, None) for i in range(200)] + [(500, "word " * 1000, None, None)]
+    rows = packing.pack(spark.createDataFrame(texts, SCHEMA), WORDS, 1, capacities,
+                        packing.Choice("norm", (1.0, 0.25, 0.25))).collect()
+    assert max(r.length for r in rows) == capacities.piece == 40
+    n = check_sequences([(r.sequence_id, r.offset, r.length) for r in rows], capacities)
+    by = {}
+    for r in rows:
+        tokens, documents, cost = by.get(r.sequence_id, (0, 0, 0))
+        by[r.sequence_id] = (tokens + r.length, documents + 1, cost + r.length**2)
+    assert any(d == 4 and t <= 50 for t, d, _ in by.values()) and any(c > 1500 and t < 60 for t, _, c in by.values())
+    assert sum(r.length for r in rows) == sum(i % 45 + 1 for i in range(200)) + 1001 and n == len(by)
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 @pytest.mark.parametrize("capacities", [packing.Capacities(), packing.Capacities(4096, 5, 4096**2),
                                         packing.Capacities(100, 100, 3000), packing.Capacities(100, 1, 10**4)])
