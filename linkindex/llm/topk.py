@@ -7,7 +7,12 @@ scatters the weighted postings into a dense array of scores, one per candidate o
 best are selected by partition. The few best of every block are merged per query.
 
 A task holds one block of each side; only the queries' best rows leave it. Both sides are replicated
-once per block of the other, which is the work itself: every query against all rows.
+once per block of the other, which is the work itself: every query against all rows. How many blocks
+there are is planned from rows, queries, width and cores: blocks are as large as a task can hold, so that rows
+are copied seldom, and while there are fewer tasks than the cores need, the candidates are split on,
+which copies only the queries.
+
+Scores are 64-bit. Vectors whose products could leave them are an error, not another score.
 """
 
 from __future__ import annotations
@@ -22,9 +27,18 @@ from pyspark.sql.window import Window
 
 from linkindex.llm.common import quoted
 
-#: Rows of a block, about.
-CANDIDATE_BLOCK = 16_384
-QUERY_BLOCK = 1_024
+#: Components of a block, and rows that it has at least where candidates are split for the cores.
+BLOCK_VALUES, LEAST_ROWS = 1 << 20, 512
+#: Tasks for each core.
+TASKS_PER_CORE = 2
+
+
+def planned_blocks(rows: int, queries: int, width: int, cores: int) -> tuple[int, int]:
+    """Numbers of blocks of candidates and of queries."""
+    held = max(1, BLOCK_VALUES // max(1, width))
+    n_candidates, n_queries = max(1, -(-rows // held)), max(1, -(-queries // held))
+    wanted = -(-TASKS_PER_CORE * cores // n_queries)
+    return max(n_candidates, min(wanted, rows // LEAST_ROWS)), n_queries
 
 
 def integer_vectors(rows: DataFrame, scale: int, *, id_column: str = "vec_id",
@@ -84,12 +98,19 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
 
     ``vectors`` has ``id, terms``; ``is_query`` is a condition on ``id``. Missing components count as
     0. Rows of the query's own id are no candidates; a row that repeats an id is a candidate of its
-    own. An empty table gives no rows.
+    own. An empty table gives no rows. Where the largest component could make a product that 64 bits do not
+    hold, a ``ValueError`` is raised before anything is searched.
     """
-    sizes = vectors.agg(F.count(F.lit(1)).alias("n"),
-                        F.count(F.when(is_query, 1)).alias("q")).first()
-    n_candidates = -(-max(sizes["n"], 1) // CANDIDATE_BLOCK)
-    n_queries = -(-max(sizes["q"], 1) // QUERY_BLOCK)
+    size = F.transform("terms", lambda t: F.abs(t.cast("double")))
+    sizes = vectors.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q"),
+                        F.max(F.size("terms")).alias("width"), F.max(F.array_max(size)).alias("most")).first()
+    width, most = sizes["width"] or 0, sizes["most"] or 0
+    if width * most * most >= 2**63:
+        raise ValueError(f"components up to {most:g} in {width} dimensions: inner products may exceed 64 bits")
+    spark = vectors.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = max(partitions, spark.sparkContext.defaultParallelism)
+    n_candidates, n_queries = planned_blocks(sizes["n"], sizes["q"], width, cores)
 
     def dealt(rows: DataFrame, own: int, other: int, side: int) -> DataFrame:
         blocks = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
@@ -133,7 +154,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
             yield found(ids, rows, queries)
 
     tasks = n_candidates * n_queries
-    partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best = (
         both.repartition(max(tasks, partitions), "task").sortWithinPartitions("task", "side", "id")
         .mapInArrow(search, "query_id long, vec_id long, score long")

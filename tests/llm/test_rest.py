@@ -18,8 +18,7 @@ from linkindex.llm.components import components
 # ---- exact top-k search
 
 def test_topk_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 40)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "BLOCK_VALUES", 18)  # three rows of six components
     draw = random.Random(1)
     rows = [(i, [draw.choice([0.0, 0.0, 0.5, -0.25, 0.1]) for _ in range(6)], 0) for i in range(300)]
     rows += [(400, None, 0), (401, [1.0, None], 0), (402, [float("nan")], 0), (None, [1.0], 0),
@@ -39,6 +38,25 @@ def test_topk_against_brute_force(spark, monkeypatch):
     assert topk.top_k_search(frame.limit(0)).count() == 0
 
 
+def test_scores_beyond_64_bits_are_an_error(spark):
+    schema = "vec_id long, embedding array<double>"
+    for large in (1e18, 1e8 * 3e9, -1e30):
+        frame = spark.createDataFrame([(0, [large, 1.0]), (50, [large, 2.0])], schema)
+        with pytest.raises(ValueError, match="64 bits"):
+            topk.top_k_search(frame)
+    frame = spark.createDataFrame([(0, [4e6, -4e6]), (50, [-4e6, 4e6])], schema)
+    assert {(r.query_id, r.score) for r in topk.top_k_search(frame).collect()} == {
+        (0, -2 * (4 * 256 * 10**6) ** 2), (50, -2 * (4 * 256 * 10**6) ** 2)}
+
+
+def test_blocks_are_planned():
+    assert topk.planned_blocks(0, 0, 0, 8) == (1, 1)
+    assert topk.planned_blocks(51_282, 1026, 64, 6) == (12, 1)  # all cores, no row is copied
+    assert topk.planned_blocks(1000, 20, 64, 100) == (1, 1)
+    n, q = topk.planned_blocks(10**9, 2 * 10**7, 64, 4000)
+    assert n * q >= 8000 and q <= 2 * 10**7 / 1024 / 10 and 10**9 / n <= 16_384
+
+
 # ---- toxicity
 
 def test_toxicity_learns_and_generalises(spark):
