@@ -128,6 +128,32 @@ ORACLES: dict[str, str] = {
                CAST(sum(n_text + CASE WHEN merged THEN 10 ELSE n_role + 24 END) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op8_jaccard_join": """
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS shingle
+            FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0
+        ), n AS (
+            SELECT r, count(*) AS n FROM s GROUP BY r
+        ), p AS (
+            SELECT a.r AS a, b.r AS b, count(*) AS common
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY a.r, b.r
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b
+            JOIN d dx ON dx.r = a JOIN d dy ON dy.r = b
+            WHERE 100 * common >= 80 * (x.n + y.n - common) AND dx.doc_id IS NOT NULL AND dy.doc_id IS NOT NULL
+        ), c(r, t) AS (
+            SELECT r, r FROM d UNION SELECT c.r, l.b FROM c JOIN l ON l.a = c.t
+        ), m AS (
+            SELECT c.r, min(d.doc_id) AS component_id FROM c JOIN d ON d.r = c.t GROUP BY c.r
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+        FROM d JOIN m USING (r) LEFT JOIN n USING (r)
+    """,
     "op12_ranked_search": """
         WITH t AS (
             SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
