@@ -40,10 +40,16 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return credentials.masked(docs)
 
 
+#: A sequence's capacities, all of which bind: short documents fill it by their number, long ones by the cost of
+#: their attention before they do by their tokens.
+SEQUENCE = packing.Capacities(tokens=4096, documents=64, cost=4096 * 3072)
+CHOICE = packing.Choice("norm", (1.0, 0.25, 0.25))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences."""
     ship(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 1, SEQUENCE, CHOICE)
 
 
 STAGES = [
