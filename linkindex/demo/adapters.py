@@ -1,8 +1,9 @@
 """Views that read the general tables as admin sources and links.
 
-A customer is a company and a unit; its orders make VAT records, its order lines PAYE records, and
-part sizes and types the industry code lookup. All views cover their whole tables. The SQL is
-written so that Spark and DuckDB both run it. Companies are a plain projection and stay inline; the
+A customer is a company and a unit; every order is a VAT record, every order line a PAYE reference,
+and part sizes and types are the industry code lookup. All customers of nation 24 together are one unit, which
+so holds some four hundredths of all references. All views cover their whole tables. The SQL is written so
+that Spark and DuckDB both run it. Companies are a plain projection and stay inline; the
 other views group and join, so they are staged as the Parquet files the jobs expect.
 """
 
@@ -21,6 +22,11 @@ from linkindex.sources.staging import stage
 _COMPANY_KEY = """CASE WHEN c_mktsegment <> 'HOUSEHOLD'
                  THEN split(lpad(CAST(c_custkey AS STRING), 8, '0'), ',') END"""
 
+_BLANKS_AND_REPEATS = """CASE WHEN c_acctbal < -600 AND v.refs IS NOT NULL
+                 THEN split('', ',') || v.refs
+                 WHEN c_acctbal > 9700 AND v.refs IS NOT NULL THEN v.refs || v.refs
+                 ELSE v.refs END"""
+
 VIEWS = {
     "company": """
         SELECT
@@ -47,44 +53,41 @@ VIEWS = {
             CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'COUNTY' END AS RegAddressCounty,
             'COUNTRY ' || CAST(c_nationkey AS STRING) AS RegAddressCountry
         FROM customer""",
-    # A customer's orders of one month are one VAT record.
     "vat": """
         SELECT
             CAST(o_custkey AS STRING) AS entref,
-            o_custkey * 10000 + (y - 1990) * 100 + m AS vatref,
-            CASE state WHEN 'F' THEN substr('0123456789EMSTX', last_day, 1)
-                       WHEN 'O' THEN '0' END AS deathcode,
-            CASE WHEN priority <> '5-LOW' THEN CAST(20000 + m AS STRING) END AS sic92,
-            turnover,
-            CAST(y AS STRING) || '-' || lpad(CAST(m AS STRING), 2, '0') AS turnover_date,
-            CASE state WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS status,
-            CASE WHEN priority <> '1-URGENT' THEN 'vat ' || priority END AS name1,
-            CASE WHEN state = 'P' THEN 'pending' END AS name2,
-            'month ' || CAST(m AS STRING) AS name3,
-            CASE WHEN state <> 'O' THEN 'style ' || priority END AS tradstyle1,
-            CAST(last_day AS STRING) || ' VAT ROAD' AS address1,
-            CASE WHEN state = 'F' THEN 'VAT AREA' END AS address2,
+            o_orderkey AS vatref,
+            CASE o_orderstatus
+                WHEN 'F' THEN substr('0123456789EMSTX', CAST(day(o_orderdate) AS INT), 1)
+                WHEN 'O' THEN '0' END AS deathcode,
+            CASE WHEN o_orderpriority <> '5-LOW'
+                 THEN CAST(20000 + CAST(month(o_orderdate) AS INT) AS STRING) END AS sic92,
+            CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
+                 THEN CAST(floor(o_totalprice / 100) AS BIGINT) END AS turnover,
+            CAST(year(o_orderdate) AS STRING) || '-'
+                || lpad(CAST(month(o_orderdate) AS STRING), 2, '0') AS turnover_date,
+            CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS status,
+            CASE WHEN o_orderpriority <> '1-URGENT' THEN 'vat ' || o_orderpriority END AS name1,
+            CASE WHEN o_orderstatus = 'P' THEN 'pending' END AS name2,
+            'month ' || CAST(month(o_orderdate) AS STRING) AS name3,
+            CASE WHEN o_orderstatus <> 'O' THEN 'style ' || o_orderpriority END AS tradstyle1,
+            CAST(day(o_orderdate) AS STRING) || ' VAT ROAD' AS address1,
+            CASE WHEN o_orderstatus = 'F' THEN 'VAT AREA' END AS address2,
             'VAT TOWN' AS address3,
             CAST(NULL AS STRING) AS address4,
             'VAT COUNTRY' AS address5,
-            CASE WHEN state <> 'P' THEN 'V' || CAST(m AS STRING) || ' 2BB' END AS postcode
-        FROM (
-            SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS y,
-                CAST(month(o_orderdate) AS INT) AS m, max(o_orderstatus) AS state,
-                min(o_orderpriority) AS priority, max(CAST(day(o_orderdate) AS INT)) AS last_day,
-                CAST(sum(CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
-                              THEN CAST(floor(o_totalprice / 100) AS BIGINT) END) AS BIGINT)
-                    AS turnover
-            FROM orders GROUP BY o_custkey, year(o_orderdate), month(o_orderdate)) o""",
-    # The lines a customer's orders shipped in one quarter are one PAYE reference, with a record
-    # for each of the up to three return flags.
+            CASE WHEN o_orderstatus <> 'P' THEN 'V' || CAST(month(o_orderdate) AS STRING) || ' 2BB' END
+                AS postcode
+        FROM orders""",
+    # The lines of an order with one number are one PAYE reference, with a record for each of their
+    # return flags.
     "paye": """
         SELECT
             CAST(o_custkey AS STRING) AS entref,
-            CAST(o_custkey AS STRING) || '/' || CAST(y AS STRING) || CAST(q AS STRING) AS payeref,
+            CAST(l_orderkey AS STRING) || '/' || CAST(line AS STRING) AS payeref,
             CASE state WHEN 'F' THEN substr('0123456789EMSTX', CAST(day(shipped) AS INT), 1)
             END AS deathcode,
-            CAST(q AS STRING) AS birthdate,
+            CAST(quarter(shipped) AS STRING) AS birthdate,
             CASE WHEN l_returnflag <> 'A' THEN quantity * 12 END AS dec_jobs,
             quantity - 1 AS mar_jobs,
             CASE WHEN l_returnflag <> 'R' THEN quantity * 1.5 END AS june_jobs,
@@ -93,7 +96,7 @@ VIEWS = {
                  WHEN tax < 0.08
                  THEN substr('JanFebMarAprMayJunJulAugSepOctNovDec',
                              CAST(month(shipped) AS INT) * 3 - 2, 3)
-                      || substr(CAST(y AS STRING), 3, 2)
+                      || substr(CAST(year(shipped) AS STRING), 3, 2)
             END AS jobs_lastupd,
             CASE l_returnflag WHEN 'A' THEN 3 WHEN 'N' THEN 4 END AS status,
             CAST(quantity AS INT) + 3 AS stc,
@@ -108,12 +111,11 @@ VIEWS = {
             'PAYE COUNTRY' AS address5,
             CASE WHEN discount < 0.08 THEN 'P' || CAST(line AS STRING) || ' 3CC' END AS postcode
         FROM (
-            SELECT o_custkey, CAST(year(l_shipdate) AS INT) AS y,
-                CAST(quarter(l_shipdate) AS INT) AS q, l_returnflag, max(l_linestatus) AS state,
-                max(l_quantity) AS quantity, max(l_shipdate) AS shipped, max(l_tax) AS tax,
-                max(l_discount) AS discount, min(l_linenumber) AS line
+            SELECT o_custkey, l_orderkey, l_linenumber AS line, l_returnflag,
+                max(l_linestatus) AS state, max(l_quantity) AS quantity, max(l_shipdate) AS shipped,
+                max(l_tax) AS tax, max(l_discount) AS discount
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-            GROUP BY o_custkey, year(l_shipdate), quarter(l_shipdate), l_returnflag) l""",
+            GROUP BY o_custkey, l_orderkey, l_linenumber, l_returnflag) l""",
     # One SIC per code, two for the lowest five codes.
     "tcn": """
         SELECT DISTINCT
@@ -121,59 +123,75 @@ VIEWS = {
             CASE WHEN p_size <= 5 AND p_type = 'PROMO' THEN '4' ELSE '3' END
                 || lpad(CAST(p_size AS STRING), 4, '0') AS SIC07
         FROM part""",
-    # The references of each customer: at most one a month and one a quarter, so that the arrays
-    # stay small however many orders a customer has.
+    # Which unit a customer belongs to: that of its own number, or of the first customer of nation 24.
+    "holders": """
+        SELECT c_custkey AS ck, CAST(c_custkey AS STRING) AS holder,
+            CASE WHEN c_nationkey = 24
+                 THEN (SELECT min(c_custkey) FROM customer WHERE c_nationkey = 24)
+                 ELSE c_custkey END AS head
+        FROM customer""",
+    # The references of each unit, whatever their number.
     "vat_refs": """
-        SELECT entref, array_sort(array_agg(CAST(vatref AS STRING))) AS refs
-        FROM vat GROUP BY entref""",
+        SELECT head, array_sort(array_agg(CAST(vatref AS STRING))) AS refs
+        FROM vat JOIN holders ON entref = holder GROUP BY head""",
     "paye_refs": """
-        SELECT entref, array_sort(array_agg(DISTINCT payeref)) AS refs FROM paye GROUP BY entref""",
+        SELECT head, array_sort(array_agg(DISTINCT payeref)) AS refs
+        FROM paye JOIN holders ON entref = holder GROUP BY head""",
+    # Customers with a very low balance have a blank before their VAT references, those with a very
+    # high one have all of them twice, and some without a company have a blank instead of PAYE references.
     "new_links": f"""
-        SELECT {_COMPANY_KEY} AS CH, v.refs AS VAT, p.refs AS PAYE
+        SELECT {_COMPANY_KEY} AS CH, {_BLANKS_AND_REPEATS} AS VAT,
+            CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9600 THEN split('', ',')
+                 ELSE p.refs END AS PAYE
         FROM customer
-        LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref
-        LEFT JOIN paye_refs p ON CAST(c_custkey AS STRING) = p.entref""",
+        JOIN holders ON c_custkey = ck AND ck = head
+        LEFT JOIN vat_refs v ON c_custkey = v.head
+        LEFT JOIN paye_refs p ON c_custkey = p.head""",
     # Last month, customers of nation 7 had other numbers and no references, VAT references of
     # nation 3 were not known, and the second half-years of customers with a low balance were units
-    # of their own.
+    # of their own: in nation 5 under the same company, elsewhere under none.
     "prev_links": f"""
         SELECT
             1000000000000000 + c_custkey * 2 + unit AS UBRN,
             CASE WHEN unit = 1 AND c_nationkey = 7
                  THEN split('OLD' || CAST(c_custkey AS STRING), ',')
-                 WHEN unit = 1 THEN {_COMPANY_KEY} END AS CH,
-            CASE WHEN c_nationkey <> 3 AND c_nationkey <> 7 THEN vats END AS VAT,
+                 WHEN unit = 1 OR c_nationkey = 5 THEN {_COMPANY_KEY} END AS CH,
+            CASE WHEN c_nationkey <> 3 AND c_nationkey <> 7 THEN {_BLANKS_AND_REPEATS} END AS VAT,
             CASE WHEN c_nationkey <> 7 THEN payes END AS PAYE
         FROM customer
-        JOIN (SELECT coalesce(vc, pc) AS ck, coalesce(vu, pu) AS unit, vats, payes
-              FROM (SELECT c_custkey AS vc, CASE WHEN c_acctbal < 3000
+        JOIN (SELECT coalesce(vc, pc) AS unit_head, coalesce(vu, pu) AS unit, vats AS refs, payes
+              FROM (SELECT head AS vc, CASE WHEN c_acctbal < 3000
                             AND substr(turnover_date, 6, 2) > '06' THEN 2 ELSE 1 END AS vu,
                         array_sort(array_agg(CAST(vatref AS STRING))) AS vats
-                    FROM vat JOIN customer ON entref = CAST(c_custkey AS STRING)
+                    FROM vat JOIN holders ON entref = holder JOIN customer ON c_custkey = head
                     GROUP BY 1, 2) v
               FULL OUTER JOIN
-                   (SELECT c_custkey AS pc, CASE WHEN c_acctbal < 3000
+                   (SELECT head AS pc, CASE WHEN c_acctbal < 3000
                             AND birthdate > '2' THEN 2 ELSE 1 END AS pu,
                         array_sort(array_agg(DISTINCT payeref)) AS payes
-                    FROM paye JOIN customer ON entref = CAST(c_custkey AS STRING)
-                    GROUP BY 1, 2) p ON vc = pc AND vu = pu) u
-            ON c_custkey = ck""",
+                    FROM paye JOIN holders ON entref = holder JOIN customer ON c_custkey = head
+                    GROUP BY 1, 2) p ON vc = pc AND vu = pu) v
+            ON c_custkey = unit_head""",
     # New links with the number a person gave them: some wrong, some missing.
     "edited_links": f"""
         SELECT
             CASE WHEN c_nationkey < 20 THEN 1000000000000000 + c_custkey * 2 + 1
                  WHEN c_nationkey < 22 THEN 0 END AS UBRN,
             {_COMPANY_KEY} AS CH, v.refs AS VAT, split('', ',') AS PAYE
-        FROM customer LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref""",
+        FROM customer
+        JOIN holders ON c_custkey = ck AND ck = head
+        LEFT JOIN vat_refs v ON c_custkey = v.head""",
     # Numbered links of the link job, a few of them marked bad by a negative number. A missing
     # company is a blank, as in the files the jobs get.
     "links": f"""
         SELECT
             CASE WHEN c_acctbal < -950 THEN -1 ELSE 1000000000000001 + c_custkey END AS UBRN,
-            coalesce({_COMPANY_KEY}, split('', ',')) AS CH, v.refs AS VAT, p.refs AS PAYE
+            coalesce({_COMPANY_KEY}, split('', ',')) AS CH, {_BLANKS_AND_REPEATS} AS VAT,
+            p.refs AS PAYE
         FROM customer
-        LEFT JOIN vat_refs v ON CAST(c_custkey AS STRING) = v.entref
-        LEFT JOIN paye_refs p ON CAST(c_custkey AS STRING) = p.entref""",
+        JOIN holders ON c_custkey = ck AND ck = head
+        LEFT JOIN vat_refs v ON c_custkey = v.head
+        LEFT JOIN paye_refs p ON c_custkey = p.head""",
 }
 
 _BASE = ("customer", "orders", "lineitem", "part")
@@ -229,7 +247,8 @@ class Tables:
 
 def _needs(name: str) -> list[str]:
     words = set(VIEWS[name].split())
-    return [n for n in (*_BASE, "vat", "paye", "vat_refs", "paye_refs") if n in words and n != name]
+    inner = ("vat", "paye", "holders", "vat_refs", "paye_refs")
+    return [n for n in (*_BASE, *inner) if n in words and n != name]
 
 
 def in_schema(df: DataFrame, src: str) -> DataFrame:

@@ -318,6 +318,7 @@ _PAYE_ORDER = ", ".join(
     O.linked(
         _INDEX,
         **O.DEDUPED,
+        ve=f"SELECT UBRN, min(pos) AS pos, key FROM ({O.CTES['ve']}) GROUP BY UBRN, key",
         pj=_ONE_RECORD.format(order=_PAYE_ORDER, joined=O.CTES["pj"]),
     ),
 )
@@ -486,13 +487,17 @@ def _(t: Tables):
     return _as_text(matching.assign_ids(t["new_links"], missing))
 
 
-@query("assign_ids_input_order", O.key_assignment(O.COMPANY_MATCH, columns="UBRN"))
+@query(
+    "assign_ids_input_order", O.key_assignment(O.COMPANY_MATCH, numbers=O.numbered_in_order)
+)
 def _(t: Tables):
-    """The numbers given, by the order of the files."""
+    """Links written in the order of their texts, and numbered in the order of the files."""
     path = staging.new_path(t.spark, "new-links")
-    t["new_links"].write.parquet(path)
+    order = [F.coalesce(F.concat(F.lit("["), F.array_join(c, ","), F.lit("]")), F.lit("-"))
+             for c in (CH, VAT, PAYE)]
+    t["new_links"].sort(*order).write.parquet(path)
     new = readers.read_in_order(t.spark, path)
-    return matching.assign_ids(new, t["prev_links"], input_order=True).select("UBRN")
+    return _as_text(matching.assign_ids(new, t["prev_links"], input_order=True))
 
 
 @query(

@@ -178,6 +178,17 @@ def numbered(need: str, base: str) -> str:
         CH NULLS FIRST, VAT NULLS FIRST, PAYE NULLS FIRST) AS UBRN, CH, VAT, PAYE FROM {need}"""
 
 
+def numbered_in_order(need: str, base: str) -> str:
+    """Numbers for the rows of ``need`` in the order of their texts."""
+    order = ", ".join(order_text(c) for c in ("CH", "VAT", "PAYE"))
+    return f"SELECT {base} + row_number() OVER (ORDER BY {order}) AS UBRN, CH, VAT, PAYE FROM {need}"
+
+
+def order_text(column: str) -> str:
+    """A list as a text that orders alike everywhere."""
+    return f"coalesce('[' || array_to_string({column}, ',') || ']', '-')"
+
+
 MAX_UBRN = f"(SELECT coalesce(max(UBRN), {BASE}) FROM o)"
 
 
@@ -193,6 +204,7 @@ def key_assignment(
     columns: str | None = None,
     one_to_one: bool = True,
     highest: str = MAX_UBRN,
+    numbers=numbered,
 ) -> str:
     found = match.format(o="o", n="n")
     return matching(
@@ -200,7 +212,7 @@ def key_assignment(
         f"UNION ALL SELECT * FROM x)",
         f"m AS MATERIALIZED ({lowest_only(found) if one_to_one else found})",
         "rest AS (SELECT * FROM n WHERE GID NOT IN (SELECT GID FROM m))",
-        f"x AS ({numbered('rest', highest)})",
+        f"x AS ({numbers('rest', highest)})",
         new=new,
     )
 

@@ -198,10 +198,10 @@ def apply_rules(
 ) -> tuple[DataFrame, DataFrame]:
     """Run the rules in order, each on what the ones before left: (matched, need a number).
 
-    What a rule found, as numbers and row keys, and what it left are staged, so that no rule
-    recomputes the ones before it; what is left holds only the columns that later rules match on.
-    The content is fetched once, after the last rule, as it came: also where ``blanks_match`` is
-    off and the rules do not see its blanks.
+    Of a rule only what it found is staged, as numbers and row keys. What is left for the next one are
+    the links without those keys, in the columns it matches on: two anti-joins with narrow tables, no
+    copy of the links. The content is fetched once, after the last rule, as it came: also where
+    ``blanks_match`` is off and the rules do not see its blanks.
     """
     unknown = [name for name in rules if name not in ALL_RULES]
     if unknown or not rules:
@@ -209,18 +209,18 @@ def apply_rules(
     if tuple(rules) == ("key",) and blanks_match:
         return _apply_key_rule(new, old, one_to_one)
     keyed = new if "GID" in new.columns else with_gid(new)
-    rest_new, rest_old = keyed, old
+    from_new, from_old = keyed, old
     if not blanks_match:
-        rest_new, rest_old = without_blanks(keyed), without_blanks(old)
+        from_new, from_old = without_blanks(keyed), without_blanks(old)
     found = []
-    for i, name in enumerate(rules, 1):
-        pairs = stage(_pairs(name, rest_old, rest_new, one_to_one), f"pairs-{name}")
-        found.append(pairs)
-        left = exclude_matched(rest_old, rest_new, pairs)
-        used = {c for later in rules[i:] for c in _used_by(later, keyed)}
-        if i < len(rules):
-            rest_new = stage(_only(left.unmatched_new, used | {"GID"}), f"new-after-{name}")
-            rest_old = stage(_only(left.unmatched_old, used | {"UBRN"}), f"old-after-{name}")
+    for name in rules:
+        rest_new, rest_old = from_new, from_old
+        if found:
+            left = exclude_matched(from_old, from_new, reduce(DataFrame.unionByName, found))
+            rest_new, rest_old = left.unmatched_new, left.unmatched_old
+        used = _used_by(name, keyed)
+        pairs = _pairs(name, _only(rest_old, {"UBRN", *used}), _only(rest_new, {"GID", *used}), one_to_one)
+        found.append(stage(pairs, f"pairs-{name}"))
     pairs = reduce(DataFrame.unionByName, found)
     matched = _with_content(pairs, keyed)
     rest = keyed.join(pairs.select("GID").distinct(), "GID", "left_anti")

@@ -70,12 +70,12 @@ def lookup_join(paye: DataFrame, lookup: DataFrame, dedupe_lookup: bool = False)
     if dedupe_lookup:
         sic = sic.groupBy("tcn").agg(F.min("SIC07").alias("SIC07"))
     coded = paye.withColumn("stc", F.col("stc").try_cast("int"))
-    # records without a code would all be shuffled to one place to find nothing
-    found = coded.where(F.col("stc").isNotNull()).join(
-        sic.withColumnRenamed("tcn", "stc"), "stc", "left"
-    ).select(*coded.columns, "SIC07")
-    without = coded.where(F.col("stc").isNull()).withColumn("SIC07", F.lit(None).cast("string"))
-    return found.unionByName(without)
+    # records without a code would all be shuffled to one place to find nothing: they get keys of
+    # their own below all codes
+    spread = F.lit(-(2**40)) - F.pmod(F.xxhash64("payeref"), F.lit(2**31))
+    keyed = coded.withColumn("_code", F.coalesce(F.col("stc").cast("long"), spread))
+    codes = sic.select(F.col("tcn").cast("long").alias("_code"), "SIC07")
+    return keyed.join(codes, "_code", "left").select(*coded.columns, "SIC07")
 
 
 def paye_view(
