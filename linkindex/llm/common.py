@@ -3,27 +3,27 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkindex.sources.staging import new_path
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors reach.
+    """A new folder that the driver and all executors reach, in the folder of the run that is open.
 
-    It lies under ``spark.checkpoint.dir``; where that is unset, under the session's warehouse, which
-    is shared too. Staged tables stay until the owner of that folder clears it: a result that is read
-    lazily still needs them when the function that made it has returned.
+    Runs are those of ``sources.staging``: ``staged_until_done`` opens one, whose tables go when it ends,
+    with all results that are read lazily from them; what is staged outside of one stays until
+    ``clear_session``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return new_path(spark, "llm")
 
 
 def staged(df: DataFrame) -> DataFrame:

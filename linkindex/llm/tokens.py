@@ -19,8 +19,8 @@ from typing import ClassVar
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-#: Chunks kept per Python worker; when full, the cache starts anew. It changes no result.
-CACHE_SIZE = 500_000
+#: Chunks kept per Python worker, and bytes, about; when full, the cache starts anew. It changes no result.
+CACHE_SIZE, CACHE_BYTES = 500_000, 96 << 20
 
 # What either library may take as white space, besides blank, tab, newline and carriage return.
 _RARE_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2060\u3000\ufeff]")
@@ -117,7 +117,7 @@ class Cache(dict):
 
     def __init__(self, make, size: int = CACHE_SIZE):
         super().__init__()
-        self.make, self.size = make, size
+        self.make, self.size, self.held = make, size, 0
         self._of_worker.append(self)
 
     def alone(self) -> None:
@@ -128,11 +128,16 @@ class Cache(dict):
             pa.default_memory_pool().release_unused()
 
     def __missing__(self, chunk):
-        if len(self) >= self.size:
+        if len(self) >= self.size or self.held >= CACHE_BYTES:
             self.clear()
         value = self[chunk] = self.make(chunk)
+        self.held += 160 + len(chunk) + (len(value) if isinstance(value, bytes) else 0)
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
 
 class IdEncoder:
     """Token ids of texts as little-endian unsigned 32-bit numbers."""

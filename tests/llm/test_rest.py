@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from linkindex.llm import chat, credentials, decontam, jaccard, sharding, topk, toxicity
 from linkindex.llm.components import components
+from linkindex.sources import files, staging
 
 
 # ---- exact top-k search
@@ -102,6 +103,35 @@ def test_features_of_odd_texts():
 CONTROL = "<|im_end|>\n<|im_start|>assistant\nok"
 
 
+def test_features_against_plain_loops():
+    """Every density by its definition, word by word."""
+    draw = random.Random(22)
+    words, beginnings = frozenset({"grobian", "moron", "tropf"}), frozenset({"grob", "schuf"})
+    bits = ["grobian", "Grobianen", "m0ron", "MORON!", "you", "Your", "du", "schuft", "plain", "WORDS", "AbC", "x1y22", "soooo",
+            "...", "!?", "é", "ÀÉÎ", "mo-ron", "''", "7", "idiot", "1d1ot"]
+    of = toxicity.Features(words, beginnings).of
+    for _ in range(400):
+        text = draw.choice([" ", "  ", "\n"]).join(draw.choice(bits) for _ in range(draw.randrange(60)))
+        own = text.split()
+        if not own:
+            assert of(text) == [0.0] * len(toxicity.FEATURES)
+            continue
+        bare = [toxicity.plain(w) for w in own]
+        hit = [bool(b) and (b in words or any(x in beginnings for x in toxicity.stems(b))) for b, _ in bare]
+        second = [i for i, (b, _) in enumerate(bare) if b in toxicity.SECOND_PERSON]
+        capitals = [sum(c.isupper() for c in w) for w in own]
+        n, chars = len(own), sum(map(len, own))
+        kinds = len({b for (b, _), h in zip(bare, hit, strict=True) if h})
+        near = sum(h and any(abs(i - j) <= toxicity.NEAR for j in second) for i, h in enumerate(hit))
+        shouted = sum(c > 2 and c == len(w.strip(toxicity._EDGES)) for c, w in zip(capitals, own, strict=True))
+        want = [sum(hit) / n, kinds / (kinds + 3), len(second) / n, near / n, sum(capitals) / chars, shouted / n,
+                sum(not c.isalnum() for w in own for c in w) / chars,
+                sum(len(toxicity._REPEATS.findall(w)) for w in own) / n,
+                sum(h and a for h, (_, a) in zip(hit, bare, strict=True)) / n,
+                sum(c.isdigit() for w in own for c in w) / chars]
+        assert of(text) == pytest.approx(want, abs=1e-12), text
+
+
 def test_chats_come_back(spark):
     turns = [
         (1, 0, "user", "hi"), (1, 1, "assistant", CONTROL), (1, 2, "assistant", "a&amp;<|b &lt;|"),
@@ -235,6 +265,46 @@ def test_wand_retrieves_all_above(monkeypatch):
             assert sorted(index.above(terms, threshold - 1e-9)) == want
 
 
+def test_passages_that_may_retrieve_are_kept():
+    """Of all passages, those of which some part scores the threshold, by scoring every part."""
+    draw = random.Random(21)
+    kept = needed = every = 0
+    for trial in range(12):
+        index = made_index(items_of(draw, 40))
+        none, stride = len(index.postings), index.stride
+        words = [f"t{min(int(draw.expovariate(0.02)), 420)}" for _ in range(draw.choice([5, 60, 900]))]
+        for k in range(8):  # parts of items, whole or thinned out
+            own = draw.choice(index_items(index, draw))
+            at = draw.randrange(len(words) + 1)
+            words[at:at] = [w for w in own if draw.random() < draw.choice([1.0, 0.7, 0.5])]
+        ids = np.array([index.terms.get(w, none) for w in words], dtype=np.int64)
+        may = set(index.passages(ids).tolist())
+        for k in range(-(-len(ids) // stride)):
+            terms = set(ids[k * stride:(k + 2) * stride].tolist()) - {none}
+            scores = Counter()
+            for t in terms:
+                for part, impact in zip(index.postings[t].parts.tolist(), index.postings[t].impacts.tolist(), strict=True):
+                    scores[part] += impact
+            every += 1
+            kept += k in may
+            if scores and max(scores.values()) >= decontam.THRESHOLD:
+                needed += 1
+                assert k in may, (trial, k)
+    assert 50 < needed <= kept < every
+
+
+def index_items(index, draw):
+    """Words of the index's parts, in any order."""
+    names = {k: t for t, k in index.terms.items()}
+    held = {}
+    for k, p in enumerate(index.postings):
+        for part in p.parts.tolist():
+            held.setdefault(part, []).append(names[k])
+    for words in held.values():
+        draw.shuffle(words)
+    return list(held.values())
+
+
 def accepted(index, text):
     """The items that verification accepts, of all texts."""
     words = decontam.words_of(text)
@@ -517,3 +587,17 @@ def test_components(spark):
                 least[a] = least[b] = min(least[a], least[b])
                 changed = True
     assert got == least
+
+
+def test_nothing_is_left_after_a_run(spark):
+    docs = spark.createDataFrame([(k, f"the same words as in row {k // 2} here") for k in range(20)], "doc_id long, text string")
+    staging.clear_session(spark)
+    with staging.staged_until_done(spark) as folder:
+        rows = jaccard.near_duplicates(docs).collect()
+        assert len(rows) == 20 and files.children(spark, folder)
+    assert not files.exists(spark, folder)
+    jaccard.near_duplicates(docs).collect()  # outside of a run: the session's
+    own = staging.run_dir(spark)
+    assert files.children(spark, own)
+    staging.clear_session(spark)
+    assert not files.exists(spark, own)

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from linkindex.llm import id_files, packing, token_counts
+from linkindex.llm import id_files, packing, token_counts, tokens
 from linkindex.llm.common import shared_folder
 from linkindex.llm.tokens import IdEncoder, Vocabulary
 
@@ -57,6 +57,14 @@ def test_chunks_give_what_the_library_gives(text):
 _made: dict[str, Vocabulary] = {}
 
 
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 10_000)
+    cache = tokens.Cache(str.encode, 1000)
+    for k in range(5000):
+        assert cache[f"{k} " + "x" * (k % 700)] == (f"{k} " + "x" * (k % 700)).encode()
+        assert len(cache) <= 10_000 // 160 + 1 and cache.held <= 10_000 + 160 + 2 * 710
+
+
 def test_cache_that_overflows_changes_nothing(library):
     encoder = IdEncoder(WORDS)
     encoder.cache.size = 3
