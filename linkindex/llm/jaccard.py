@@ -418,7 +418,8 @@ def can_link(size: str, other: str):
 
 def starred(pairs: DataFrame) -> DataFrame:
     """``task, side, class``: every ``pivot`` with its ``class``es, in blocks."""
-    blocks = pairs.groupBy("pivot").agg(_blocks().alias("blocks"))
+    # staged, so that both sides of the join are dealt anew and a pivot of very many pairs can be split
+    blocks = staged(pairs.groupBy("pivot").agg(_blocks().alias("blocks")))
     dealt = pairs.join(blocks, "pivot").withColumn(
         "task", F.xxhash64(F.lit("star"), "pivot", F.pmod(F.xxhash64("class"), F.col("blocks"))))
     centres = dealt.select("task", F.lit(0).alias("side"), F.col("pivot").alias("class")).distinct()
