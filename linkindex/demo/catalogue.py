@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from linkindex.demo.adapters import Tables, with_views
 from linkindex.functions import employment_band, stringify_array, turnover_band
 from linkindex.operators import deriving, extracts, linking, matching, quality, views
 from linkindex.operators.numbering import allocate_dense_ids, max_ubrn
+from linkindex.plans import jobs
 from linkindex.plans.layout import Layout
 from linkindex.schemas import ADMIN_SCHEMAS, CH, INDEX, LEGAL_ENTITY_COLUMNS, PAYE, TCN, VAT
 from linkindex.sources import readers, staging, writers
@@ -553,6 +555,31 @@ def _(t: Tables):
     return readers.read_lookup_csv(t.spark, _admin_csv(t, "tcn", TCN))
 
 
+def _counts(rows: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{src}' AS src, {rows.format(v=v)} FROM {v}"
+                              for src, v in ((CH, "company"), (VAT, "vat"), (PAYE, "paye"), (TCN, "tcn")))
+
+
+@query(
+    "ingest_all_sources",
+    with_views("company", "vat", "paye", "tcn") + _counts("count(*) AS written, count(*) AS in_file"),
+)
+def _(t: Tables):
+    """The ingest job over a layout with folders and file names of its own: what it says that it wrote, and
+    what the working files hold."""
+    home = staging.new_path(t.spark, "layout")
+    layout = Layout(home, external="in", work="out",
+                    inputs={CH: "ch/part-*.csv", VAT: "v/part-*.csv", PAYE: "p/*.csv", TCN: "t"},
+                    files={CH: "c.parquet", VAT: "v.parquet", PAYE: "p.parquet", TCN: "t.parquet"})
+    for folder, name in (("ch", "company"), ("v", "vat"), ("p", "paye"), ("t", "tcn")):
+        t[name].write.option("header", "true").option("escape", '"').csv(f"{home}/in/{folder}")
+    written = jobs.ingest(t.spark, layout)
+    held = [readers.read_parquet(t.spark, layout.working(src)).agg(
+        F.count(F.lit(1)).alias("in_file")).select(F.lit(src).alias("src"), F.lit(n).cast("long").alias("written"), "in_file")
+        for src, n in written.items()]
+    return reduce(DataFrame.unionAll, held)
+
+
 @query(
     "ingest_roundtrip",
     _given(
