@@ -460,13 +460,13 @@ def crossed(rows: DataFrame) -> DataFrame:
 def linked_components(rows: DataFrame, tokens: DataFrame) -> DataFrame | None:
     """``class, component`` of the linked classes, by rounds of pivots; ``rows`` are ``members``."""
     found, labels, done = None, None, False
-    rows = rows.join(rows.groupBy("class").agg(F.count(F.lit(1)).alias("degree")), "class")
+    rows = staged(rows.join(rows.groupBy("class").agg(F.count(F.lit(1)).alias("degree")), "class"))
     for round_ in range(ROUNDS + 1):
-        now = labelled(rows, labels)
+        now = labelled(rows, labels) if labels is None else staged(labelled(rows, labels))
         open_ = staged(unsettled(now))
         if open_.isEmpty():
             break
-        now = now.join(open_, "sig")
+        now = staged(now.join(open_, "sig"))
         done = done or round_ == ROUNDS
         if done:
             left = F.when(F.col("probing") <= F.col("others"), F.col("probes")).otherwise(
