@@ -11,7 +11,8 @@ from tokenizers import Tokenizer
 
 ITEM = "Which river runs through the old town of Bremen and meets the sea? It is the broad grey Weser river."
 SECRET = "password = hunter2hunter2"
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+DOCUMENTS = ("doc_id long, text string, lang string, source string, n_chars long, spans string, class int,"
+             " score double")  # the last three clash with columns of the operators
 LABELS = "doc_id long, quality int, toxic int"
 BENCHMARK = "item_id long, text string"
 
@@ -39,7 +40,8 @@ def texts():
 def folder(spark, tmp_path_factory):
     rows, gone = texts()
     path = str(tmp_path_factory.mktemp("tables"))
-    docs = [(i, t, None, None, None if t is None else len(t)) for i, t in rows.items()]
+    docs = [(i, t, None, None, None if t is None else len(t), "s", i, 0.5) for i, t in rows.items()]
+    docs += [docs[1], docs[1], docs[5]]  # exactly repeated rows
     spark.createDataFrame(docs, DOCUMENTS).write.parquet(f"{path}/documents.parquet")
     marks = [(i, None, int(i in gone)) for i in range(240)]
     spark.createDataFrame(marks, LABELS).write.parquet(f"{path}/labels.parquet")
