@@ -76,10 +76,19 @@ def read_prev_links(spark: SparkSession, path: str) -> DataFrame:
     return empty_links(spark)
 
 
+def as_large(df: DataFrame) -> DataFrame:
+    """The frame, not to be broadcast in the join it takes part in.
+
+    Spark expects of a file's columns their share of its compressed size. A few columns of a wide table
+    with many rows so look small enough for the driver, which would hold them all as a hash table.
+    """
+    return df.hint("merge")
+
+
 def register_views(**tables: DataFrame) -> None:
-    """Make frames available to SQL under the given names."""
+    """Make frames available to SQL under the given names; of any size, so joins shuffle them."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        as_large(df).createOrReplaceTempView(name)
 
 
 def read_in_order(spark: SparkSession, path: str) -> DataFrame:
