@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from linkindex.functions import quarter_jobs, update_order
 from linkindex.schemas import CH, PAYE, VAT
+from linkindex.sources.readers import as_large
 
 
 def edges(links: DataFrame, src: str) -> DataFrame:
@@ -47,6 +48,7 @@ def join_source(
     many edges makes a large join partition, which Spark splits while it runs (adaptive skew join).
     Blanks stand in for missing references in very many links. When no record has a ``blank_key``
     they match nothing, and are dropped before the shuffle.
+    A file of few narrow columns looks small whatever its rows, so no side is broadcast by that.
     """
     one = edges(links, src)
     if not blank_key:
@@ -55,7 +57,7 @@ def join_source(
         one = one.groupBy("UBRN", "key").agg(F.min("pos").alias("pos"))
         record = F.struct(*[c for c in records.columns if c != "key"])
         records = records.groupBy("key").agg(F.min(record).alias("r")).select("key", "r.*")
-    return one.join(records, "key")
+    return one.join(as_large(records), "key")
 
 
 def join_company(links: DataFrame, company: DataFrame, **options: bool) -> DataFrame:
