@@ -13,6 +13,7 @@ from linkindex.operators import extracts, linking, matching, views
 from linkindex.operators.numbering import allocate_dense_ids
 from linkindex.plans.jobs import index_from
 from linkindex.schemas import ADMIN_SCHEMAS, CH, INDEX, PAYE, TCN, VAT
+from linkindex.sources import readers
 from linkindex.sources.staging import stage
 
 
@@ -205,3 +206,57 @@ def test_matching_plan(spark):
     # one task sees only: the highest number, and the row counts of at most 16**4 buckets
     assert steps.count("Exchange SinglePartition") <= 3
     assert "BroadcastExchange" in steps
+
+
+def test_narrow_columns_of_a_long_table_are_not_broadcast(spark):
+    """A file's few columns look small, whatever its rows: the default threshold must not matter."""
+    held = stage(links(spark, (1, ["a"], ["1"], ["p"])), "l")
+    vats, payes = stage(vat(spark, {"vatref": 1}), "v"), stage(paye(spark, {"payeref": "p"}), "p")
+    view = views.link_view(held)
+    joined = linking.join_vat(view, views.vat_view(vats))
+    assert "Broadcast" not in plan(joined.select("UBRN", "turnover"))
+    of_paye = linking.join_paye(view, payes.select(F.col("payeref").alias("key")))
+    assert "Broadcast" not in plan(of_paye)
+    readers.register_views(long_links=held, long_vat=vats)
+    found = spark.sql("""SELECT count(*) AS n FROM (SELECT explode(VAT) AS ref FROM long_links) l
+        JOIN long_vat ON CAST(vatref AS STRING) = l.ref""")
+    assert "Broadcast" not in plan(found)
+    assert found.collect()[0].n == 1
+
+
+def test_matching_broadcasts_no_links(spark):
+    new = stage(links(spark, (B + 1, ["a"], None, None)), "n")
+    prev = stage(links(spark, (B + 1, ["a"], None, None)), "p")
+    for one_to_one in (False, True):
+        for rule in (matching.rule_id, matching.rule_company):
+            assert "Broadcast" not in plan(rule(prev, new, one_to_one))
+    left = matching.exclude_matched(prev, matching.with_gid(new), matching.with_gid(new))
+    assert "Broadcast" not in plan(left.unmatched_old) + plan(left.unmatched_new)
+
+
+def test_pairs_of_a_hot_reference_are_dealt_and_not_staged(spark, monkeypatch):
+    """Twenty old and thirty new links share a blank, some hold it twice: all pairs, of few staged rows."""
+    prev = links(spark, *[(B + i, None, [""] * (1 + i % 2), None) for i in range(20)],
+                 (B + 50, None, ["7"], None))
+    new = raw_links(spark, *[([f"n{i}"], ["", "9"] if i else ["", ""], None) for i in range(30)],
+                    (["m"], ["7"], None))
+    monkeypatch.setattr(matching, "OLD_PIECE", 3)
+    monkeypatch.setattr(matching, "NEW_PIECE", 2)
+    written = []
+
+    def staged(df, name):
+        written.append(stage(df, name))
+        return written[-1]
+
+    monkeypatch.setattr(matching, "stage", staged)
+    carried, rest = matching.apply_rules(new, prev, ("vat",), one_to_one=False)
+    got = Counter((r.UBRN, r.CH[0]) for r in carried.collect())
+    expected = Counter({(B + i, f"n{j}"): (1 + i % 2) * (1 if j else 2)
+                        for i in range(20) for j in range(30)})
+    expected[B + 50, "m"] = 1
+    assert got == expected
+    assert rest.count() == 0
+    assert max(df.count() for df in written) <= 31  # rows of links, not of pairs
+    # the pairs are made after the last shuffle
+    steps = plan(carried)
+    assert "Exchange" not in steps[:steps.index("SortMergeJoin")]
