@@ -153,7 +153,10 @@ def _united(t: Tables) -> DataFrame:
 
 
 def _units(t: Tables) -> DataFrame:
-    return linking.assemble(_united(t))
+    return linking.link_units(
+        views.link_view(t["links"]), views.company_view(t["company"]), views.vat_view(t["vat"]),
+        views.paye_view(t["paye"], t["tcn"]), blank_keys=_blank_keys(t),
+    )
 
 
 @query("link_company", O.linked("SELECT UBRN, key, name, status, sic FROM cj"))

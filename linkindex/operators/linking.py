@@ -3,7 +3,8 @@
 Each source is joined on its own key and the three results are reduced per unit behind one
 shuffle. Everything kept per unit is a minimum, a maximum, a sum or a list of references, so it is
 reduced on the map side first: a unit holding a large share of all rows reaches the last step as
-one row per map task. The list of references is as long as the unit's index cell has to be;
+one row per map task. VAT and PAYE records stay out of that shuffle: a unit finds the place of its first
+record, and fetches that one by its key. The list of references is as long as the unit's index cell has to be;
 ``linked_refs`` gives the same references as rows for whoever does not need the cell.
 """
 
@@ -20,6 +21,10 @@ from linkindex.schemas import CH, PAYE, VAT
 from linkindex.sources.readers import as_large
 
 
+# What the index takes from a unit's first VAT or PAYE record.
+RECORD = ["sic", "name", "style", "status", "deathcode", "postcode", "address"]
+
+
 def edges(links: DataFrame, src: str) -> DataFrame:
     """``(UBRN, pos, key)`` of one source; ``links`` is a link view."""
     if src == CH:
@@ -55,11 +60,15 @@ def join_source(
         one = one.where(F.col("key") != "")
     if dedupe:
         one = one.groupBy("UBRN", "key").agg(F.min("pos").alias("pos"))
-        record = F.struct(*[c for c in records.columns if c != "key"])
-        records = records.groupBy("key").agg(F.min(record).alias("r")).select("key", "r.*")
+        records = _one_per_key(records, [c for c in records.columns if c != "key"])
     return one.join(as_large(records), "key")
 
 
+def _one_per_key(records: DataFrame, columns: list[str]) -> DataFrame:
+    """The key and the lowest record of each, in the order of the columns."""
+    return records.groupBy("key").agg(F.min(F.struct(*columns)).alias("r")).select("key", "r.*")
+
+
 def join_company(links: DataFrame, company: DataFrame, **options: bool) -> DataFrame:
     return join_source(links, company, CH, **options)
 
@@ -86,13 +95,16 @@ def linked_refs(joined: DataFrame, ref: str, name: str) -> DataFrame:
     return joined.select(F.col("UBRN").alias("id"), F.col(ref).alias(name))
 
 
-def union_sources(company: DataFrame, vat: DataFrame, paye: DataFrame) -> DataFrame:
+def union_sources(
+    company: DataFrame, vat: DataFrame, paye: DataFrame, records: bool = True
+) -> DataFrame:
     """Joined edges of the three sources in one frame, with what each adds to its unit.
 
     ``ch``, ``vat`` and ``paye`` hold the record under its place in the link (``pos``, its
     reference, then the record itself, so that their order is total and the first well defined).
+    Without ``records``, ``vat`` and ``paye`` hold the place alone, for ``with_first_record``.
     """
-    record = ["sic", "name", "style", "status", "deathcode", "postcode", "address"]
+    record = RECORD if records else []
     from_company = company.select(
         "UBRN",
         F.struct("pos", "key", "sic", "name", "status", "postcode", "address").alias("ch"),
@@ -145,6 +157,28 @@ def assemble(united: DataFrame) -> DataFrame:
     )
 
 
+def with_first_record(
+    units: DataFrame, records: DataFrame, src: str, dedupe: bool = False
+) -> DataFrame:
+    """Units with a place in column ``src`` to the same with the record at that place.
+
+    Of several records of a key it is the lowest, which ``dedupe`` takes in the order of all columns, as
+    ``join_source`` does. Records are sorted after their shuffle only, so whole files are never sorted.
+    Units without a place get keys of their own, as null keys would all meet in one task.
+    """
+    place = ["pos", "ref" if src == "vat" else "key"]
+    columns = [c for c in records.columns if c != "key"] if dedupe else RECORD
+    first = _one_per_key(records.where(F.col("key").isNotNull()).repartition("key"), columns)
+    first = first.select(F.col("key").alias("_key"), F.struct(*RECORD).alias("_record"))
+    own = F.concat(F.lit(" "), F.col("UBRN").cast("string"))
+    keyed = units.withColumn("_key", F.coalesce(F.col(src)[place[1]].cast("string"), own))
+    fields = [F.col(src)[c].alias(c) for c in place] + [F.col("_record")[c].alias(c) for c in RECORD]
+    found = F.when(F.col(src).isNotNull(), F.struct(*fields)).alias(src)
+    return keyed.join(as_large(first), "_key", "left").select(
+        *[found if c == src else F.col(c) for c in units.columns]
+    )
+
+
 def link_units(
     links: DataFrame,
     company: DataFrame,
@@ -157,10 +191,11 @@ def link_units(
 
     ``blank_keys`` are the sources that may have a record with a blank key.
     """
-    return assemble(
-        union_sources(
-            join_company(links, company, dedupe=dedupe_refs, blank_key=CH in blank_keys),
-            join_vat(links, vat, dedupe=dedupe_refs),
-            join_paye(links, paye, dedupe=dedupe_refs, blank_key=PAYE in blank_keys),
-        )
+    united = union_sources(
+        join_company(links, company, dedupe=dedupe_refs, blank_key=CH in blank_keys),
+        join_vat(links, vat, dedupe=dedupe_refs),
+        join_paye(links, paye, dedupe=dedupe_refs, blank_key=PAYE in blank_keys),
+        records=False,
     )
+    units = with_first_record(assemble(united), vat, "vat", dedupe_refs)
+    return with_first_record(units, paye, "paye", dedupe_refs)

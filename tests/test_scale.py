@@ -260,3 +260,36 @@ def test_pairs_of_a_hot_reference_are_dealt_and_not_staged(spark, monkeypatch):
     # the pairs are made after the last shuffle
     steps = plan(carried)
     assert "Exchange" not in steps[:steps.index("SortMergeJoin")]
+
+
+def _below(steps, node):
+    """The plan's lines under the first line with the node's text."""
+    lines = steps.splitlines()
+    top = next(i for i, line in enumerate(lines) if node in line)
+    depth = lines[top].index(node)
+    rest = lines[top + 1:]
+    end = next((i for i, line in enumerate(rest) if len(line) - len(line.lstrip(" :+-")) < depth), len(rest))
+    return "\n".join(rest[:end])
+
+
+def test_records_stay_out_of_the_shuffle_by_unit(spark):
+    """Only places, sums, jobs and references go to the unit; it fetches its first records by key."""
+    held = links(spark, (1, None, ["9", "2", "1"], ["x", "", "q"]), (2, None, ["2", "1"], ["q", "p"]),
+                 (3, ["c"], None, None), (4, None, ["7"], ["x"]))
+    vats = [{"vatref": 1, "name1": "one", "deathcode": "0"}, {"vatref": 2, "sic92": "9", "name1": "a"},
+            {"vatref": 2, "sic92": "8", "name1": "b"}]
+    payes = [{"payeref": "p", "name1": "p"}, {"payeref": "", "tradstyle1": "blank"},
+             {"payeref": "q", "tradstyle1": "q2", "name1": "y"}, {"payeref": "q", "tradstyle1": "q1", "name1": "z"}]
+    sources = [stage(df, "s") for df in (
+        held, company(spark, {"CompanyNumber": "c"}), vat(spark, *vats), paye(spark, *payes), tcn(spark))]
+    with small_cluster(spark):
+        index = index_from(*sources)
+        moved = _below(plan(index), "Exchange hashpartitioning(UBRN")
+        got = {r.id: (r.BusinessName, r.TradingStyle, r.IndustryCode, r.VatRefs, r.PayeRefs) for r in index.collect()}
+    assert "partial_min(vat" in moved
+    assert "deathcode" not in moved and "tradstyle1" not in moved
+    assert got == {
+        1: ("B  ", "blank", "8", [2, 2, 1], ["", "q", "q"]),
+        2: ("B  ", "q2", "8", [2, 2, 1], ["q", "q", "p"]),
+        3: (None, None, None, [], []),
+    }
