@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from contextlib import contextmanager
 
@@ -262,6 +263,53 @@ def test_pairs_of_a_hot_reference_are_dealt_and_not_staged(spark, monkeypatch):
     assert "Exchange" not in steps[:steps.index("SortMergeJoin")]
 
 
+def test_references_are_compared_by_more_tasks_as_they_grow(spark, monkeypatch):
+    """However many references: a task holds no set of those it reads, and compares a bounded number."""
+    n, each = 60, 20
+    held = spark.range(n).select(  # some a blank, one reference twice, five shared with the next
+        F.array(F.concat(F.lit("c"), "id")).alias("CH"),
+        F.concat(F.when(F.col("id") < 5, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")),
+                 F.transform(F.sequence(F.lit(1), F.lit(each)), lambda i: F.format_string("%06d", F.col("id") * 15 + i)),
+                 F.array(F.format_string("%06d", F.col("id") * 15 + 1))).alias("PAYE"),
+    )
+    prev = stage(held.select((F.col("CH")[0].substr(2, 9).cast("long") + B).alias("UBRN"), "CH",
+                             F.lit(None).cast("array<string>").alias("VAT"), "PAYE").where("UBRN % 2 = 0"), "prev")
+    new = matching.with_gid(held.select("CH", F.lit(None).cast("array<string>").alias("VAT"), "PAYE"))
+    rows = {"old": prev.select("UBRN", "PAYE").collect(), "new": new.select("CH", "PAYE").collect()}
+    total = sum(len(r.PAYE) for side in rows.values() for r in side)
+    lowest = {}
+    for side, other in (("old", "new"), ("new", "old")):
+        there = {ref for r in rows[other] for ref in r.PAYE}
+        for r in rows[side]:
+            ref = min((ref for ref in r.PAYE if ref in there), default=None)
+            lowest[r[0] if side == "old" else r.CH[0]] = (ref, r.PAYE.count(ref))
+    expected = Counter({(o.UBRN, m.CH[0]): lowest[o.UBRN][1] * lowest[m.CH[0]][1] for o in rows["old"]
+                        for m in rows["new"] if lowest[o.UBRN][0] is not None and lowest[o.UBRN][0] == lowest[m.CH[0]][0]})
+    monkeypatch.setattr(matching, "REFS_A_TASK", 100, raising=False)
+    steps = {}
+
+    def staged(df, name):
+        steps[name] = plan(df)
+        return stage(df, name)
+
+    monkeypatch.setattr(matching, "stage", staged)
+    got = Counter((r.UBRN, r.CH[0]) for r in matching.rule_reference(prev, new, PAYE).collect())
+    assert got == expected
+    for name in ("lowest-PAYE-old", "lowest-PAYE-new"):
+        dealt = re.findall(r"Exchange hashpartitioning\(_ref#\d+, (\d+)\)", steps[name])
+        assert dealt == [str(1 + total // 100)] * 2
+        assert "REPARTITION_BY_NUM" in steps[name]  # so Spark does not merge them
+        # what reads the references makes no sets of them
+        assert "Aggregate" not in _below(steps[name], "SortMergeJoin")
+    one = matching.rule_reference(prev, new, PAYE, one_to_one=True)
+    least = {}
+    for (number, link), _ in expected.items():
+        least[link] = min(number, least.get(link, number))
+    assert Counter((r.UBRN, r.CH[0]) for r in one.collect()) == Counter((u, c) for c, u in least.items())
+    # without links on a side there is nothing to compare
+    assert matching.rule_reference(prev.limit(0), new, PAYE).count() == 0
+
+
 def _below(steps, node):
     """The plan's lines under the first line with the node's text."""
     lines = steps.splitlines()
