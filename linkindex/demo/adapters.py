@@ -197,6 +197,7 @@ VIEWS = {
 
 _BASE = ("customer", "orders", "lineitem", "part")
 _STAGED = ("vat", "paye", "tcn", "new_links", "prev_links", "edited_links", "links")
+_TASK_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 _ADMIN = {"company": CH, "vat": VAT, "paye": PAYE, "tcn": TCN}
 
 
@@ -229,7 +230,17 @@ class Tables:
         df = self._sql(name)
         if name in _ADMIN:
             df = in_schema(df, _ADMIN[name])
-        return stage(df, name) if name in _STAGED else df
+        return self._staged(df, name) if name in _STAGED else df
+
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        """Stage a view with tasks of little shuffled data: references are short and nearly all different,
+        so a task that groups them takes some thirty times what it reads."""
+        before = self.spark.conf.get(_TASK_SIZE)
+        self.spark.conf.set(_TASK_SIZE, "4m")
+        try:
+            return stage(df, name)
+        finally:
+            self.spark.conf.set(_TASK_SIZE, before)
 
     def _sql(self, name: str) -> DataFrame:
         frames = {needed: as_large(self[needed]) for needed in _needs(name)}

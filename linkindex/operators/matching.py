@@ -114,7 +114,8 @@ def _with_content(pairs: DataFrame, new: DataFrame) -> DataFrame:
 def _reference_tasks(old: DataFrame, new: DataFrame, col: str) -> int:
     """Over how many tasks the references of two sides are dealt, so that none has more as they grow."""
     held = [links.agg(F.sum(F.array_size(col))).first()[0] or 0 for links in (old, new)]
-    return 1 + sum(held) // REFS_A_TASK
+    usual = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # with fewer Spark deals them anew
+    return max(usual, 1 + sum(held) // REFS_A_TASK)
 
 
 def _references(
