@@ -10,6 +10,7 @@ import pytest
 from frames import B, bag, company, links, paye, raw_links, tcn, vat
 from pyspark.sql import functions as F
 
+from linkindex.demo import adapters
 from linkindex.operators import extracts, linking, matching, views
 from linkindex.operators.numbering import allocate_dense_ids
 from linkindex.plans.jobs import index_from
@@ -310,6 +311,15 @@ def test_references_are_compared_by_more_tasks_as_they_grow(spark, monkeypatch):
     assert matching.rule_reference(prev.limit(0), new, PAYE).count() == 0
 
 
+def test_views_are_staged_by_small_tasks(spark, monkeypatch):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, seen = spark.conf.get(size), []
+    monkeypatch.setattr(adapters, "stage", lambda df, name: seen.append(spark.conf.get(size)) or df)
+    tables = adapters.Tables(spark, "nowhere")
+    assert tables._staged(spark.range(3), "paye").count() == 3
+    assert seen == ["4m"] and spark.conf.get(size) == before
+
+
 def _below(steps, node):
     """The plan's lines under the first line with the node's text."""
     lines = steps.splitlines()
