@@ -3,9 +3,10 @@
 Both vocabularies cut a text before tokenising: no token crosses from a character that is surely not
 white space to a white-space character. A text is therefore split there, and what the library gives
 for a chunk alone, it gives inside the text. Chunks repeat, so their ids are kept in a dictionary of
-bounded size. A new chunk of plain Latin characters is cut by the vocabulary's own rule and merged by
-the library's model; any other chunk goes through the whole library, as does a text with rare kinds
-of white space.
+bounded size. A new chunk of plain Latin characters is cut by the vocabulary's own rule, and the ids of
+its pieces are kept beside those of chunks, as a word comes with many marks around it; a new piece is
+merged by the library's model. Any other chunk goes through the whole library, as does a text with rare
+kinds of white space. Where the vocabulary lowers, a plain text is lowered before it is cut.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from typing import ClassVar
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-#: Chunks kept per Python worker, and bytes, about; when full, the cache starts anew. It changes no result.
+#: Chunks kept per Python worker, and bytes, about, half of them young; when that half is full, it becomes the old
+#: one, and the old one goes. It changes no result.
 CACHE_SIZE, CACHE_BYTES = 500_000, 96 << 20
 
 # What either library may take as white space, besides blank, tab, newline and carriage return.
@@ -28,11 +30,11 @@ _LATIN = r"a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017e"
 _PLAIN = re.compile(rf"[ \t\n\r!-~{_LATIN}]*\Z")
 
 # The two vocabularies' own cutting rules, with \p{L} and \p{N} written out for plain
-# Latin text.
+# Latin text. What most often comes is tried first: alternatives of different first characters are in any order.
 _LEADING_SPACE_RULE = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+"
 )
-_WORD_END_RULE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^\s{_LATIN}0-9]+")
+_WORD_END_RULE = re.compile(rf"[{_LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\s{_LATIN}0-9]+")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -67,16 +69,31 @@ class Vocabulary:
 
     def chunks(self, text: str) -> list[str] | None:
         """The text cut where no token crosses; None if it has rare white space."""
-        return None if _RARE_SPACE.search(text) else self.chunk_rule.findall(text)
+        if self.lowers and "<|" not in text and _PLAIN.match(text):
+            text = text.lower()
+        elif _RARE_SPACE.search(text):
+            return None
+        return text.split() if self.drops_space else self.chunk_rule.findall(text)
 
-    def pieces(self, chunk: str) -> list[str] | None:
-        """The pre-tokens of a plain chunk in the byte alphabet; None for any other chunk."""
+    def cut(self, chunk: str) -> list[str] | None:
+        """The pre-tokens of a plain chunk, each of which is a chunk that is cut into itself alone; None for
+        any other chunk."""
+        if chunk.isalpha() and chunk.isascii():
+            return [chunk.lower() if self.lowers else chunk]
         if "<|" in chunk or not _PLAIN.match(chunk):
             return None
-        cut = self.rule.findall(chunk.lower() if self.lowers else chunk)
-        if chunk.isascii() and self.drops_space:
-            return cut
-        return [p.encode().decode("latin-1").translate(_ALPHABET) for p in cut]
+        return self.rule.findall(chunk.lower() if self.lowers else chunk)
+
+    def pieces(self, chunk: str) -> list[str] | None:
+        """The pre-tokens of a plain chunk in the byte alphabet; None for any other chunk."""
+        cut = self.cut(chunk)
+        return None if cut is None else list(map(self.spelled, cut))
+
+    def spelled(self, piece: str) -> str:
+        """A pre-token in the byte alphabet."""
+        if piece.isascii() and self.drops_space:
+            return piece
+        return piece.encode().decode("latin-1").translate(_ALPHABET)
 
     def merged(self, piece: str) -> list[int]:
         return [t.id for t in self.model.tokenize(piece)]
@@ -107,7 +124,7 @@ class Vocabulary:
 
 
 class Cache(dict):
-    """What ``make`` gives for a chunk, kept for the next time.
+    """What ``make`` gives for a chunk, kept for the next time. ``make`` may look up other chunks.
 
     A Python worker goes from one operator's tasks to another's, so an operator that starts calls
     ``alone`` to free what the caches of the others hold.
@@ -117,26 +134,31 @@ class Cache(dict):
 
     def __init__(self, make, size: int = CACHE_SIZE):
         super().__init__()
-        self.make, self.size, self.held = make, size, 0
+        self.make, self.size, self.held, self.old = make, size, 0, {}
         self._of_worker.append(self)
 
     def alone(self) -> None:
-        others = [c for c in self._of_worker if c is not self and c]
+        others = [c for c in self._of_worker if c is not self and (c or c.old)]
         for other in others:
             other.clear()
         if others:
             pa.default_memory_pool().release_unused()
 
     def __missing__(self, chunk):
-        if len(self) >= self.size or self.held >= CACHE_BYTES:
+        value = self.old.get(chunk)
+        if value is None:
+            value = self.make(chunk)
+        if 2 * len(self) >= self.size or 2 * self.held >= CACHE_BYTES:
+            old = dict(self)
             self.clear()
-        value = self[chunk] = self.make(chunk)
+            self.old = old
+        self[chunk] = value
         self.held += 160 + len(chunk) + (len(value) if isinstance(value, bytes) else 0)
         return value
 
     def clear(self) -> None:
         super().clear()
-        self.held = 0
+        self.held, self.old = 0, {}
 
 
 class IdEncoder:
@@ -144,12 +166,20 @@ class IdEncoder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.cache = Cache(lambda chunk: self.packed(self.vocabulary.chunk_ids(chunk)))
+        self.cache = Cache(self.chunk)
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
         return array("I", ids).tobytes()
 
+    def chunk(self, chunk: str) -> bytes:
+        cut = self.vocabulary.cut(chunk)
+        if cut is None:
+            return self.packed(self.vocabulary.library_ids(chunk))
+        if cut == [chunk]:
+            return self.packed(self.vocabulary.merged(self.vocabulary.spelled(chunk)))
+        return b"".join(map(self.cache.__getitem__, cut))
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""

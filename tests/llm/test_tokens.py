@@ -72,6 +72,37 @@ def test_cache_that_overflows_changes_nothing(library):
     assert encoder.encode(text) == packed(library[WORDS].encode(text, add_special_tokens=False).ids)
 
 
+def test_a_word_is_merged_once_whatever_stands_around_it(library):
+    encoder = IdEncoder(WORDS)
+    merged, model = [], encoder.vocabulary.merged
+    encoder.vocabulary.merged = lambda piece: merged.append(piece) or model(piece)
+    for text in ("Oftener oftener, (OFTENER) été.", "« Été » oftener's 漢 oftener; \"Oftener\""):
+        assert encoder.encode(text) == packed(library[WORDS].encode(text, add_special_tokens=False).ids)
+    assert merged.count("oftener") == 1 and len(merged) == len(set(merged))
+
+
+def test_cache_keeps_what_comes_often():
+    made = []
+    cache = tokens.Cache(lambda chunk: made.append(chunk) or chunk.encode(), 10)
+    for k in range(200):
+        assert cache["often"] == b"often" and cache[str(k)] == str(k).encode()
+        assert len(cache) + len(cache.old) <= 10
+    assert made.count("often") == 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*ALPHABET, "A", "ÀÉ", "<|EndOfText|>", "'LL", "Ÿß", "."]), max_size=30).map("".join))
+def test_encoder_with_a_small_cache_gives_what_the_library_gives(text):
+    for path in (WORDS, BYTES):
+        if path not in _small:
+            _small[path] = IdEncoder(path)
+            _small[path].cache.size = 8
+        assert _small[path].encode(text) == packed(_small[path].vocabulary.library_ids(text))
+
+
+_small: dict[str, IdEncoder] = {}
+
+
 def test_whole_tokens_are_proved(library):
     whole = token_counts.proved_whole_tokens(BYTES)
     assert len(whole) > 40_000 and "Ġthe" in whole
