@@ -10,7 +10,7 @@ import pytest
 from frames import B, bag, company, links, paye, raw_links, tcn, vat
 from pyspark.sql import functions as F
 
-from linkindex.demo import adapters
+from linkindex.demo import adapters, catalogue
 from linkindex.operators import extracts, linking, matching, views
 from linkindex.operators.numbering import allocate_dense_ids
 from linkindex.plans.jobs import index_from
@@ -264,6 +264,49 @@ def test_pairs_of_a_hot_reference_are_dealt_and_not_staged(spark, monkeypatch):
     assert "Exchange" not in steps[:steps.index("SortMergeJoin")]
 
 
+def test_numbers_of_a_hot_reference_come_many_to_a_row(spark, monkeypatch):
+    """Forty old and thirty new links share a blank: pairs are taken out of rows of many numbers, whose links are
+    narrow and hold it once."""
+    times = {i: 3 if i == 7 else 1 for i in range(40)}
+    prev = links(spark, *[(B + i, None, [""] * n, None) for i, n in times.items()],
+                 (B + 50, None, ["7"], None), (B + 51, None, ["7", "8"], None))
+    wide = ["w" * 500]
+    new = raw_links(spark, *[([f"n{i}"], ["", "" if i == 3 else "9"], wide if i == 5 else None) for i in range(30)],
+                    (["m"], ["7", "7"], wide), (None, ["5"], None))
+    for name, value in {"NUMBERS_A_ROW": 8, "OLD_PIECE": 16, "NEW_PIECE": 4, "WIDE": 100}.items():
+        monkeypatch.setattr(matching, name, value)
+    met, repeat = [], matching._repeat
+    monkeypatch.setattr(matching, "_repeat", lambda df, times: met.append(df) or repeat(df, times))
+    found = matching.rule_reference(prev, matching.with_gid(new), VAT, written=catalogue._texts)
+    expected = Counter({(B + i, f"n{j}", "," if j == 3 else ",9"): n * (2 if j == 3 else 1)
+                        for i, n in times.items() for j in range(30)})
+    expected |= Counter({(B + i, "m", "7,7"): 2 for i in (50, 51)})
+    assert Counter((r.UBRN, r.CH, r.VAT) for r in found.collect()) == expected
+    rows = met[0].select("CH", "_uses", F.size("_numbers").alias("n")).collect()
+    sizes = defaultdict(list)
+    for r in rows:
+        sizes[r.CH].append(r.n)
+        assert r.n == 1 or r._uses == 1
+    for j in range(30):
+        assert sum(sizes[f"n{j}"]) == 40
+        assert len(sizes[f"n{j}"]) == 40 if j in (3, 5) else len(sizes[f"n{j}"]) <= 6  # five rows and the link of three
+    assert sizes["m"] == [1, 1]
+
+
+def test_pairs_take_texts_made_once_a_link(spark, monkeypatch):
+    prev = stage(links(spark, (B + 1, None, ["", "1"], ["p"]), (B + 2, None, [""], ["q"])), "prev")
+    new = stage(raw_links(spark, (["a"], ["", "2"], None), (["b"], ["", "3"], None), (["c"], None, ["q"])), "new")
+    tables = {"prev_links": prev, "new_links": new}
+    monkeypatch.setattr(catalogue.Tables, "of", lambda spark, folder: tables)
+    pairs = {(B + i, c, v) for i in (1, 2) for c, v in (("a", ",2"), ("b", ",3"))}
+    for name in ("match_by_vat",):
+        found = catalogue.QUERIES[name](spark, "nowhere")
+        steps = plan(found)
+        assert "array_join" in steps
+        assert "array_join" not in steps[:steps.index("SortMergeJoin")]
+        assert {(r.UBRN, r.CH, r.VAT) for r in found.collect() if r.CH != "c"} == pairs
+
+
 def test_references_are_compared_by_more_tasks_as_they_grow(spark, monkeypatch):
     """However many references: a task holds no set of those it reads, and compares a bounded number."""
     n, each = 60, 20
