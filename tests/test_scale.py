@@ -299,7 +299,7 @@ def test_pairs_take_texts_made_once_a_link(spark, monkeypatch):
     tables = {"prev_links": prev, "new_links": new}
     monkeypatch.setattr(catalogue.Tables, "of", lambda spark, folder: tables)
     pairs = {(B + i, c, v) for i in (1, 2) for c, v in (("a", ",2"), ("b", ",3"))}
-    for name in ("match_by_vat",):
+    for name in ("match_by_vat", "assign_ids_full"):
         found = catalogue.QUERIES[name](spark, "nowhere")
         steps = plan(found)
         assert "array_join" in steps
